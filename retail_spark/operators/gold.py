@@ -70,14 +70,17 @@ def conversion_rate(events: DataFrame, *, by: Sequence[str] = ("channel",)) -> D
 
 
 def revenue_by_campaign(events: DataFrame, campaigns: DataFrame | None = None, *, top_n: int | None = None) -> DataFrame:
-    """AGG-03 (+JON-02, SRT-01): Σ net amount of orders by campaign, ranked."""
+    """AGG-03 (+JON-02, SRT-01): Σ net amount of orders by campaign; the top
+    ``top_n`` by revenue (ties by campaign id) when given."""
     rev = orders_only(events).groupBy("campaign_id").agg(
         F.sum("net_amount").alias("revenue"), F.count_distinct("order_id").alias("orders")
     )
     if campaigns is not None:
         rev = rev.join(broadcast_if_small(campaigns), "campaign_id", "left")
-    ranked = rev.withColumn("rank", F.rank().over(Window.orderBy(F.desc("revenue"), F.asc("campaign_id"))))
-    return ranked.where(F.col("rank") <= top_n) if top_n else ranked
+    if top_n:
+        # SRT-01: distributed top-k (per-partition top-k, then a k-row merge)
+        return rev.orderBy(F.desc("revenue"), F.asc("campaign_id")).limit(top_n)
+    return rev
 
 
 def sales_kpis(events: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
@@ -239,3 +242,29 @@ def kpi_rollup(events: DataFrame, dims: Sequence[str]) -> DataFrame:
         F.count_distinct(F.when(is_order, F.col("order_id"))).alias("orders"),
         F.sum(F.when(is_order, F.col("discount_amount"))).alias("discount"),
     )
+
+
+def first_purchase_flags(
+    orders: DataFrame, *, customer: str = "customer_id", ts: str = "event_ts", order: str = "order_id"
+) -> DataFrame:
+    """WIN-05: ``is_first_purchase`` recomputed per customer (earliest by
+    time, then order id). The first order per customer is a combinable
+    ``min(struct)`` aggregation joined back, not a window over the customer."""
+    first = orders.groupBy(customer).agg(F.min(F.struct(ts, order)).alias("__first"))
+    return orders.join(first, customer, "left").withColumn(
+        "is_first_purchase", F.col(order) == F.col("__first").getField(order)
+    ).drop("__first")
+
+
+def line_positions(
+    lines: DataFrame, *, order: str = "order_id", sort: Sequence[str] = ("line_number",)
+) -> DataFrame:
+    """WIN-06: ``order_item_index`` (1-based, by ``sort``) and
+    ``order_item_count`` per order."""
+    w = Window.partitionBy(order).orderBy(*sort)
+    return lines.withColumns(
+        {
+            "order_item_index": F.row_number().over(w),
+            "order_item_count": F.count(F.lit(1)).over(Window.partitionBy(order)),
+        }
+    )

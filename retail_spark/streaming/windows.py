@@ -58,9 +58,10 @@ def sessionize(
     ``<user>-<epoch seconds of the session start>``, ``session_start`` and
     ``step_in_session`` (1-based)."""
     w = Window.partitionBy(user_column).orderBy(ts_column, *[c for c in ("event_id",) if c in events.columns])
-    prev = F.lag(ts_column).over(w)
-    gap = F.col(ts_column).cast("long") - prev.cast("long")
-    starts = events.withColumn("__new", F.when(prev.isNull() | (gap > gap_minutes * 60), 1).otherwise(0))
+    ts = F.col(ts_column).cast("timestamp")
+    prev = F.lag(ts).over(w)
+    gap_us = F.unix_micros(ts) - F.unix_micros(prev)
+    starts = events.withColumn("__new", F.when(prev.isNull() | (gap_us > F.lit(gap_minutes * 60 * 1_000_000)), 1).otherwise(0))
     numbered = starts.withColumn("__sn", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     ws = Window.partitionBy(user_column, "__sn")
     out = numbered.withColumn("session_start", F.min(ts_column).over(ws))
