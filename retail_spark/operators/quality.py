@@ -9,6 +9,7 @@ writes of the same micro-batch (streaming.jobs).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,9 +20,9 @@ from retail_spark.sources.landing import CORRUPT, RESCUED
 VIOLATIONS = "violations"
 
 # Reconciliation constants of the event producer.
-TAX_RATE = 0.08
-FREE_SHIPPING_MIN_CART = 120.0
-MONEY_TOLERANCE = 0.01
+TAX_RATE = Decimal("0.08")
+FREE_SHIPPING_MIN_CART = Decimal("120.00")
+MONEY_TOLERANCE = Decimal("0.01")
 
 
 def _rescued_map(df: DataFrame) -> Column:
@@ -118,7 +119,7 @@ def reconcile_orders(
     key: str = "order_id",
     line_amount: str = "line_amount",
     order_amount: str = "gross_amount",
-    tolerance: float = MONEY_TOLERANCE,
+    tolerance: Decimal = MONEY_TOLERANCE,
 ) -> DataFrame:
     """DQ-04: Σ line amounts per order vs the order's amount.
 

@@ -110,10 +110,12 @@ def deduplicate(
     return earliest_per_key(df, [key], order)
 
 
-def duplicate_report(df: DataFrame, key: str = "event_id") -> DataFrame:
-    """DQ-07: keys seen more than once, with their copy count."""
+def duplicate_report(df: DataFrame, key: str | Sequence[str] = "event_id") -> DataFrame:
+    """DQ-07: keys seen more than once, with their copy count (a combinable
+    count per key, so hot keys are pre-aggregated map-side)."""
+    keys = [key] if isinstance(key, str) else list(key)
     return (
-        df.groupBy(key)
+        df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("copies"))
         .where(F.col("copies") > 1)
     )
