@@ -70,8 +70,8 @@ def block_pairs(
     partner blocks j >= i (left side) / j <= i (right side) and the join key
     is (group, i, j), so no task handles more than ~block^2 pairs.
     """
-    sizes = members.groupBy(group).agg(F.count(F.lit(1)).alias("__n"))
-    m = members.join(sizes, group).withColumn("__k", F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(block))).cast("int"))
+    sizes = members.groupBy(group).agg(F.count(F.lit(1)).alias("__gsize"))
+    m = members.join(sizes, group).withColumn("__k", F.greatest(F.lit(1), F.ceil(F.col("__gsize") / F.lit(block))).cast("int"))
     m = m.withColumn("__b", F.pmod(F.xxhash64(F.col(item)), F.col("__k")).cast("int"))
     left = m.select(
         F.col(group).alias("__g"),
@@ -151,7 +151,8 @@ def copurchase_edges(
 def frequent_itemsets(
     lines: DataFrame,
     *,
-    min_support: float,
+    min_support: float | None = None,
+    min_count: int | None = None,
     basket: str = "order_id",
     item: str = "product_id",
     block: int = DEFAULT_BLOCK,
@@ -159,12 +160,16 @@ def frequent_itemsets(
     """GRF-03: frequent itemsets of size 1 and 2 (Apriori levels 1-2) with
     their basket counts: ``items`` (sorted array), ``size``, ``freq``.
 
-    Level 2 only pairs items that are frequent alone (Apriori pruning),
-    so rare items never enter the pair join.
+    The threshold is ``min_count`` baskets, or ``min_support`` x baskets.
+    Level 2 only pairs items that are frequent alone (Apriori pruning), so
+    rare items never enter the pair join.
     """
     b = baskets(lines, basket=basket, item=item)
-    total = b.select(F.count_distinct(basket)).first()[0] or 0
-    min_count = max(1, math.ceil(min_support * total - 1e-9))
+    if min_count is None:
+        if min_support is None:
+            raise ValueError("give min_support or min_count")
+        total = b.select(F.count_distinct(basket)).first()[0] or 0
+        min_count = max(1, math.ceil(min_support * total - 1e-9))
     singles = b.groupBy(item).agg(F.count(F.lit(1)).alias("freq")).where(F.col("freq") >= min_count)
     frequent_b = b.join(broadcast_if_small(singles.select(item)), item, "left_semi")
     pairs = (

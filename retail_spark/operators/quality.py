@@ -40,7 +40,9 @@ def contract_violations(df: DataFrame, contract: Contract, *, strict: bool = Fal
     ``malformed_json``. ``strict`` also rejects the producer-only extras
     (X2).
     """
-    rescued = _rescued_map(df)
+    # parse the rescued JSON once per row; every check reads the map column
+    df = df.withColumn("__rescued_map", _rescued_map(df))
+    rescued = F.col("__rescued_map")
     present = set(df.columns)
     checks: list[Column] = []
 
@@ -74,7 +76,7 @@ def contract_violations(df: DataFrame, contract: Contract, *, strict: bool = Fal
         violations = F.concat(F.array_compact(F.array(*checks)), unexpected)
     else:
         violations = F.array_compact(F.array(*checks))
-    return df.withColumn(VIOLATIONS, violations)
+    return df.withColumn(VIOLATIONS, violations).drop("__rescued_map")
 
 
 def split_quarantine(df: DataFrame, *, key: str | None = "event_id") -> tuple[DataFrame, DataFrame]:
