@@ -48,8 +48,8 @@ def _pick(values: tuple[str, ...], k: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (F.pmod(k, F.lit(len(values))) + 1).cast("int"))
 
 
-def props_k(props: Column = F.col("props")) -> Column:
-    return F.get_json_object(props, "$.k").cast("int")
+def props_k(props: Column | None = None) -> Column:
+    return F.get_json_object(F.col("props") if props is None else props, "$.k").cast("int")
 
 
 def events_input(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -81,7 +81,7 @@ def rescue(value: Column, schema: T.StructType) -> tuple[Column, Column, Column]
         lambda k, v: v.isNotNull() & (~F.array_contains(known, k) | ~F.map_contains_key(kept, k)),
     )
     rescued = F.when(F.size(leftover) > 0, F.to_json(leftover))
-    corrupt = F.when(raw.isNull() & F.length(F.trim(value)) > 0, value)
+    corrupt = F.when(raw.isNull() & (F.length(F.trim(value)) > 0), value)
     return typed, rescued, corrupt
 
 
