@@ -76,7 +76,7 @@ def revenue_by_campaign(events: DataFrame, campaigns: DataFrame | None = None, *
         F.sum("net_amount").alias("revenue"), F.count_distinct("order_id").alias("orders")
     )
     if campaigns is not None:
-        rev = rev.join(broadcast_if_small(campaigns), "campaign_id", "left")
+        rev = rev.join(campaigns, "campaign_id", "left")
     if top_n:
         # SRT-01: distributed top-k (per-partition top-k, then a k-row merge)
         return rev.orderBy(F.desc("revenue"), F.asc("campaign_id")).limit(top_n)

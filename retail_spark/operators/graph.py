@@ -27,7 +27,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from retail_spark.operators.joins import broadcast_if_small
 from retail_spark.session import ensure_shared_dir
 
 DEFAULT_BLOCK = 256
@@ -133,8 +132,10 @@ def copurchase_edges(
         .agg(F.count(F.lit(1)).alias("pair_orders"))
         .where(F.col("pair_orders") >= min_count)
     )
-    ca = broadcast_if_small(counts.select(F.col(item).alias(f"{item}_a"), F.col("item_orders").alias("orders_a")))
-    cb = broadcast_if_small(counts.select(F.col(item).alias(f"{item}_b"), F.col("item_orders").alias("orders_b")))
+    # per-item counts are derived (aggregated): AQE broadcasts them at
+    # runtime when their measured size is small, else they stay shuffled
+    ca = counts.select(F.col(item).alias(f"{item}_a"), F.col("item_orders").alias("orders_a"))
+    cb = counts.select(F.col(item).alias(f"{item}_b"), F.col("item_orders").alias("orders_b"))
     out = pairs.join(ca, f"{item}_a").join(cb, f"{item}_b")
     n = F.lit(float(total))
     pc = F.col("pair_orders").cast("double")
@@ -171,7 +172,7 @@ def frequent_itemsets(
         total = b.select(F.count_distinct(basket)).first()[0] or 0
         min_count = max(1, math.ceil(min_support * total - 1e-9))
     singles = b.groupBy(item).agg(F.count(F.lit(1)).alias("freq")).where(F.col("freq") >= min_count)
-    frequent_b = b.join(broadcast_if_small(singles.select(item)), item, "left_semi")
+    frequent_b = b.join(singles.select(item), item, "left_semi")
     pairs = (
         block_pairs(frequent_b, basket, item, block=block)
         .groupBy(f"{item}_a", f"{item}_b")
@@ -190,7 +191,7 @@ def association_rules(itemsets: DataFrame, total_baskets: int) -> DataFrame:
     both = pairs.select(F.col("items")[0].alias("antecedent"), F.col("items")[1].alias("consequent"), "freq").unionByName(
         pairs.select(F.col("items")[1].alias("antecedent"), F.col("items")[0].alias("consequent"), "freq")
     )
-    s = broadcast_if_small(singles)
+    s = singles
     out = both.join(s.select(F.col("item").alias("antecedent"), F.col("item_freq").alias("ante_freq")), "antecedent").join(
         s.select(F.col("item").alias("consequent"), F.col("item_freq").alias("cons_freq")), "consequent"
     )

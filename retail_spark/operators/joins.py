@@ -21,7 +21,15 @@ def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only behind a row-count bound; else leave it to the planner."""
+    """Broadcast hint only behind a row-count bound; else leave it to the planner.
+
+    Meant for dimension scans: the bound is checked with
+    ``limit(max_rows + 1).count()``, which stops reading early. Derived sides
+    (aggregates, joins) are not hinted by callers: counting them would
+    compute them twice, and AQE measures their shuffle output and converts
+    the join to a broadcast join at runtime when it is below
+    ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
+    """
     if df.isStreaming:
         return df
     return F.broadcast(df) if is_small(df, max_rows) else df

@@ -113,60 +113,60 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """order_placed facts: one row per order, amounts summed from its lines
-    (a grouped aggregation, combined map-side), customer segment/nation."""
+def _order_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per order: amounts summed from its lines (one grouped
+    aggregation, combined map-side) plus customer segment and nation."""
     lines = order_lines(spark, sf_dir)
     per_order = lines.groupBy("l_orderkey").agg(
         F.sum("line_amount").alias("gross_amount"),
         F.sum("line_discount").alias("discount_amount"),
         F.sum("line_tax").alias("tax_amount"),
         F.sum("l_quantity").cast("int").alias("item_count"),
+        F.sum(F.when(F.col("l_returnflag") == "R", F.col("line_amount") - F.col("line_discount"))).alias("refund_amount"),
     )
     od = read_table(spark, sf_dir, "orders")
     cu = read_table(spark, sf_dir, "customer", ["c_custkey", "c_mktsegment", "c_nationkey"])
     na = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name"])
-    j = (
+    return (
         od.join(per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left")
         .join(cu, F.col("o_custkey") == F.col("c_custkey"), "left")
         .join(na, F.col("c_nationkey") == F.col("n_nationkey"), "left")
     )
-    zero = F.lit(0).cast("decimal(18,2)")
-    return j.select(
+
+
+_ZERO = "decimal(18,2)"
+
+
+def _order_fact_struct() -> Column:
+    zero = F.lit(0).cast(_ZERO)
+    g, d, t = (F.coalesce(c, zero) for c in ("gross_amount", "discount_amount", "tax_amount"))
+    return F.struct(
         F.lit("order_placed").alias("event_type"),
-        F.col("o_orderdate").alias("event_ts"),
-        F.col("o_orderkey").cast("string").alias("order_id"),
-        F.col("o_custkey").cast("string").alias("customer_id"),
-        F.col("o_orderpriority").alias("campaign_id"),
-        F.lower("c_mktsegment").alias("customer_segment_seed"),
-        F.col("n_name").alias("nation"),
-        F.col("o_orderstatus").alias("order_status"),
-        F.year("o_orderdate").alias("order_year"),
-        F.coalesce("gross_amount", zero).alias("gross_amount"),
-        F.coalesce("discount_amount", zero).alias("discount_amount"),
-        F.coalesce("tax_amount", zero).alias("tax_amount"),
+        g.alias("gross_amount"),
+        d.alias("discount_amount"),
+        t.alias("tax_amount"),
         zero.alias("shipping_amount"),
-        (F.coalesce("gross_amount", zero) - F.coalesce("discount_amount", zero) + F.coalesce("tax_amount", zero)).alias("net_amount"),
-        F.lit(None).cast("decimal(18,2)").alias("refund_amount"),
+        (g - d + t).cast(_ZERO).alias("net_amount"),
+        F.lit(None).cast(_ZERO).alias("refund_amount"),
     )
 
 
-def return_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """return_completed facts: per order, refund = Σ (line - discount) of
-    its returned (flag R) lines."""
-    lines = order_lines(spark, sf_dir).where(F.col("l_returnflag") == "R")
-    per = lines.groupBy("l_orderkey").agg(F.sum(F.col("line_amount") - F.col("line_discount")).alias("refund_amount"))
-    od = read_table(spark, sf_dir, "orders")
-    cu = read_table(spark, sf_dir, "customer", ["c_custkey", "c_mktsegment", "c_nationkey"])
-    na = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name"])
-    j = (
-        per.join(od, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(cu, F.col("o_custkey") == F.col("c_custkey"), "left")
-        .join(na, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-    )
-    null_money = F.lit(None).cast("decimal(18,2)")
-    return j.select(
+def _return_fact_struct() -> Column:
+    none = F.lit(None).cast(_ZERO)
+    return F.struct(
         F.lit("return_completed").alias("event_type"),
+        none.alias("gross_amount"),
+        none.alias("discount_amount"),
+        none.alias("tax_amount"),
+        none.alias("shipping_amount"),
+        none.alias("net_amount"),
+        F.col("refund_amount").cast(_ZERO).alias("refund_amount"),
+    )
+
+
+def _facts(rollup: DataFrame, facts: Column) -> DataFrame:
+    """Order attributes + one row per element of the ``facts`` array."""
+    return rollup.select(
         F.col("o_orderdate").alias("event_ts"),
         F.col("o_orderkey").cast("string").alias("order_id"),
         F.col("o_custkey").cast("string").alias("customer_id"),
@@ -175,18 +175,34 @@ def return_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_name").alias("nation"),
         F.col("o_orderstatus").alias("order_status"),
         F.year("o_orderdate").alias("order_year"),
-        null_money.alias("gross_amount"),
-        null_money.alias("discount_amount"),
-        null_money.alias("tax_amount"),
-        null_money.alias("shipping_amount"),
-        null_money.alias("net_amount"),
-        F.col("refund_amount").cast("decimal(18,2)").alias("refund_amount"),
+        F.explode(facts).alias("f"),
+    ).select(
+        "f.event_type", "event_ts", "order_id", "customer_id", "campaign_id", "customer_segment_seed", "nation",
+        "order_status", "order_year", "f.gross_amount", "f.discount_amount", "f.tax_amount", "f.shipping_amount",
+        "f.net_amount", "f.refund_amount",
     )
 
 
+def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """order_placed facts: one row per order."""
+    return _facts(_order_rollup(spark, sf_dir), F.array(_order_fact_struct()))
+
+
+def return_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """return_completed facts: per order with returned (flag R) lines,
+    refund = Σ (line - discount) of those lines."""
+    rollup = _order_rollup(spark, sf_dir).where(F.col("refund_amount").isNotNull())
+    return _facts(rollup, F.array(_return_fact_struct()))
+
+
 def sales_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """order_placed + return_completed facts (SET-01 union by name)."""
-    return order_facts(spark, sf_dir).unionByName(return_facts(spark, sf_dir))
+    """order_placed + return_completed facts from a single pass: each order
+    row is exploded into its order fact and, when it has returned lines, its
+    return fact (no second scan, no union)."""
+    facts = F.array_compact(
+        F.array(_order_fact_struct(), F.when(F.col("refund_amount").isNotNull(), _return_fact_struct()))
+    )
+    return _facts(_order_rollup(spark, sf_dir), facts)
 
 
 def line_lifecycle_facts(spark: SparkSession, sf_dir: str) -> DataFrame:

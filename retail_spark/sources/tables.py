@@ -37,7 +37,34 @@ def read_master(spark: SparkSession, path: str, name: str) -> DataFrame:
     return spark.read.schema(MASTER_SCHEMAS[name]).option("multiLine", "true").json(path)
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """One driver table (``<sf_dir>/<name>.parquet``), optionally pruned."""
+# Fact tables that carry per-row work (JSON parsing, casts, window sorts).
+FACT_TABLES = frozenset({"events", "lineitem", "orders"})
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan over all cores when it has fewer input splits than
+    the cluster has task slots (e.g. one small file with one row group).
+
+    At scale a scan has far more splits than cores and this is a no-op; it
+    only avoids running the per-row work of a narrow scan in one task.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
+
+
+def read_table(
+    spark: SparkSession, sf_dir: str, name: str, columns: Sequence[str] | None = None, *, spread_narrow: bool | None = None
+) -> DataFrame:
+    """One driver table (``<sf_dir>/<name>.parquet``), optionally pruned.
+
+    Fact tables are spread over all cores when the scan is narrower than the
+    cluster (see :func:`spread`); dimension tables are left as they are.
+    """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df.select(*columns) if columns else df
+    if columns:
+        df = df.select(*columns)
+    if spread_narrow if spread_narrow is not None else name in FACT_TABLES:
+        df = spread(df)
+    return df
