@@ -153,10 +153,15 @@ def _purchases_sql() -> str:
         sql_metadata("occurred_at", "occurred_date"),
     ]
     money_out = ", ".join(f"CAST({m} AS DOUBLE) AS {m}" for m in ("unit_price", "amount", "discount_amount", "order_total_amount"))
+    # batch dedup: earliest by time, then the remaining columns in schema order
+    tie = ", ".join(f"{c} NULLS FIRST" for c in PURCHASES_INPUT_COLS if c != "event_id")
     return f"""
 WITH p_in AS ({PURCHASES_INPUT_SQL}),
-c1 AS ({c1})
-SELECT * REPLACE ({money_out}), {', '.join(derived)} FROM c1
+c1 AS ({c1}),
+d AS (SELECT * EXCLUDE (rn) FROM (
+        SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY occurred_at IS NULL, occurred_at, {tie}) AS rn FROM c1)
+      WHERE rn = 1)
+SELECT * REPLACE ({money_out}), {', '.join(derived)} FROM d
 """
 
 

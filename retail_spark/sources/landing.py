@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 RESCUED = "_rescued_data"
 CORRUPT = "_corrupt_record"
 
+_DATASET = r"/(?:dataset=)?([^/=]+)/(?:dt|ingest_date)="
 _PATH_PARTS = {
     "dt": r"/dt=([^/]+)/",
     "hour": r"/hour=([^/]+)/",
@@ -50,22 +51,20 @@ def _reader(spark: SparkSession, streaming: bool, options: dict[str, str]):
 
 
 def path_columns(file_path: Column, root: str | None = None) -> dict[str, Column]:
-    """SRC-05: dataset and partition values parsed from the file path."""
+    """SRC-05: dataset and partition values parsed from the file path.
+
+    ``dataset`` is the folder right above ``dt=`` / ``ingest_date=`` (plain
+    ``<dataset>`` or Hive-style ``dataset=<name>``); it is added when
+    ``root`` is given (a recursive scan over several datasets).
+    """
     cols: dict[str, Column] = {}
     if root is not None:
-        prefix = root.rstrip("/").split("://")[-1]
-        cols["dataset"] = F.nullif(
-            F.regexp_extract(file_path, F.lit(_escape(prefix) + r"/([^/=]+)/"), 1), F.lit("")
-        )
+        cols["dataset"] = F.nullif(F.regexp_extract(file_path, _DATASET, 1), F.lit(""))
     for name, pattern in _PATH_PARTS.items():
         cols[name] = F.nullif(F.regexp_extract(file_path, pattern, 1), F.lit(""))
     return cols
 
 
-def _escape(text: str) -> str:
-    return "".join("\\" + ch if ch in r".^$*+?{}[]\|()" else ch for ch in text)
-
-
 def rescue(value: Column, schema: T.StructType) -> tuple[Column, Column, Column]:
     """SRC-04: (typed struct, rescued JSON or NULL, corrupt line or NULL).
 
