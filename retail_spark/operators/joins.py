@@ -65,10 +65,11 @@ def session_attribution(
     combined map-side), joined back on ``session_id`` (shuffle join: the
     session table grows with the data, so it is not broadcast).
     """
+    present = [a for a in attrs if a in events.columns]
     starts = (
         events.where(F.col(type_column) == F.lit(start_type))
         .groupBy(session_column)
-        .agg(*[F.min(a).alias(f"session_{a}") for a in attrs])
+        .agg(*[F.min(a).alias(f"session_{a}") for a in present])
     )
     return events.join(starts, session_column, "left")
 
