@@ -211,15 +211,21 @@ def jaccard_similarity(
     item: str = "product_id",
     threshold: float = 0.5,
     block: int = DEFAULT_BLOCK,
+    max_array_set: int = 10_000,
 ) -> DataFrame:
     """GRF-04 / JON-06: all entity pairs with Jaccard(items) >= ``threshold``.
 
     Exact, via prefix filtering: items get a global order (rarest first);
     two sets with Jaccard >= t must share one of their first
     ``|s| - ceil(t|s|) + 1`` items, and their sizes must be within a factor
-    t. Candidates from shared prefix items are verified by counting the
-    exact intersection. Output: entity_a < entity_b, sizes, intersection,
-    jaccard.
+    t. Candidates from shared prefix items are verified exactly:
+
+    * both sets have at most ``max_array_set`` items: intersect the two sorted
+      item arrays (one small row per entity, joined to the candidates);
+    * otherwise: explode one side's items and semi-join the other's (no
+      entity's items are ever gathered into one row beyond the bound).
+
+    Output: entity_a < entity_b, sizes, intersection, jaccard.
     """
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be in (0, 1]")
@@ -239,22 +245,36 @@ def jaccard_similarity(
         .select(f"{entity}_a", f"{entity}_b", "__n_a", "__n_b")
         .distinct()
     )
-    # exact intersection: items of a that b also has
-    a_items = sets.select(F.col(entity).alias(f"{entity}_a"), item)
-    b_items = sets.select(F.col(entity).alias(f"{entity}_b"), item)
-    inter = (
-        cand.join(a_items, f"{entity}_a")
-        .join(b_items, [f"{entity}_b", item], "left_semi")
-        .groupBy(f"{entity}_a", f"{entity}_b", "__n_a", "__n_b")
+    a, b = f"{entity}_a", f"{entity}_b"
+    small = (F.col("__n_a") <= max_array_set) & (F.col("__n_b") <= max_array_set)
+    # (1) bounded sets: sorted item arrays, intersected per candidate pair
+    arrays = (
+        sets.join(sizes.where(F.col("__n") <= max_array_set).select(entity), entity, "left_semi")
+        .groupBy(entity)
+        .agg(F.array_sort(F.collect_list(item)).alias("__items"))
+    )
+    inter_small = (
+        cand.where(small)
+        .join(arrays.select(F.col(entity).alias(a), F.col("__items").alias("__ia")), a)
+        .join(arrays.select(F.col(entity).alias(b), F.col("__items").alias("__ib")), b)
+        .select(a, b, "__n_a", "__n_b", F.size(F.array_intersect("__ia", "__ib")).cast("long").alias("intersection"))
+    )
+    # (2) larger sets: explode a's items, keep those b also has, count
+    a_items = sets.select(F.col(entity).alias(a), item)
+    b_items = sets.select(F.col(entity).alias(b), item)
+    inter_big = (
+        cand.where(~small)
+        .join(a_items, a)
+        .join(b_items, [b, item], "left_semi")
+        .groupBy(a, b, "__n_a", "__n_b")
         .agg(F.count(F.lit(1)).alias("intersection"))
     )
+    inter = inter_small.unionByName(inter_big)
     jac = F.col("intersection").cast("double") / (F.col("__n_a") + F.col("__n_b") - F.col("intersection")).cast("double")
     return (
         inter.withColumn("jaccard", jac)
         .where(F.col("jaccard") >= F.lit(threshold) - F.lit(1e-12))
-        .select(
-            f"{entity}_a", f"{entity}_b", F.col("__n_a").alias("size_a"), F.col("__n_b").alias("size_b"), "intersection", "jaccard"
-        )
+        .select(a, b, F.col("__n_a").alias("size_a"), F.col("__n_b").alias("size_b"), "intersection", "jaccard")
     )
 
 

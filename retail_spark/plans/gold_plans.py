@@ -254,7 +254,8 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY l_partkey"""
 def inventory_snapshots(spark: SparkSession, sf: str) -> DataFrame:
     """lineitem rows as inventory snapshots: warehouse = supplier, product =
     part, time = ship date; returned lines hold one unit back."""
-    li = read_table(spark, sf, "lineitem", ["l_suppkey", "l_partkey", "l_shipdate", "l_quantity", "l_linenumber", "l_returnflag"])
+    li = read_table(spark, sf, "lineitem", ["l_suppkey", "l_partkey", "l_shipdate", "l_quantity", "l_linenumber", "l_returnflag"],
+                    spread_narrow=False)
     q = F.col("l_quantity").cast("int")
     return li.select(
         F.col("l_shipdate").alias("snapshot_ts"),
@@ -293,7 +294,7 @@ PROMISED_SLA_DAYS = 60
 def delivery_facts(spark: SparkSession, sf: str) -> DataFrame:
     """shipment_delivered facts: lead time = ship date - order date (hours)
     for lines shipped on or after the order date."""
-    lines = A.order_lines(spark, sf)
+    lines = A.order_lines(spark, sf, spread_narrow=False)
     hours = F.datediff("l_shipdate", "o_orderdate").cast("double") * F.lit(24.0)
     return lines.where(F.col("l_shipdate") >= F.col("o_orderdate")).select(
         F.col("l_orderkey").cast("string").alias("order_id"),

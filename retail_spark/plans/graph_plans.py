@@ -22,7 +22,7 @@ DAMPING = 0.85
 
 
 def _lines(spark: SparkSession, sf: str) -> DataFrame:
-    return read_table(spark, sf, "lineitem", ["l_orderkey", "l_partkey", "l_quantity", "l_extendedprice"]).select(
+    return read_table(spark, sf, "lineitem", ["l_orderkey", "l_partkey", "l_quantity", "l_extendedprice"], spread_narrow=False).select(
         F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"), "l_quantity", "l_extendedprice"
     )
 

@@ -37,7 +37,11 @@ def read_master(spark: SparkSession, path: str, name: str) -> DataFrame:
     return spark.read.schema(MASTER_SCHEMAS[name]).option("multiLine", "true").json(path)
 
 
-# Fact tables that carry per-row work (JSON parsing, casts, window sorts).
+# Fact tables: spread by default because most plans over them do heavy
+# per-row work (cleaning dozens of string columns, JSON parsing, contract
+# checks). Light aggregations pass ``spread_narrow=False``: a narrow scan
+# feeding a plain sum is cheaper than an extra shuffle (measured 0.9 s plain
+# vs 1.7 s spread for a 600k-row sum in local mode).
 FACT_TABLES = frozenset({"events", "lineitem", "orders"})
 
 
