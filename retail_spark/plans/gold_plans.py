@@ -13,7 +13,6 @@ from retail_spark.operators.joins import within_interval
 from retail_spark.plans import adapters as A
 from retail_spark.plans.common import Plan, finalize, sql_case_map, sql_pick
 from retail_spark.sources.tables import read_table
-from retail_spark.streaming.windows import session_gaps
 
 K = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
 
@@ -185,8 +184,13 @@ FROM es GROUP BY session_id"""
 
 def q_session_gaps(spark: SparkSession, sf: str) -> DataFrame:
     """WIN-04: step order and gap to the previous event within a session."""
-    g = session_gaps(A.event_facts(spark, sf))
-    return finalize(g.select("event_id", "session_id", "step_index", "gap_seconds"))
+    # sessionize already yields the in-session step and the gap to the
+    # previous event (skew-safe); session_gaps() does the same for inputs
+    # that arrive with explicit session ids
+    g = A.event_facts(spark, sf).select(
+        "event_id", "session_id", F.col("step_in_session").alias("step_index"), F.col("seconds_since_previous").alias("gap_seconds")
+    )
+    return finalize(g)
 
 
 SESSION_GAPS_SQL = f"""WITH {EVENT_SESSIONS_SQL}

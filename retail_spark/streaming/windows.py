@@ -52,27 +52,62 @@ def sessionize(
     ts_column: str = "event_ts",
     gap_minutes: int = 30,
     session_column: str = "session_id",
+    bucket_minutes: int = 60,
 ) -> DataFrame:
     """STR-09 (batch): a new session starts when the gap to the user's
-    previous event exceeds ``gap_minutes``. Adds ``session_id`` =
-    ``<user>-<epoch seconds of the session start>``, ``session_start`` and
-    ``step_in_session`` (1-based)."""
-    w = Window.partitionBy(user_column).orderBy(ts_column, *[c for c in ("event_id",) if c in events.columns])
-    ts = F.col(ts_column).cast("timestamp")
-    prev = F.lag(ts).over(w)
-    gap_us = F.unix_micros(ts) - F.unix_micros(prev)
-    starts = events.withColumn("__new", F.when(prev.isNull() | (gap_us > F.lit(gap_minutes * 60 * 1_000_000)), 1).otherwise(0))
-    numbered = starts.withColumn("__sn", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    ws = Window.partitionBy(user_column, "__sn")
-    out = numbered.withColumn("session_start", F.min(ts_column).over(ws))
-    return out.withColumns(
+    previous event exceeds ``gap_minutes``.
+
+    Adds ``session_id`` = ``<user>-<epoch seconds of the session start>``,
+    ``session_start``, ``step_in_session`` (1-based) and
+    ``seconds_since_previous`` (NULL at a session start).
+
+    Skew-safe two-phase scan: events are only sorted within (user, time
+    bucket of ``bucket_minutes``); one summary row per (user, bucket)
+    carries the previous event time, the open session start and the
+    session's running event count across buckets. A user with a third of
+    all events is spread over all of its buckets instead of one task.
+    """
+    ts_us = F.unix_micros(F.col(ts_column).cast("timestamp"))
+    tie = [c for c in ("event_id",) if c in events.columns]
+    e = events.withColumns({"__us": ts_us, "__b": F.floor(ts_us / F.lit(bucket_minutes * 60 * 1_000_000))})
+    wl = Window.partitionBy(user_column, "__b").orderBy("__us", *tie)
+    wb = Window.partitionBy(user_column).orderBy("__b")
+    # phase 1: previous event inside the bucket, else the previous bucket's last event
+    last_in_bucket = e.groupBy(user_column, "__b").agg(F.max("__us").alias("__last"))
+    carry_prev = last_in_bucket.select(user_column, "__b", F.lag("__last").over(wb).alias("__prev_bucket_last"))
+    e = e.join(carry_prev, [user_column, "__b"])
+    prev = F.coalesce(F.lag("__us").over(wl), F.col("__prev_bucket_last"))
+    e = e.withColumn("__prev", prev)
+    is_start = F.col("__prev").isNull() | ((F.col("__us") - F.col("__prev")) > F.lit(gap_minutes * 60 * 1_000_000))
+    e = e.withColumn("__start", F.when(is_start, F.col("__us")))
+    # phase 2: the open session start = latest start so far (in bucket, else carried)
+    starts = e.groupBy(user_column, "__b").agg(F.max("__start").alias("__bucket_start"))
+    carry_start = starts.select(
+        user_column, "__b", F.max("__bucket_start").over(wb.rowsBetween(Window.unboundedPreceding, -1)).alias("__carry_start")
+    )
+    e = e.join(carry_start, [user_column, "__b"])
+    e = e.withColumn(
+        "__s", F.coalesce(F.max("__start").over(wl.rowsBetween(Window.unboundedPreceding, 0)), F.col("__carry_start"))
+    )
+    # phase 3: step = events of the session in earlier buckets + rank in this bucket
+    per = e.groupBy(user_column, "__s", "__b").agg(F.count(F.lit(1)).alias("__cnt"))
+    ws = Window.partitionBy(user_column, "__s").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    before = per.select(user_column, "__s", "__b", F.coalesce(F.sum("__cnt").over(ws), F.lit(0)).alias("__before"))
+    e = e.join(before, [user_column, "__s", "__b"])
+    wsb = Window.partitionBy(user_column, "__s", "__b").orderBy("__us", *tie)
+    out = e.withColumns(
         {
+            "session_start": F.timestamp_micros("__s"),
             session_column: F.concat_ws(
-                "-", F.col(user_column).cast("string"), F.unix_timestamp(F.col("session_start").cast("timestamp")).cast("string")
+                "-", F.col(user_column).cast("string"), F.floor(F.col("__s") / F.lit(1_000_000)).cast("string")
+            ),
+            "step_in_session": (F.col("__before") + F.row_number().over(wsb)).cast("int"),
+            "seconds_since_previous": F.when(
+                ~is_start, F.col("__us") / F.lit(1_000_000.0) - F.col("__prev") / F.lit(1_000_000.0)
             ),
-            "step_in_session": F.row_number().over(w.partitionBy(user_column, "__sn")),
         }
-    ).drop("__new", "__sn")
+    )
+    return out.drop("__us", "__b", "__prev", "__prev_bucket_last", "__start", "__carry_start", "__s", "__before")
 
 
 def session_windows(

@@ -82,3 +82,32 @@ def test_frequent_itemsets_and_rules(spark):
     assert fi == {((10,), 3), ((11,), 2), ((10, 11), 2)}
     rules = {(r.antecedent, r.consequent): round(r.confidence, 6) for r in GR.association_rules(GR.frequent_itemsets(lines, min_count=2), 3).collect()}
     assert rules == {(10, 11): round(2 / 3, 6), (11, 10): 1.0}
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 2), st.integers(0, 400)), min_size=1, max_size=40, unique=True))
+def test_sessionize_two_phase_matches_brute_force(spark, evs):
+    from pyspark.sql import functions as F
+
+    from retail_spark.streaming.windows import sessionize
+
+    # minutes offsets; 30-minute gap, 7-minute buckets so sessions span buckets
+    df = spark.createDataFrame([(str(i), u, m) for i, (u, m) in enumerate(evs)], "event_id string, customer_id int, m int")
+    df = df.withColumn("event_ts", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("m") * 60))
+    got = {r.event_id: (r.session_start.timestamp(), r.step_in_session, r.seconds_since_previous)
+           for r in sessionize(df, gap_minutes=30, bucket_minutes=7).collect()}
+    want = {}
+    by_user = defaultdict(list)
+    for i, (u, m) in enumerate(evs):
+        by_user[u].append((m, str(i)))
+    for u, items in by_user.items():
+        items.sort()
+        start, step, prev = None, 0, None
+        for m, eid in items:
+            if prev is None or (m - prev) * 60 > 30 * 60:
+                start, step, gap = m, 1, None
+            else:
+                step, gap = step + 1, float((m - prev) * 60)
+            want[eid] = (1_700_000_000 + start * 60, step, gap)
+            prev = m
+    assert got == want
