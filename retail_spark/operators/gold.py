@@ -257,14 +257,26 @@ def first_purchase_flags(
 
 
 def line_positions(
-    lines: DataFrame, *, order: str = "order_id", sort: Sequence[str] = ("line_number",)
+    lines: DataFrame, *, order: str = "order_id", sort: Sequence[str] = ("line_number",), bucket_width: int = 1024
 ) -> DataFrame:
     """WIN-06: ``order_item_index`` (1-based, by ``sort``) and
-    ``order_item_count`` per order."""
-    w = Window.partitionBy(order).orderBy(*sort)
-    return lines.withColumns(
-        {
-            "order_item_index": F.row_number().over(w),
-            "order_item_count": F.count(F.lit(1)).over(Window.partitionBy(order)),
-        }
+    ``order_item_count`` per order.
+
+    Two-phase, so a huge order is not sorted in one task: rows are ranked
+    within (order, bucket of the first sort column / ``bucket_width``), and
+    the row counts of the order's earlier buckets (one summary row per
+    bucket) are added. The count per order is a combinable aggregation.
+    """
+    first = F.col(sort[0])
+    b = lines.withColumn("__b", F.floor(first / F.lit(bucket_width)))
+    per_bucket = b.groupBy(order, "__b").agg(F.count(F.lit(1)).alias("__cnt"))
+    wb = Window.partitionBy(order).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    carried = per_bucket.select(
+        order, "__b", F.coalesce(F.sum("__cnt").over(wb), F.lit(0)).alias("__before"),
+    )
+    totals = per_bucket.groupBy(order).agg(F.sum("__cnt").alias("order_item_count"))
+    w = Window.partitionBy(order, "__b").orderBy(*sort)
+    out = b.join(carried, [order, "__b"]).join(totals, order)
+    return out.withColumn("order_item_index", (F.col("__before") + F.row_number().over(w)).cast("int")).select(
+        *lines.columns, "order_item_index", "order_item_count"
     )

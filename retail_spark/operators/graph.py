@@ -32,6 +32,32 @@ from retail_spark.session import ensure_shared_dir
 DEFAULT_BLOCK = 256
 
 
+def top_n_per_group(
+    df: DataFrame,
+    group: str | Sequence[str],
+    order: Sequence[Column],
+    n: int,
+    *,
+    rank_column: str = "rank",
+    salt_buckets: int = 64,
+    salt_on: str | None = None,
+) -> DataFrame:
+    """Exact top-``n`` rows per group (``row_number`` by ``order``).
+
+    Two levels, so no task sorts a whole hot group: rows are first ranked
+    within (group, hash bucket of ``salt_on``) keeping ``n`` per bucket, then
+    the at most ``n x salt_buckets`` survivors are ranked per group. The
+    global top-n is always among the per-bucket top-n, so the result is
+    exact. ``order`` must be a total order (end with a unique column).
+    """
+    groups = [group] if isinstance(group, str) else list(group)
+    salt = F.pmod(F.xxhash64(F.col(salt_on) if salt_on else F.struct(*df.columns)), F.lit(salt_buckets))
+    w1 = Window.partitionBy(*groups, "__salt").orderBy(*order)
+    first = df.withColumn("__salt", salt).withColumn("__r1", F.row_number().over(w1)).where(F.col("__r1") <= n)
+    w2 = Window.partitionBy(*groups).orderBy(*order)
+    return first.withColumn(rank_column, F.row_number().over(w2)).where(F.col(rank_column) <= n).drop("__salt", "__r1")
+
+
 def interaction_edges(
     events: DataFrame,
     *,
@@ -393,8 +419,7 @@ def top_k_related(
     both = pairs.select(F.col(f"{item}_a").alias(item), F.col(f"{item}_b").alias("related_id"), F.col(score).alias("score")).unionByName(
         pairs.select(F.col(f"{item}_b").alias(item), F.col(f"{item}_a").alias("related_id"), F.col(score).alias("score"))
     )
-    w = Window.partitionBy(item).orderBy(F.desc("score"), F.asc("related_id"))
-    return both.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return top_n_per_group(both, item, [F.desc("score"), F.asc("related_id")], k, salt_on="related_id")
 
 
 def recommend_items(
@@ -420,8 +445,7 @@ def recommend_items(
     )
     pop = products.select(item, category).join(popularity.select(item, F.col("units").cast("double").alias("pop")), item, "left")
     pop = pop.withColumn("pop", F.coalesce("pop", F.lit(0.0)))
-    wcat = Window.partitionBy(category).orderBy(F.desc("pop"), F.asc(item))
-    best = pop.withColumn("__r", F.row_number().over(wcat)).where(F.col("__r") <= 2 * k + 1).select(
+    best = top_n_per_group(pop, category, [F.desc("pop"), F.asc(item)], 2 * k + 1, rank_column="__r", salt_on=item).select(
         category, F.col(item).alias("related_id"), F.col("pop").alias("score")
     )
     fallback = (
@@ -431,10 +455,11 @@ def recommend_items(
         .select(item, "related_id", F.lit(1).alias("tier"), "score")
     )
     cands = co.unionByName(fallback)
-    w1 = Window.partitionBy(item, "related_id").orderBy("tier")
-    cands = cands.withColumn("__d", F.row_number().over(w1)).where(F.col("__d") == 1).drop("__d")
-    w = Window.partitionBy(item).orderBy("tier", F.desc("score"), F.asc("related_id"))
-    return cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    # a partner that is also a category best seller keeps its co-purchase tier
+    cands = cands.groupBy(item, "related_id").agg(F.min(F.struct("tier", F.col("score"))).alias("__t")).select(
+        item, "related_id", "__t.tier", "__t.score"
+    )
+    return top_n_per_group(cands, item, [F.asc("tier"), F.desc("score"), F.asc("related_id")], k, salt_on="related_id")
 
 
 def attribute_similar(
@@ -458,12 +483,8 @@ def attribute_similar(
     p = products.select(item, category, brand).join(
         popularity.select(item, F.col("units").cast("double").alias("pop")), item, "left"
     ).withColumn("pop", F.coalesce("pop", F.lit(0.0)))
-    top_cat = p.withColumn("__r", F.row_number().over(Window.partitionBy(category).orderBy(F.desc("pop"), F.asc(item)))).where(
-        F.col("__r") <= k + 1
-    )
-    top_brand = p.withColumn("__r", F.row_number().over(Window.partitionBy(brand).orderBy(F.desc("pop"), F.asc(item)))).where(
-        F.col("__r") <= 2 * k + 2
-    )
+    top_cat = top_n_per_group(p, category, [F.desc("pop"), F.asc(item)], k + 1, rank_column="__r", salt_on=item)
+    top_brand = top_n_per_group(p, brand, [F.desc("pop"), F.asc(item)], 2 * k + 2, rank_column="__r", salt_on=item)
     base = p.select(item, category, brand)
     c1 = base.join(
         top_cat.select(category, F.col(item).alias("related_id"), F.col("pop").alias("score")), category
@@ -476,5 +497,4 @@ def attribute_similar(
         .select(item, "related_id", F.lit(1).alias("tier"), "score")
     )
     cands = c1.unionByName(c2).where(F.col(item) != F.col("related_id"))
-    w = Window.partitionBy(item).orderBy("tier", F.desc("score"), F.asc("related_id"))
-    return cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return top_n_per_group(cands, item, [F.asc("tier"), F.desc("score"), F.asc("related_id")], k, salt_on="related_id")

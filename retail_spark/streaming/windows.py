@@ -52,7 +52,7 @@ def sessionize(
     ts_column: str = "event_ts",
     gap_minutes: int = 30,
     session_column: str = "session_id",
-    bucket_minutes: int = 60,
+    bucket_minutes: int = 360,
 ) -> DataFrame:
     """STR-09 (batch): a new session starts when the gap to the user's
     previous event exceeds ``gap_minutes``.
