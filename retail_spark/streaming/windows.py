@@ -61,53 +61,92 @@ def sessionize(
     ``session_start``, ``step_in_session`` (1-based) and
     ``seconds_since_previous`` (NULL at a session start).
 
-    Skew-safe two-phase scan: events are only sorted within (user, time
-    bucket of ``bucket_minutes``); one summary row per (user, bucket)
-    carries the previous event time, the open session start and the
-    session's running event count across buckets. A user with a third of
-    all events is spread over all of its buckets instead of one task.
+    Skew-safe scan in two passes over (user, time bucket) partitions:
+
+    1. within each bucket, sort the events and find the session starts that
+       do not depend on earlier buckets (gaps inside the bucket); reduce
+       each bucket to one summary row (first/last time, count, last
+       internal start and its position);
+    2. prefix-scan the summary rows per user in bucket order (rows bounded
+       by the user's time span, not by its event count) to get what each
+       bucket inherits: previous event time, the open session's start and
+       its position; join it back on (user, bucket) - the partitioning the
+       in-bucket windows already use - and finish every event locally.
+
+    A user holding a third of all events is spread over all its buckets.
     """
-    ts_us = F.unix_micros(F.col(ts_column).cast("timestamp"))
+    gap_us = F.lit(gap_minutes * 60 * 1_000_000)
     tie = [c for c in ("event_id",) if c in events.columns]
-    e = events.withColumns({"__us": ts_us, "__b": F.floor(ts_us / F.lit(bucket_minutes * 60 * 1_000_000))})
+    us = F.unix_micros(F.col(ts_column).cast("timestamp"))
+    e = events.withColumns({"__us": us, "__b": F.floor(us / F.lit(bucket_minutes * 60 * 1_000_000))})
     wl = Window.partitionBy(user_column, "__b").orderBy("__us", *tie)
+    upto = wl.rowsBetween(Window.unboundedPreceding, 0)
+    e = e.withColumns({"__lprev": F.lag("__us").over(wl), "__lidx": F.row_number().over(wl)})
+    internal = F.col("__lprev").isNotNull() & ((F.col("__us") - F.col("__lprev")) > gap_us)
+    e = e.withColumn("__istart", internal)
+
+    summary = e.groupBy(user_column, "__b").agg(
+        F.min("__us").alias("__first"),
+        F.max("__us").alias("__last"),
+        F.count(F.lit(1)).alias("__cnt"),
+        F.max(F.when(F.col("__istart"), F.col("__us"))).alias("__lis_us"),
+        F.max(F.when(F.col("__istart"), F.col("__lidx"))).alias("__lis_pos"),
+    )
     wb = Window.partitionBy(user_column).orderBy("__b")
-    # phase 1: previous event inside the bucket, else the previous bucket's last event
-    last_in_bucket = e.groupBy(user_column, "__b").agg(F.max("__us").alias("__last"))
-    carry_prev = last_in_bucket.select(user_column, "__b", F.lag("__last").over(wb).alias("__prev_bucket_last"))
-    e = e.join(carry_prev, [user_column, "__b"])
-    prev = F.coalesce(F.lag("__us").over(wl), F.col("__prev_bucket_last"))
-    e = e.withColumn("__prev", prev)
-    is_start = F.col("__prev").isNull() | ((F.col("__us") - F.col("__prev")) > F.lit(gap_minutes * 60 * 1_000_000))
-    e = e.withColumn("__start", F.when(is_start, F.col("__us")))
-    # phase 2: the open session start = latest start so far (in bucket, else carried)
-    starts = e.groupBy(user_column, "__b").agg(F.max("__start").alias("__bucket_start"))
-    carry_start = starts.select(
-        user_column, "__b", F.max("__bucket_start").over(wb.rowsBetween(Window.unboundedPreceding, -1)).alias("__carry_start")
+    before = wb.rowsBetween(Window.unboundedPreceding, -1)
+    summary = summary.withColumns(
+        {
+            "__prev_last": F.lag("__last").over(wb),
+            "__p": F.coalesce(F.sum("__cnt").over(before), F.lit(0)),
+        }
+    )
+    first_is_start = F.col("__prev_last").isNull() | ((F.col("__first") - F.col("__prev_last")) > gap_us)
+    summary = summary.withColumns(
+        {
+            "__first_start": first_is_start,
+            "__last_start_us": F.coalesce(F.col("__lis_us"), F.when(first_is_start, F.col("__first"))),
+            "__last_start_abs": F.when(F.col("__lis_us").isNotNull(), F.col("__p") + F.col("__lis_pos") - 1).when(
+                first_is_start, F.col("__p")
+            ),
+        }
     )
-    e = e.join(carry_start, [user_column, "__b"])
-    e = e.withColumn(
-        "__s", F.coalesce(F.max("__start").over(wl.rowsBetween(Window.unboundedPreceding, 0)), F.col("__carry_start"))
+    carry = summary.select(
+        user_column,
+        "__b",
+        "__prev_last",
+        "__first_start",
+        "__p",
+        F.max("__last_start_us").over(before).alias("__open_us"),
+        F.max("__last_start_abs").over(before).alias("__open_abs"),
     )
-    # phase 3: step = events of the session in earlier buckets + rank in this bucket
-    per = e.groupBy(user_column, "__s", "__b").agg(F.count(F.lit(1)).alias("__cnt"))
-    ws = Window.partitionBy(user_column, "__s").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    before = per.select(user_column, "__s", "__b", F.coalesce(F.sum("__cnt").over(ws), F.lit(0)).alias("__before"))
-    e = e.join(before, [user_column, "__s", "__b"])
-    wsb = Window.partitionBy(user_column, "__s", "__b").orderBy("__us", *tie)
+    e = e.join(carry, [user_column, "__b"])
+    is_start = F.when(F.col("__lprev").isNull(), F.col("__first_start")).otherwise(F.col("__istart"))
+    e = e.withColumns(
+        {
+            "__start": is_start,
+            "__prev": F.coalesce(F.col("__lprev"), F.col("__prev_last")),
+            "__abs": F.col("__p") + F.col("__lidx") - 1,
+        }
+    )
+    s_us = F.coalesce(F.max(F.when(F.col("__start"), F.col("__us"))).over(upto), F.col("__open_us"))
+    s_abs = F.coalesce(F.max(F.when(F.col("__start"), F.col("__abs"))).over(upto), F.col("__open_abs"))
+    e = e.withColumns({"__s": s_us, "__sabs": s_abs})
     out = e.withColumns(
         {
             "session_start": F.timestamp_micros("__s"),
             session_column: F.concat_ws(
                 "-", F.col(user_column).cast("string"), F.floor(F.col("__s") / F.lit(1_000_000)).cast("string")
             ),
-            "step_in_session": (F.col("__before") + F.row_number().over(wsb)).cast("int"),
+            "step_in_session": (F.col("__abs") - F.col("__sabs") + 1).cast("int"),
             "seconds_since_previous": F.when(
-                ~is_start, F.col("__us") / F.lit(1_000_000.0) - F.col("__prev") / F.lit(1_000_000.0)
+                ~F.col("__start"), F.col("__us") / F.lit(1_000_000.0) - F.col("__prev") / F.lit(1_000_000.0)
             ),
         }
     )
-    return out.drop("__us", "__b", "__prev", "__prev_bucket_last", "__start", "__carry_start", "__s", "__before")
+    return out.drop(
+        "__us", "__b", "__lprev", "__lidx", "__istart", "__prev_last", "__first_start", "__p", "__open_us",
+        "__open_abs", "__start", "__prev", "__abs", "__s", "__sabs",
+    )
 
 
 def session_windows(
