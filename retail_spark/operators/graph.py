@@ -136,6 +136,24 @@ def baskets(lines: DataFrame, *, basket: str = "order_id", item: str = "product_
     return lines.where(F.col(basket).isNotNull() & F.col(item).isNotNull()).select(basket, item).distinct()
 
 
+def copurchase_pairs(
+    lines: DataFrame,
+    *,
+    basket: str = "order_id",
+    item: str = "product_id",
+    min_count: int = 1,
+    block: int = DEFAULT_BLOCK,
+) -> DataFrame:
+    """JON-05: (item_a < item_b, ``pair_orders``) - baskets holding both."""
+    b = baskets(lines, basket=basket, item=item)
+    return (
+        block_pairs(b, basket, item, block=block)
+        .groupBy(f"{item}_a", f"{item}_b")
+        .agg(F.count(F.lit(1)).alias("pair_orders"))
+        .where(F.col("pair_orders") >= min_count)
+    )
+
+
 def copurchase_edges(
     lines: DataFrame,
     *,
@@ -152,12 +170,7 @@ def copurchase_edges(
     b = baskets(lines, basket=basket, item=item)
     total = b.select(F.count_distinct(basket)).first()[0] or 0
     counts = b.groupBy(item).agg(F.count(F.lit(1)).alias("item_orders"))
-    pairs = (
-        block_pairs(b, basket, item, block=block)
-        .groupBy(f"{item}_a", f"{item}_b")
-        .agg(F.count(F.lit(1)).alias("pair_orders"))
-        .where(F.col("pair_orders") >= min_count)
-    )
+    pairs = copurchase_pairs(lines, basket=basket, item=item, min_count=min_count, block=block)
     # per-item counts are derived (aggregated): AQE broadcasts them at
     # runtime when their measured size is small, else they stay shuffled
     ca = counts.select(F.col(item).alias(f"{item}_a"), F.col("item_orders").alias("orders_a"))

@@ -31,6 +31,10 @@ def _pairs(spark: SparkSession, sf: str) -> DataFrame:
     return GR.copurchase_edges(_lines(spark, sf))
 
 
+def _pair_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return GR.copurchase_pairs(_lines(spark, sf))
+
+
 def _popularity(spark: SparkSession, sf: str) -> DataFrame:
     return _lines(spark, sf).groupBy("product_id").agg(F.sum(F.col("l_quantity").cast("int")).cast("long").alias("units"))
 
@@ -91,7 +95,7 @@ FROM p JOIN c ca ON p.product_id_a = ca.product_id JOIN c cb ON p.product_id_b =
 
 def q_copurchase_topk(spark: SparkSession, sf: str) -> DataFrame:
     """WIN-03: top-5 co-purchased partners per product."""
-    return GR.top_k_related(_pairs(spark, sf), k=TOP_K)
+    return GR.top_k_related(_pair_counts(spark, sf), k=TOP_K)
 
 
 COPURCHASE_TOPK_SQL = f"""WITH {BASKETS_SQL},
@@ -103,7 +107,7 @@ WHERE rank <= {TOP_K}"""
 
 def q_recommend_items(spark: SparkSession, sf: str) -> DataFrame:
     """GRF-08: co-purchase partners first, then the category's best sellers."""
-    return GR.recommend_items(_pairs(spark, sf), _products(spark, sf), _popularity(spark, sf), k=TOP_K)
+    return GR.recommend_items(_pair_counts(spark, sf), _products(spark, sf), _popularity(spark, sf), k=TOP_K)
 
 
 RECOMMEND_ITEMS_SQL = f"""WITH {BASKETS_SQL}, {POP_SQL},
@@ -168,7 +172,7 @@ SELECT u AS vertex, MIN(v) AS label FROM r GROUP BY u"""
 
 def q_graph_degree(spark: SparkSession, sf: str) -> DataFrame:
     """GRF-06: degree and weighted degree on the co-purchase graph."""
-    return GR.degrees(_pairs(spark, sf), src="product_id_a", dst="product_id_b", weight="pair_orders")
+    return GR.degrees(_pair_counts(spark, sf), src="product_id_a", dst="product_id_b", weight="pair_orders")
 
 
 GRAPH_DEGREE_SQL = f"""WITH {BASKETS_SQL},
@@ -178,7 +182,7 @@ SELECT vertex, COUNT(*) AS degree, CAST(SUM(w) AS BIGINT) AS weighted_degree FRO
 
 def q_pagerank(spark: SparkSession, sf: str) -> DataFrame:
     """GRF-06: 10 PageRank iterations on the co-purchase graph (rounded to 1e-9)."""
-    r = GR.pagerank(_pairs(spark, sf), src="product_id_a", dst="product_id_b", iterations=PAGERANK_ITERS, damping=DAMPING)
+    r = GR.pagerank(_pair_counts(spark, sf), src="product_id_a", dst="product_id_b", iterations=PAGERANK_ITERS, damping=DAMPING)
     return r.select("vertex", F.round("rank", 9).alias("rank"))
 
 
