@@ -164,12 +164,40 @@ def session_windows(
     ).select(user_column, F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"), "events")
 
 
-def session_gaps(events: DataFrame, *, session_column: str = "session_id", ts_column: str = "event_ts") -> DataFrame:
-    """WIN-04: step order and gap (seconds) to the previous event in the session."""
-    w = Window.partitionBy(session_column).orderBy(ts_column, *[c for c in ("event_id",) if c in events.columns])
-    return events.withColumns(
+def session_gaps(
+    events: DataFrame,
+    *,
+    session_column: str = "session_id",
+    ts_column: str = "event_ts",
+    bucket_minutes: int = 360,
+) -> DataFrame:
+    """WIN-04: ``step_index`` (1-based, by time then event id) and
+    ``gap_seconds`` to the previous event of the same session (NULL for the
+    first), for inputs that carry explicit session ids.
+
+    Two-phase like :func:`sessionize`: events are sorted only within
+    (session, time bucket); one summary row per bucket carries the previous
+    bucket's last event time and the count of earlier events, so a session
+    holding a third of all events is spread over its buckets.
+    """
+    tie = [c for c in ("event_id",) if c in events.columns]
+    us = F.unix_micros(F.col(ts_column).cast("timestamp"))
+    e = events.withColumns({"__us": us, "__b": F.floor(us / F.lit(bucket_minutes * 60 * 1_000_000))})
+    wl = Window.partitionBy(session_column, "__b").orderBy("__us", *tie)
+    e = e.withColumns({"__lprev": F.lag("__us").over(wl), "__lidx": F.row_number().over(wl)})
+    summary = e.groupBy(session_column, "__b").agg(F.max("__us").alias("__last"), F.count(F.lit(1)).alias("__cnt"))
+    wb = Window.partitionBy(session_column).orderBy("__b")
+    carry = summary.select(
+        session_column,
+        "__b",
+        F.lag("__last").over(wb).alias("__prev_last"),
+        F.coalesce(F.sum("__cnt").over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__p"),
+    )
+    e = e.join(carry, [session_column, "__b"])
+    prev = F.coalesce(F.col("__lprev"), F.col("__prev_last"))
+    return e.withColumns(
         {
-            "step_index": F.row_number().over(w),
-            "gap_seconds": F.col(ts_column).cast("double") - F.lag(ts_column).over(w).cast("double"),
+            "step_index": (F.col("__p") + F.col("__lidx")).cast("int"),
+            "gap_seconds": F.col("__us") / F.lit(1_000_000.0) - prev / F.lit(1_000_000.0),
         }
-    )
+    ).drop("__us", "__b", "__lprev", "__lidx", "__prev_last", "__p")

@@ -111,3 +111,20 @@ def test_sessionize_two_phase_matches_brute_force(spark, evs):
             want[eid] = (1_700_000_000 + start * 60, step, gap)
             prev = m
     assert got == want
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 2), st.integers(0, 300)), min_size=1, max_size=30, unique=True))
+def test_session_gaps_two_phase_matches_window(spark, evs):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from retail_spark.streaming.windows import session_gaps
+
+    df = spark.createDataFrame([(str(i), f"s{u}", m) for i, (u, m) in enumerate(evs)], "event_id string, session_id string, m int")
+    df = df.withColumn("event_ts", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("m") * 60))
+    got = {r.event_id: (r.step_index, r.gap_seconds) for r in session_gaps(df, bucket_minutes=7).collect()}
+    w = Window.partitionBy("session_id").orderBy("event_ts", "event_id")
+    ref = df.withColumns({"s": F.row_number().over(w), "g": F.col("event_ts").cast("double") - F.lag("event_ts").over(w).cast("double")})
+    want = {r.event_id: (r.s, r.g) for r in ref.collect()}
+    assert got == want
