@@ -256,8 +256,9 @@ def jaccard_similarity(
 
     Exact, via prefix filtering: items get a global order (rarest first);
     two sets with Jaccard >= t must share one of their first
-    ``|s| - ceil(t|s|) + 1`` items, and their sizes must be within a factor
-    t. Candidates from shared prefix items are verified exactly:
+    ``|s| - ceil(t|s|) + 1`` items, their sizes must be within a factor t,
+    and (positional filter) the items left after a shared one must still
+    allow the needed overlap. Candidates are verified exactly:
 
     * both sets have at most ``max_array_set`` items: intersect the two sorted
       item arrays (one small row per entity, joined to the candidates);
@@ -275,11 +276,18 @@ def jaccard_similarity(
     w = Window.partitionBy(entity).orderBy("__f", item)
     ranked = ranked.withColumn("__pos", F.row_number().over(w))
     prefix_len = F.col("__n") - F.ceil(F.col("__n") * F.lit(threshold) - F.lit(1e-9)) + 1
-    prefix = ranked.where(F.col("__pos") <= prefix_len).select(item, entity, "__n")
+    prefix = ranked.where(F.col("__pos") <= prefix_len).select(item, entity, "__n", "__pos")
+    # positional filter: sharing token w at positions i, j leaves at most
+    # 1 + min(|a| - i, |b| - j) common items from w on; a pair needs
+    # ceil(t / (1 + t) * (|a| + |b|)). Emissions failing it are dropped - a
+    # feasible pair always passes at its first shared prefix token.
+    need = F.ceil(F.lit(threshold / (1.0 + threshold)) * (F.col("__n_a") + F.col("__n_b")).cast("double") - F.lit(1e-9))
+    reach = F.lit(1) + F.least(F.col("__n_a") - F.col("__pos_a"), F.col("__n_b") - F.col("__pos_b"))
     cand = (
-        block_pairs(prefix, item, entity, block=block, extra=("__n",))
+        block_pairs(prefix, item, entity, block=block, extra=("__n", "__pos"))
         .where(
             (F.least("__n_a", "__n_b").cast("double") >= F.lit(threshold) * F.greatest("__n_a", "__n_b").cast("double") - F.lit(1e-9))
+            & (reach >= need)
         )
         .select(f"{entity}_a", f"{entity}_b", "__n_a", "__n_b")
         .distinct()
