@@ -10,7 +10,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from retail_spark.operators import dims as D
-from retail_spark.operators.joins import broadcast_if_small, enrich, session_attribution, within_interval
+from retail_spark.operators.joins import broadcast_if_small, enrich, is_small, session_attribution, within_interval
 from retail_spark.operators.quality import inventory_identity, lead_time_check
 from retail_spark.sources.tables import read_master
 
@@ -76,6 +76,9 @@ def test_stream_static_enrichment_and_attribution(spark, scratch):
     )
     att = {(r.session_id, r.event_type): r.session_channel for r in session_attribution(ev).collect()}
     assert att[("s1", "order_placed")] == "email" and att[("s2", "page_view")] is None
+    # the broadcast hint is only given behind a proven row bound
+    assert is_small(dim, 1) and not is_small(ev, 2)
+    assert broadcast_if_small(dim, 1).collect() == dim.collect()
 
 
 def test_interval_join_and_lead_time(spark):
