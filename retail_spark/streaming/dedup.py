@@ -28,6 +28,7 @@ def earliest_per_key(
     order_by: Sequence[str | Column] = (),
     *,
     nulls_last: bool = True,
+    only_duplicated_keys: bool = False,
 ) -> DataFrame:
     """WIN-01: keep one row per key, the first by ``order_by`` then all columns.
 
@@ -37,6 +38,8 @@ def earliest_per_key(
     as a partial/final aggregation.
     """
     keys = list(keys)
+    if only_duplicated_keys:
+        return _earliest_for_duplicated_keys(df, keys, order_by, nulls_last)
     payload = [c for c in df.columns if c not in keys]
     order_exprs: list[Column] = []
     for i, o in enumerate(order_by):
@@ -49,6 +52,24 @@ def earliest_per_key(
     return picked.select(*keys, *[F.col("__pick").getField(c).alias(c) for c in payload]).select(*df.columns)
 
 
+def _earliest_for_duplicated_keys(
+    df: DataFrame, keys: list[str], order_by: Sequence[str | Column], nulls_last: bool
+) -> DataFrame:
+    """Same result, but whole rows are shuffled only for keys that occur more
+    than once: a keys-only count finds them, rows with unique keys pass
+    through (anti join), the rest go through the min(struct) aggregation.
+    NULL keys compare equal (they collapse, as in the streaming dedup)."""
+    dups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__c")).where(F.col("__c") > 1)
+    dups = dups.select(*[F.col(k).alias(f"__d_{k}") for k in keys])
+    cond = None
+    for k in keys:
+        c = df[k].eqNullSafe(F.col(f"__d_{k}"))
+        cond = c if cond is None else cond & c
+    unique_rows = df.join(dups, cond, "left_anti")
+    dup_rows = df.join(dups, cond, "left_semi")
+    return unique_rows.unionByName(earliest_per_key(dup_rows, keys, order_by, nulls_last=nulls_last))
+
+
 def drop_duplicates_on(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """SET-02: distinct on key (any survivor); map-side combined by Spark."""
     return df.dropDuplicates(list(keys))

@@ -105,3 +105,15 @@ def test_batch_dedup_is_deterministic_and_keeps_earliest(spark):
     )
     out = {r.event_id: r.action for r in transform_clicks(df.repartition(3)).collect()}
     assert out == {"e1": "a", "e2": "y"}  # NULL timestamps sort last
+
+
+def test_dedup_duplicated_keys_only_is_equivalent(spark):
+    from retail_spark.streaming.dedup import earliest_per_key
+
+    df = spark.createDataFrame(
+        [("a", 3, "x"), ("a", 1, "y"), ("b", 5, "z"), (None, 2, "n1"), (None, 1, "n2"), ("c", None, "q"), ("c", 4, "r")],
+        "k string, t int, v string",
+    )
+    full = sorted(tuple(r) for r in earliest_per_key(df, ["k"], ["t"]).collect())
+    dup_only = sorted(tuple(r) for r in earliest_per_key(df, ["k"], ["t"], only_duplicated_keys=True).collect())
+    assert full == dup_only and len(full) == 4
