@@ -114,6 +114,6 @@ def test_dedup_duplicated_keys_only_is_equivalent(spark):
         [("a", 3, "x"), ("a", 1, "y"), ("b", 5, "z"), (None, 2, "n1"), (None, 1, "n2"), ("c", None, "q"), ("c", 4, "r")],
         "k string, t int, v string",
     )
-    full = sorted(tuple(r) for r in earliest_per_key(df, ["k"], ["t"]).collect())
-    dup_only = sorted(tuple(r) for r in earliest_per_key(df, ["k"], ["t"], only_duplicated_keys=True).collect())
+    full = sorted((tuple(r) for r in earliest_per_key(df, ["k"], ["t"]).collect()), key=str)
+    dup_only = sorted((tuple(r) for r in earliest_per_key(df, ["k"], ["t"], only_duplicated_keys=True).collect()), key=str)
     assert full == dup_only and len(full) == 4
