@@ -128,3 +128,35 @@ def test_session_gaps_two_phase_matches_window(spark, evs):
     ref = df.withColumns({"s": F.row_number().over(w), "g": F.col("event_ts").cast("double") - F.lag("event_ts").over(w).cast("double")})
     want = {r.event_id: (r.s, r.g) for r in ref.collect()}
     assert got == want
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 25), st.integers(0, 25)), min_size=1, max_size=40))
+def test_connected_components_matches_union_find(spark, pairs):
+    df = spark.createDataFrame(pairs, "src int, dst int")
+    got = {r.vertex: r.label for r in GR.connected_components(df).collect()}
+    parent = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        if a != b:
+            ra, rb = find(a), find(b)
+            parent[max(ra, rb)] = min(ra, rb)
+    verts = {x for a, b in pairs if a != b for x in (a, b)}
+    comp = defaultdict(list)
+    for x in verts:
+        comp[find(x)].append(x)
+    want = {x: min(members) for members in comp.values() for x in members}
+    assert got == want
+
+
+def test_connected_components_long_chain(spark):
+    n = 64
+    df = spark.createDataFrame([(i, i + 1) for i in range(n)], "src int, dst int")
+    got = {r.vertex: r.label for r in GR.connected_components(df, max_iter=30).collect()}
+    assert got == {i: 0 for i in range(n + 1)}
