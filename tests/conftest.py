@@ -21,7 +21,11 @@ def spark():
     s = build_session(
         "local[4]",
         shuffle_partitions=4,
-        extra={"spark.checkpoint.dir": f"{scratch}/checkpoints", "spark.sql.ansi.enabled": "true"},
+        extra={
+            "spark.checkpoint.dir": f"{scratch}/checkpoints",
+            "spark.sql.warehouse.dir": f"{scratch}/warehouse",
+            "spark.sql.ansi.enabled": "true",
+        },
     )
     yield s
     s.stop()

@@ -102,3 +102,12 @@ def test_schema_merge_on_read(spark, scratch):
     spark.createDataFrame([("e2", 5)], "event_id string, n int").write.parquet(os.path.join(base, "event_date=2026-03-17"))
     merged = spark.read.option("mergeSchema", "true").parquet(base)
     assert set(merged.columns) == {"event_id", "n", "event_date"} and merged.count() == 2
+
+
+def test_create_schema(spark):
+    from retail_spark.streaming.sinks import create_schema
+
+    create_schema(spark, "retail_silver_test")
+    create_schema(spark, "retail_silver_test")  # idempotent
+    assert spark.catalog.databaseExists("retail_silver_test")
+    spark.sql("DROP SCHEMA retail_silver_test")
