@@ -164,3 +164,13 @@ def test_skip_existing_files_and_table_streams(spark, scratch):
     build_stream_writer(back, os.path.join(scratch, "tbl_back_ck")).start(out2).awaitTermination()
     assert spark.read.parquet(out2).count() == 2
     spark.sql("DROP TABLE IF EXISTS retail_stream_tbl")
+
+
+def test_windowed_kpis_dedup_key_batch(spark):
+    rows = [("e1", "2026-03-16 10:05:00", "order_placed", 10.5), ("e2", "2026-03-16 10:20:00", "session_started", 0.0)]
+    df = spark.createDataFrame(rows, "event_id string, ts string, event_type string, amt double").select(
+        "event_id", F.to_timestamp("ts").alias("event_ts"), "event_type", F.col("amt").cast("decimal(18,2)").alias("event_amount")
+    )
+    once = sorted(tuple(r) for r in windowed_kpis(df).collect())
+    twice = sorted(tuple(r) for r in windowed_kpis(df.unionByName(df), dedup_key="event_id").collect())
+    assert once == twice and once[0][2:5] == (2, 1, 1)
