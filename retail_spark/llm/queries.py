@@ -61,8 +61,8 @@ common AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM shingles a JO
            WHERE a.doc_id < b.doc_id GROUP BY ALL),
 links AS (SELECT u, v FROM common JOIN sizes x ON x.doc_id = u JOIN sizes y ON y.doc_id = v
           WHERE 100 * c >= 80 * (x.n + y.n - c)),
-both AS (SELECT u, v FROM links UNION SELECT v, u FROM links),
-reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.v FROM reach r JOIN both l ON l.u = r.b),
+sym AS (SELECT u, v FROM links UNION SELECT v, u FROM links),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.v FROM reach r JOIN sym l ON l.u = r.b),
 roots AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM documents d JOIN roots USING (doc_id) LEFT JOIN sizes USING (doc_id)
