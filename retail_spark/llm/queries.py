@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from retail_spark.llm import minhash, mixing, packing, pii, toxicity
+from retail_spark.llm import bitsliced, language, minhash, mixing, packing, pii, rabitq, toxicity
 from retail_spark.llm.common import table
 
 
@@ -30,6 +30,14 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(table(spark, sf_dir, "documents"))
+
+
+def op7_bitsliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitsliced.top_inner_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -38,12 +46,19 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
 
 
+def op10_rabitq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rabitq.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_pii": op2_pii,
     "op3_packing": op3_packing,
+    "op6_language": op6_language,
+    "op7_bitsliced": op7_bitsliced,
     "op8_mixing": op8_mixing,
     "op9_minhash": op9_minhash,
+    "op10_rabitq": op10_rabitq,
 }
 
 #: Whole shingle sets and every pair that shares a shingle, then reachability: for the small tables only.
@@ -68,4 +83,18 @@ SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = componen
 FROM documents d JOIN roots USING (doc_id) LEFT JOIN sizes USING (doc_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op9_minhash": OP9_SQL}
+OP7_SQL = """
+WITH whole AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
+ranked AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+           FROM pairs)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+ORACLE_SQL: dict[str, str] = {"op7_bitsliced": OP7_SQL, "op9_minhash": OP9_SQL}

@@ -214,12 +214,13 @@ def score(docs: DataFrame, model: ToxicityModel, name: str = "score") -> DataFra
     Null and empty texts have no sign and score what the bias alone gives
     (a clean text's score). All columns are kept; the whole text counts.
     """
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    # plain values travel: a broadcast class would need the module on the executors
+    held = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
     fields = [f.simpleString().split(":", 1) for f in docs.schema.fields]
     schema = ", ".join(f"`{n}` {t}" for n, t in fields) + f", `{name}` double"
 
     def run(batches):
-        model = held.value
+        model = ToxicityModel(*held.value)
         for batch in batches:
             at = batch.schema.get_field_index("text")
             scores = pa.array([model.score(t) for t in batch.column(at).to_pylist()], pa.float64())
