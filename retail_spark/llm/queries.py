@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from retail_spark.llm import bitsliced, language, minhash, mixing, packing, pii, rabitq, toxicity
+from retail_spark.llm import bitsliced, htmltext, language, minhash, mixing, packing, passages, pii, rabitq, toxicity
 from retail_spark.llm.common import table
 
 
@@ -30,6 +30,16 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return htmltext.main_text(pages, htmltext.learn(pages))
+
+
+def op5_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words and more that documents repeat, with the document that has them first."""
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.languages(table(spark, sf_dir, "documents"))
 
@@ -54,6 +64,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_pii": op2_pii,
     "op3_packing": op3_packing,
+    "op4_html": op4_html,
+    "op5_passages": op5_passages,
     "op6_language": op6_language,
     "op7_bitsliced": op7_bitsliced,
     "op8_mixing": op8_mixing,
