@@ -18,15 +18,16 @@ Steps and what they move:
    that is the text they stem from, which is nearer to each copy than copies
    are to one another.
 4. Texts of classes in such buckets are shuffled once and their sets stored.
-5. Rounds: star edges are confirmed. Members that no centre's component holds
-   choose new centres, one a bucket in the first round and twice as many in each
-   next round, which meet the whole rest of the bucket, until none is left.
+5. Two rounds of stars around the two heaviest members of each bucket: members
+   that no centre's component holds after the first round choose the centres of
+   the second, which meet the whole rest of the bucket again. So a bucket of any
+   size has at most ``ROUNDS * CENTRES`` candidates a member.
 6. Connected components of the confirmed links.
 
 A pair at the threshold of 0.8 shares no bucket with a probability of
-(1 - 0.8**4)**32 = 5e-8. The stars of one bucket can miss a link between two
-members that are confirmed to different centres; the pair meets again in the
-other buckets that it shares (13 of 32 on average at the threshold).
+(1 - 0.8**4)**32 = 5e-8, and shares 13 of 32 on average. A link between two
+members of which neither was a centre of a shared bucket is only needed where
+no path over centres joins them; README gives the measured recall.
 """
 
 from __future__ import annotations
@@ -38,6 +39,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from retail_spark.llm.common import WordHashes, binary_column, connected, map_arrow, mix64, shingle_hashes, stash
 
 BANDS, ROWS = 32, 4
+#: Stars of a bucket: centres in a round, and rounds.
+CENTRES, ROUNDS = 2, 2
 #: Members that one task compares with a centre; a centre with more is copied to several tasks.
 STAR = 256
 
@@ -178,15 +181,17 @@ def _links(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> Dat
     if not left.take(1):
         return None
     sets = stash(_sets_of(docs, left.select("rep").distinct(), words), "sets")
-    links, centres = None, 1
-    while True:
+    links = None
+    for last in (*(False,) * (ROUNDS - 1), True):
         order = Window.partitionBy("bucket").orderBy(F.desc("weight"), "rep")
-        best = (left.filter("open").withColumn("place", F.row_number().over(order)).filter(F.col("place") <= centres)
+        best = (left.filter("open").withColumn("place", F.row_number().over(order)).filter(F.col("place") <= CENTRES)
                 .select("bucket", F.col("rep").alias("u"), F.col("n").alias("m"), F.col("root").alias("u_root")))
         stars = left.join(best, "bucket").filter("rep <> u")
         near = stars.filter(F.lit(100) * F.least("n", "m") >= F.lit(percent) * F.greatest("n", "m")).filter("root <> u_root")
         found = stash(_confirm(near.select("u", F.col("rep").alias("v")).distinct(), sets, percent), "links")
         links = found if links is None else links.union(found)
+        if last:
+            break
         roots = connected(links)
         label = roots.select(F.col("node").alias("rep"), F.col("root").alias("now"))
         met = (stars.select("bucket", "rep", "u").join(label, "rep", "left")
@@ -200,9 +205,7 @@ def _links(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> Dat
         work = (rest.groupBy("bucket").agg(F.max("open").alias("any_open"), F.min("root").alias("a"), F.max("root").alias("b"))
                 .filter("any_open and a <> b"))
         left = stash(rest.join(work, "bucket", "left_semi"), "members")
-        if not left.take(1):
-            return links
-        centres *= 2
+    return links
 
 
 def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80) -> DataFrame:
