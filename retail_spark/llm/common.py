@@ -10,6 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from retail_spark.session import shared_path
 
+#: Rows that a step of ``map_arrow`` handles at once.
+SLICE = 1_000
+
 #: Runs of ASCII white space end a word; ``bytes.split()`` cuts at the same six characters.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -91,7 +94,10 @@ def binary_column(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
 
 
 def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
-    """``mapInArrow`` with ``fn(batch) -> dict of columns`` built once a task by ``fn()``."""
+    """``mapInArrow`` with a step ``batch -> dict of columns`` that ``fn()`` makes once a task.
+
+    Steps get ``SLICE`` rows at a time, so a task holds the words of few texts.
+    """
     from pyspark.sql.types import StructType
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -100,8 +106,8 @@ def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = fn()
         for batch in batches:
-            if batch.num_rows:
-                columns = step(batch)
+            for at in range(0, batch.num_rows, SLICE):
+                columns = step(batch.slice(at, SLICE))
                 yield pa.RecordBatch.from_arrays(
                     [c if isinstance(c, pa.Array) and c.type == f.type else pa.array(c, f.type)
                      for f, c in ((f, columns[f.name]) for f in fields)], schema=fields)
