@@ -61,7 +61,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """Word bytes -> 64-bit hash, kept for the words seen so far in a task."""
 
-    MOST = 1_000_000
+    MOST = 200_000
 
     def __missing__(self, word: bytes) -> int:
         import xxhash

@@ -148,7 +148,8 @@ def pieces(sized: DataFrame, targets: DataFrame, *, block: int = BLOCK, seed: in
     line = _laid_out(sized, seed).filter("size > 0")
     cut = line.withColumn("block_no", F.explode(F.expr(f"sequence(lo div {block}, (lo + size - 1) div {block})")))
     slots = schedule(targets, block).withColumnRenamed("source", "of").withColumnRenamed("block_no", "at")
-    both = cut.join(slots, F.col("source").eqNullSafe(F.col("of")) & (F.col("block_no") == F.col("at")))
+    # the slots come of a few rows, so Spark would guess them small enough to broadcast
+    both = cut.join(slots.hint("merge"), F.col("source").eqNullSafe(F.col("of")) & (F.col("block_no") == F.col("at")))
     start = F.greatest(F.expr("0L"), F.col("block_no") * block - F.col("lo"))
     stop = F.least(F.col("size"), F.col("block_no") * block + F.col("words") - F.col("lo"))
     return (both.withColumn("start", start).withColumn("length", stop - F.col("start")).filter("length > 0")

@@ -18,9 +18,11 @@ patterns' table of ranges: each task places its pieces on its own.
 
 from __future__ import annotations
 
+import re
 import zlib
 from bisect import bisect_left
 from struct import pack as pack_ids
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -40,27 +42,30 @@ BUCKET = 20_000
 
 
 class Encoder(dict):
-    """Token ids, as little-endian bytes, of words cut at ASCII white space; forgotten when there are ``MOST``.
+    """Token ids, as little-endian bytes, of words cut at ASCII white space.
 
     The tokenizer never joins text across white space, so the ids of a text are
     those of its words one after the other. Words keep their ids while a task
-    runs; a full stop or comma after a letter or digit is a token of its own.
+    runs, the rarer ones until ``MOST`` others came; a full stop or comma after a letter or digit is a token of its own.
     """
 
-    MOST = 1_000_000
+    MOST = 250_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         super().__init__()
+        self.older: dict[bytes, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
         self.ends = {c: self._ids(chr(c)) for c in b".,"}
+        size = self.tokenizer.get_vocab_size()
+        self.word_end = np.array([(self.tokenizer.id_to_token(k) or "").endswith("</w>") for k in range(size)])
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def __missing__(self, word: bytes) -> bytes:
-        if len(word) > 1 and word[-1] in self.ends and word[-2:-1].isalnum():
+        if len(word) > 1 and word[-1] in self.ends and word[:-1].decode()[-1].lower().isalnum():
             value, keep = self[word[:-1]] + self.ends[word[-1]], len(word) < 9
         elif b"<" not in word and word != (low := word.lower()):
             value, keep = self[low], len(word) < 9
@@ -71,23 +76,47 @@ class Encoder(dict):
         return value
 
     def learn(self, words: set[bytes]) -> None:
-        """Encode the unknown words of a batch in one call."""
-        new = set()
-        for w in words.difference(self):
-            if w[-1] in self.ends and w[-2:-1].isalnum():
-                w = w[:-1]
-            if b"<" not in w:
-                w = w.lower()
-            if w not in self and len(w) < 40:
-                new.add(w)
+        """Encode the unknown words, those of letters alone as texts that are cut at the ends of words again."""
+        new = words.difference(self)
         if len(self) + len(new) > self.MOST:
+            self.older = dict(self)
             self.clear()
-        new = list(new)
-        for w, e in zip(new, self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)):
+            new = words
+        known = new.intersection(self.older)
+        self.update(zip(known, map(self.older.__getitem__, known)))
+        plain, rest = [], []
+        for w in new.difference(known):
+            (plain if w.isalpha() or w.decode().isalpha() else rest).append(w)
+        for k in range(0, len(plain), 2_000):
+            some = plain[k : k + 2_000]
+            text = b" ".join(some).decode()
+            if not (is_normalized("NFC", text) and text.lower().replace(" ", "").isalpha()):
+                rest += some
+                continue
+            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+            cuts = (4 * (np.flatnonzero(self.word_end[ids]) + 1)).tolist()
+            assert len(cuts) == len(some)
+            whole = ids.tobytes()
+            self.update(zip(some, [whole[i:j] for i, j in zip([0, *cuts], cuts)]))
+        for w, e in zip(rest, self.tokenizer.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False)):
             self[w] = pack_ids(f"<{len(e.ids)}I", *e.ids)
 
-    def text(self, text: bytes | None) -> bytes:
-        return b"".join(map(self.__getitem__, (text or b"").split()))
+    #: A full stop or comma that isn't the end of a word of ASCII or Latin-1 letters and digits.
+    _ODD = re.compile(rb"(?<![0-9a-z])(?<!\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])[.,]|[.,](?=[^ \t\n\r\x0b\x0c])")
+
+    def texts(self, texts: list[bytes | None]) -> list[bytes]:
+        """The ids of each text."""
+        parts, plain = [], []
+        for t in texts:
+            t = t or b""
+            if b"<|" not in t and not self._ODD.search(t := t.lower()):
+                t = t.replace(b".", b" .").replace(b",", b" ,")
+                plain.append(len(parts))
+            parts.append(t.split())
+        words = set().union(*(parts[k] for k in plain))
+        odd = set().union(*(parts[k] for k in set(range(len(parts))).difference(plain)))
+        self.learn(words | {w for w in (w.rstrip(b".,") for w in odd) if w and w == w.lower()})
+        return [b"".join(map(self.__getitem__, p)) for p in parts]
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, *, sequence: int = SEQUENCE, end_id: int = END_ID, row: str | None = None) -> DataFrame:
@@ -99,10 +128,9 @@ def token_pieces(docs: DataFrame, tokenizer: str, *, sequence: int = SEQUENCE, e
 
         def step(batch: pa.RecordBatch) -> dict:
             texts = binary_column(batch, "text")
-            encoder.learn({w for t in texts if t for w in t.split()})
             out = {k: [] for k in ("doc_id", "row", "start", "length", "ids_crc32", "doc_tokens")}
-            for doc, r, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts):
-                ids = encoder.text(text) + end
+            for doc, r, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), encoder.texts(texts)):
+                ids += end
                 n = len(ids) // 4
                 for at in range(0, n, sequence):
                     piece = ids[4 * at : 4 * (at + sequence)]

@@ -44,6 +44,7 @@ FAMILY = {
 TITLES = {"Mr": "m", "Herr": "m", "Monsieur": "m", "Señor": "m", "Sr": "m", "Mrs": "f", "Ms": "f", "Miss": "f", "Frau": "f", "Madame": "f",
           "Mme": "f", "Señora": "f", "Sra": "f", "Dr": "", "Prof": "", "г-н": "m", "г-жа": "f", "κύριος": "m", "κυρία": "f"}
 INTRODUCTIONS = ("my name is", "je m'appelle", "ich heiße", "mein Name ist", "me llamo", "mi nombre es", "меня зовут", "με λένε")
+INTRODUCTIONS += tuple(x[0].upper() + x[1:] for x in INTRODUCTIONS if x[0].islower())
 
 _REST = r"[\w'’-]*[^\W\d_]"
 _UPPER = "A-ZÀ-ÖØ-ÞĀ-ŽΆ-ΫА-ЯЁ"
@@ -57,12 +58,16 @@ PATTERNS = {
     "ssn": r"(?<![0-9A-Za-z\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z\-])",
     "phone": r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .\-]?(?:\([0-9]{1,5}\)[ .\-]?)?[0-9]{2,5}(?:[ .\-]?[0-9]{2,5}){1,4}"
              r"|\([0-9]{3}\) ?[0-9]{3}[ .\-][0-9]{4}|[0-9]{3}[.\-][0-9]{3}[.\-][0-9]{4})(?![0-9A-Za-z])",
-    "name": rf"(?:(?<!\w)(?P<title>{'|'.join(map(re.escape, TITLES))})\.?|(?i:(?<!\w)(?:{'|'.join(map(re.escape, INTRODUCTIONS))})))"
+    "name": rf"(?:(?<!\w)(?P<title>{'|'.join(map(re.escape, TITLES))})\.?|(?<!\w)(?:{'|'.join(map(re.escape, INTRODUCTIONS))}))"
             rf"[ \t]+(?P<person>(?:[{_UPPER}]{_REST}[ \t]+)?[{_UPPER}]{_REST})",
 }
 #: A text without any of these holds no entity.
-HINT = (r"[@0-9]|[0-9a-f]{32}|(?:" + "|".join(map(re.escape, TITLES)) + r")\.?[ \t]"
-        r"|(?iu:" + "|".join(map(re.escape, INTRODUCTIONS)) + ")")
+def _first(words) -> str:
+    """A class of the words' first letters and the choice of what follows, which Java tries at few places."""
+    return f"[{''.join(sorted({w[0] for w in words}))}](?:{'|'.join(re.escape(w[1:]) for w in words)})"
+
+
+HINT = "|".join(["[@0-9]", "[0-9a-f]{32}", _first(TITLES) + r"\.?[ \t]", _first(INTRODUCTIONS)])
 
 ENTITIES = "array<struct<start:int,stop:int,kind:string,value:string,hint:string>>"
 
