@@ -49,7 +49,7 @@ class Encoder(dict):
     runs, the rarer ones until ``MOST`` others came; a full stop or comma after a letter or digit is a token of its own.
     """
 
-    MOST = 250_000
+    MOST = 450_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
