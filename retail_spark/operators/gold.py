@@ -15,7 +15,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from retail_spark.operators.joins import broadcast_if_small
 from retail_spark.schemas import ORDER_ITEMS_SCHEMA
 
 ORDER = "order_placed"
@@ -40,7 +39,9 @@ def sessions_by_channel(events: DataFrame, *, by: Sequence[str] = ("channel",))
 
 def session_rollup(events: DataFrame, *, session_column: str = "session_id", ts_column: str = "event_ts") -> DataFrame:
     """AGG-16: one row per session - first/last time, counts per funnel step,
-    session attributes from its start event, conversion flag."""
+    session attributes from its start event, conversion flag. Events
+    without a session id belong to no session."""
+    events = events.where(F.col(session_column).isNotNull())
     t = F.col("event_type")
     start = _t("session_started")
     return events.groupBy(session_column).agg(
@@ -93,12 +94,16 @@ def sales_kpis(events: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
     """
     is_order = _t(ORDER)
     refund_evt = F.col("event_type").isin("order_cancelled", "return_completed")
+    def total(when: Column, column: str) -> Column:
+        # a group without such rows, or with NULL amounts only, has a total of 0
+        return F.coalesce(F.sum(F.when(when, F.col(column))), F.lit(0).cast("decimal(18,2)"))
+
     agg = events.groupBy(*by).agg(
-        F.sum(F.when(is_order, F.col("gross_amount"))).alias("gmv"),
+        total(is_order, "gross_amount").alias("gmv"),
         F.count_distinct(F.when(is_order, F.col("order_id"))).alias("orders"),
-        F.sum(F.when(is_order, F.col("discount_amount"))).alias("discount"),
-        F.sum(F.when(is_order, F.col("net_amount"))).alias("net_sales"),
-        F.coalesce(F.sum(F.when(refund_evt, F.col("refund_amount"))), F.lit(0).cast("decimal(18,2)")).alias("refunds"),
+        total(is_order, "discount_amount").alias("discount"),
+        total(is_order, "net_amount").alias("net_sales"),
+        total(refund_evt, "refund_amount").alias("refunds"),
     )
     return agg.withColumns(
         {
@@ -110,6 +115,22 @@ def sales_kpis(events: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def attribute_refunds(events: DataFrame, *, attrs: Sequence[str] = ("channel",)) -> DataFrame:
+    """Refund events take the attributes of their order (JON-01 for AGG-13).
+
+    Only orders and session starts carry a channel, so without this a
+    channel's refunds would be counted under none. One row an order (combined
+    map-side) is joined back on the order id; rows without an order keep theirs.
+    """
+    refund = F.col("event_type").isin("order_cancelled", "return_completed") & F.col("order_id").isNotNull()
+    per_order = orders_only(events).where(F.col("order_id").isNotNull()).groupBy(F.col("order_id").alias("__order")).agg(
+        *[F.min(a).alias(f"__{a}") for a in attrs]
+    )
+    refunds = events.where(refund).join(per_order, F.col("order_id") == F.col("__order"), "left")
+    refunds = refunds.withColumns({a: F.coalesce(F.col(a), F.col(f"__{a}")) for a in attrs}).select(*events.columns)
+    return events.where(~F.coalesce(refund, F.lit(False))).unionByName(refunds)
+
+
 def product_views(events: DataFrame) -> DataFrame:
     """AGG-07: product_view events per product; product-page page views apart."""
     return events.where(F.col("product_id").isNotNull()).groupBy("product_id").agg(
@@ -175,14 +196,14 @@ def delivery_lead_time(
     by: Sequence[str] = (),
     hours_column: str = "delivery_lead_time_hours",
     sla_days_column: str | None = "promised_sla_days",
-    exact: bool = True,
+    exact: bool = False,
     accuracy: int = 10000,
 ) -> DataFrame:
     """AGG-11: avg / p50 / p90 lead time and SLA breach share.
 
-    ``exact`` uses ``percentile`` (its buffer is a count per distinct value,
-    merged map-side); ``exact=False`` uses ``percentile_approx`` with
-    bounded memory for high-cardinality values at scale.
+    ``percentile_approx`` has bounded memory; ``exact`` uses ``percentile``,
+    whose buffer is a count per distinct value of a group: for values that
+    are few by nature, such as whole days.
     """
     h = F.col(hours_column).cast("double")
     if exact:
@@ -221,9 +242,9 @@ def gross_margin(lines: DataFrame, products: DataFrame, *, by: Sequence[str] = (
     """AGG-15: Σ(line - allocated discount - qty × cost) ÷ Σ(line - allocated discount).
 
     ``lines``: order_id, product_id, quantity, line_amount, allocated_discount.
-    ``products``: product_id, cost (dim, broadcast when proven small).
+    ``products``: product_id, cost.
     """
-    j = lines.join(broadcast_if_small(products.select("product_id", "cost")), "product_id", "left")
+    j = lines.join(products.select("product_id", "cost"), "product_id", "left")
     rev = F.col("line_amount") - F.coalesce(F.col("allocated_discount"), F.lit(0))
     cogs = F.col("quantity") * F.coalesce(F.col("cost"), F.lit(0))
     return j.groupBy(*by).agg(F.sum(rev).alias("net_line_revenue"), F.sum(cogs).alias("cogs")).withColumn(
@@ -272,11 +293,13 @@ def line_positions(
     per_bucket = b.groupBy(order, "__b").agg(F.count(F.lit(1)).alias("__cnt"))
     wb = Window.partitionBy(order).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     carried = per_bucket.select(
-        order, "__b", F.coalesce(F.sum("__cnt").over(wb), F.lit(0)).alias("__before"),
+        F.col(order).alias("__o"), F.col("__b").alias("__cb"), F.coalesce(F.sum("__cnt").over(wb), F.lit(0)).alias("__before"),
     )
-    totals = per_bucket.groupBy(order).agg(F.sum("__cnt").alias("order_item_count"))
+    totals = per_bucket.groupBy(F.col(order).alias("__t")).agg(F.sum("__cnt").alias("order_item_count"))
     w = Window.partitionBy(order, "__b").orderBy(*sort)
-    out = b.join(carried, [order, "__b"]).join(totals, order)
+    # NULL orders and NULL sort values are a group and a bucket like any other
+    out = b.join(carried, F.col(order).eqNullSafe(F.col("__o")) & F.col("__b").eqNullSafe(F.col("__cb")))
+    out = out.join(totals, F.col(order).eqNullSafe(F.col("__t")))
     return out.withColumn("order_item_index", (F.col("__before") + F.row_number().over(w)).cast("int")).select(
         *lines.columns, "order_item_index", "order_item_count"
     )

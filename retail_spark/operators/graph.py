@@ -168,15 +168,15 @@ def copurchase_edges(
     ``confidence_ab`` / ``confidence_ba`` and ``lift``.
     """
     b = baskets(lines, basket=basket, item=item)
-    total = b.select(F.count_distinct(basket)).first()[0] or 0
+    total = b.select(F.count_distinct(basket).cast("double").alias("baskets"))  # one row
     counts = b.groupBy(item).agg(F.count(F.lit(1)).alias("item_orders"))
     pairs = copurchase_pairs(lines, basket=basket, item=item, min_count=min_count, block=block)
     # per-item counts are derived (aggregated): AQE broadcasts them at
     # runtime when their measured size is small, else they stay shuffled
     ca = counts.select(F.col(item).alias(f"{item}_a"), F.col("item_orders").alias("orders_a"))
     cb = counts.select(F.col(item).alias(f"{item}_b"), F.col("item_orders").alias("orders_b"))
-    out = pairs.join(ca, f"{item}_a").join(cb, f"{item}_b")
-    n = F.lit(float(total))
+    out = pairs.join(ca, f"{item}_a").join(cb, f"{item}_b").crossJoin(F.broadcast(total))
+    n = F.col("baskets")
     pc = F.col("pair_orders").cast("double")
     return out.withColumns(
         {
@@ -197,12 +197,13 @@ def frequent_itemsets(
     item: str = "product_id",
     block: int = DEFAULT_BLOCK,
 ) -> DataFrame:
-    """GRF-03: frequent itemsets of size 1 and 2 (Apriori levels 1-2) with
-    their basket counts: ``items`` (sorted array), ``size``, ``freq``.
+    """GRF-03: frequent itemsets of every size with their basket counts:
+    ``items`` (sorted array), ``size``, ``freq``.
 
-    The threshold is ``min_count`` baskets, or ``min_support`` x baskets.
-    Level 2 only pairs items that are frequent alone (Apriori pruning), so
-    rare items never enter the pair join.
+    The threshold is ``min_count`` baskets, or ``min_support`` x baskets. Level
+    by level (Apriori): sets of n items are extended, within the baskets that
+    hold them, by a larger item that is frequent with their last one; levels go
+    on until one has no frequent set. Level 2 only pairs items frequent alone.
     """
     b = baskets(lines, basket=basket, item=item)
     if min_count is None:
@@ -211,16 +212,25 @@ def frequent_itemsets(
         total = b.select(F.count_distinct(basket)).first()[0] or 0
         min_count = max(1, math.ceil(min_support * total - 1e-9))
     singles = b.groupBy(item).agg(F.count(F.lit(1)).alias("freq")).where(F.col("freq") >= min_count)
-    frequent_b = b.join(singles.select(item), item, "left_semi")
-    pairs = (
-        block_pairs(frequent_b, basket, item, block=block)
-        .groupBy(f"{item}_a", f"{item}_b")
-        .agg(F.count(F.lit(1)).alias("freq"))
-        .where(F.col("freq") >= min_count)
-    )
-    one = singles.select(F.array(F.col(item)).alias("items"), F.lit(1).alias("size"), "freq")
-    two = pairs.select(F.array(f"{item}_a", f"{item}_b").alias("items"), F.lit(2).alias("size"), "freq")
-    return one.unionByName(two)
+    frequent_b = _checkpoint(b.join(singles.select(item), item, "left_semi"))
+    held = block_pairs(frequent_b, basket, item, block=block).select(basket, F.array(f"{item}_a", f"{item}_b").alias("items"))
+    found = singles.select(F.array(F.col(item)).alias("items"), F.lit(1).alias("size"), "freq")
+    size, links = 2, None
+    while True:
+        level = _checkpoint(held.groupBy("items").agg(F.count(F.lit(1)).alias("freq")).where(F.col("freq") >= min_count))
+        if not level.take(1):
+            return found
+        found = found.unionByName(level.select("items", F.lit(size).alias("size"), "freq"))
+        if links is None:  # pairs frequent together: what may follow an item
+            links = level.select(F.col("items")[0].alias("__last"), F.col("items")[1].alias("__next"))
+        # baskets that hold a frequent set of this size, each set with the items that may follow its last one
+        kept = _checkpoint(held.join(level.select("items"), "items", "left_semi"))
+        more = kept.withColumn("__last", F.element_at("items", -1)).join(links, "__last")
+        nxt = frequent_b.select(F.col(basket).alias("__basket"), F.col(item).alias("__item"))
+        held = more.join(nxt, (F.col(basket) == F.col("__basket")) & (F.col("__next") == F.col("__item"))).select(
+            basket, F.concat("items", F.array("__next")).alias("items")
+        )
+        size += 1
 
 
 def association_rules(itemsets: DataFrame, total_baskets: int) -> DataFrame:
@@ -250,7 +260,6 @@ def jaccard_similarity(
     item: str = "product_id",
     threshold: float = 0.5,
     block: int = DEFAULT_BLOCK,
-    max_array_set: int = 10_000,
 ) -> DataFrame:
     """GRF-04 / JON-06: all entity pairs with Jaccard(items) >= ``threshold``.
 
@@ -258,12 +267,9 @@ def jaccard_similarity(
     two sets with Jaccard >= t must share one of their first
     ``|s| - ceil(t|s|) + 1`` items, their sizes must be within a factor t,
     and (positional filter) the items left after a shared one must still
-    allow the needed overlap. Candidates are verified exactly:
-
-    * both sets have at most ``max_array_set`` items: intersect the two sorted
-      item arrays (one small row per entity, joined to the candidates);
-    * otherwise: explode one side's items and semi-join the other's (no
-      entity's items are ever gathered into one row beyond the bound).
+    allow the needed overlap. Candidates are verified exactly, by exploding one
+    side's items and semi-joining the other's, so no entity's items are ever
+    gathered into one row.
 
     Output: entity_a < entity_b, sizes, intersection, jaccard.
     """
@@ -274,7 +280,9 @@ def jaccard_similarity(
     sizes = sets.groupBy(entity).agg(F.count(F.lit(1)).alias("__n"))
     ranked = sets.join(freq, item).join(sizes, entity)
     w = Window.partitionBy(entity).orderBy("__f", item)
-    ranked = ranked.withColumn("__pos", F.row_number().over(w))
+    # every branch below starts from the ranked sets, so they are made once
+    ranked = _checkpoint(ranked.withColumn("__pos", F.row_number().over(w)))
+    sets = ranked.select(entity, item)
     prefix_len = F.col("__n") - F.ceil(F.col("__n") * F.lit(threshold) - F.lit(1e-9)) + 1
     prefix = ranked.where(F.col("__pos") <= prefix_len).select(item, entity, "__n", "__pos")
     # positional filter: sharing token w at positions i, j leaves at most
@@ -293,30 +301,15 @@ def jaccard_similarity(
         .distinct()
     )
     a, b = f"{entity}_a", f"{entity}_b"
-    small = (F.col("__n_a") <= max_array_set) & (F.col("__n_b") <= max_array_set)
-    # (1) bounded sets: sorted item arrays, intersected per candidate pair
-    arrays = (
-        sets.join(sizes.where(F.col("__n") <= max_array_set).select(entity), entity, "left_semi")
-        .groupBy(entity)
-        .agg(F.array_sort(F.collect_list(item)).alias("__items"))
-    )
-    inter_small = (
-        cand.where(small)
-        .join(arrays.select(F.col(entity).alias(a), F.col("__items").alias("__ia")), a)
-        .join(arrays.select(F.col(entity).alias(b), F.col("__items").alias("__ib")), b)
-        .select(a, b, "__n_a", "__n_b", F.size(F.array_intersect("__ia", "__ib")).cast("long").alias("intersection"))
-    )
-    # (2) larger sets: explode a's items, keep those b also has, count
+    # one way for sets of any size: a's items that b also has, counted
     a_items = sets.select(F.col(entity).alias(a), item)
     b_items = sets.select(F.col(entity).alias(b), item)
-    inter_big = (
-        cand.where(~small)
-        .join(a_items, a)
+    inter = (
+        cand.join(a_items, a)
         .join(b_items, [b, item], "left_semi")
         .groupBy(a, b, "__n_a", "__n_b")
         .agg(F.count(F.lit(1)).alias("intersection"))
     )
-    inter = inter_small.unionByName(inter_big)
     jac = F.col("intersection").cast("double") / (F.col("__n_a") + F.col("__n_b") - F.col("intersection")).cast("double")
     return (
         inter.withColumn("jaccard", jac)
@@ -330,7 +323,7 @@ def _checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def connected_components(edges: DataFrame, *, src: str = "src", dst: str = "dst", max_iter: int = 100) -> DataFrame:
+def connected_components(edges: DataFrame, *, src: str = "src", dst: str = "dst", vertices: DataFrame | None = None) -> DataFrame:
     """GRF-05: component label (= smallest vertex id) per vertex.
 
     Alternating large-star / small-star rounds (Kiveris et al., "Connected
@@ -338,8 +331,11 @@ def connected_components(edges: DataFrame, *, src: str = "src", dst: str = "dst"
     ``min`` (combinable, so a hub vertex is pre-aggregated) and a join; the
     edge set converges to one star per component, centred on its smallest
     vertex, in O(log^2 n) rounds instead of one round per unit of graph
-    diameter. Lineage is cut with a reliable checkpoint every round.
+    diameter. Lineage is cut with a reliable checkpoint every round; rounds go
+    on until no edge changes. ``vertices`` (one column) adds vertices without
+    an edge, each its own component.
     """
+    alone = vertices
     e = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where(F.col("u") != F.col("v"))
     e = _checkpoint(e.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
     vertices = e.select(F.col("u").alias("vertex")).unionByName(e.select(F.col("v").alias("vertex"))).distinct()
@@ -360,14 +356,20 @@ def connected_components(edges: DataFrame, *, src: str = "src", dst: str = "dst"
         )
         return out.where(F.col("a") != F.col("b")).select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct()
 
-    for _ in range(max_iter):
-        nxt = _checkpoint(small_star(large_star(e)))
-        changed = nxt.exceptAll(e).unionByName(e.exceptAll(nxt)).limit(1).count()
-        e = nxt
-        if changed == 0:
+    def mark(cur: DataFrame):
+        return cur.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
+
+    seen = mark(e)
+    while seen[0]:
+        e = _checkpoint(small_star(large_star(e)))
+        now = mark(e)
+        if now == seen:
             break
+        seen = now
     # stars: every non-centre vertex has one edge to its centre (the minimum)
     labels = e.groupBy("v").agg(F.min("u").alias("label")).select(F.col("v").alias("vertex"), "label")
+    if alone is not None:
+        vertices = vertices.unionByName(alone.select(F.col(alone.columns[0]).alias("vertex")).where("vertex IS NOT NULL")).distinct()
     return vertices.join(labels, "vertex", "left").select("vertex", F.coalesce("label", "vertex").alias("label"))
 
 
@@ -400,7 +402,7 @@ def pagerank(
     out_deg = e.groupBy("u").agg(F.count(F.lit(1)).alias("outdeg"))
     e = _checkpoint(e.join(out_deg, "u"))
     vertices = e.select(F.col("u").alias("vertex")).unionByName(e.select(F.col("v").alias("vertex"))).distinct()
-    n = vertices.count()
+    n = max(1, vertices.count())
     ranks = _checkpoint(vertices.withColumn("rank", F.lit(1.0 / n)))
     for _ in range(iterations):
         contrib = e.join(ranks.select(F.col("vertex").alias("u"), "rank"), "u").groupBy(F.col("v").alias("vertex")).agg(
@@ -423,22 +425,41 @@ def als_factors(
     reg: float = 0.1,
     seed: int = 42,
 ) -> tuple[DataFrame, DataFrame]:
-    """GRF-07: implicit-feedback ALS embeddings (user and item factors).
+    """GRF-07: implicit-feedback ALS embeddings: (user factors, item factors).
 
-    Ratings are interaction counts per (user, item), aggregated first. ALS
-    needs integer ids: ``user``/``item`` columns must hold integer values.
+    Ratings are interaction counts per (user, item). ALS needs integer ids:
+    ids of any type are numbered from 0 by a distributed count (:func:`dense_ids`)
+    and the factors carry the ids as they were. NULL ids take no part.
     """
     from pyspark.ml.recommendation import ALS
 
-    ratings = interactions.groupBy(F.col(user).cast("int").alias("user"), F.col(item).cast("int").alias("item")).agg(
+    counts = interactions.where(F.col(user).isNotNull() & F.col(item).isNotNull()).groupBy(user, item).agg(
         F.count(F.lit(1)).cast("float").alias("rating")
     )
+    users, items = _checkpoint(dense_ids(counts, user, "__u")), _checkpoint(dense_ids(counts, item, "__i"))
     model = ALS(
         rank=rank, maxIter=max_iter, regParam=reg, implicitPrefs=True, seed=seed,
-        userCol="user", itemCol="item", ratingCol="rating", coldStartStrategy="drop",
+        userCol="__u", itemCol="__i", ratingCol="rating", coldStartStrategy="drop",
         checkpointInterval=2,
-    ).fit(ratings)
-    return model.userFactors, model.itemFactors
+    ).fit(counts.join(users, user).join(items, item).select("__u", "__i", "rating"))
+    return (
+        model.userFactors.join(users, F.col("id") == F.col("__u")).select(user, "features"),
+        model.itemFactors.join(items, F.col("id") == F.col("__i")).select(item, "features"),
+    )
+
+
+def dense_ids(df: DataFrame, column: str, name: str, *, buckets: int = 256) -> DataFrame:
+    """The distinct values of ``column`` with a number from 0 in ``name``.
+
+    Values are ranked within hash buckets and each bucket starts after the
+    values of the buckets before it, so no task sorts them all.
+    """
+    d = df.select(column).distinct().withColumn("__b", F.pmod(F.xxhash64(column), F.lit(buckets)))
+    sizes = d.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)  # over ``buckets`` rows
+    starts = sizes.select("__b", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    rank = F.row_number().over(Window.partitionBy("__b").orderBy(column)) - 1
+    return d.withColumn("__r", rank).join(starts, "__b").select(column, (F.col("__start") + F.col("__r")).cast("int").alias(name))
 
 
 def top_k_related(
@@ -527,7 +548,7 @@ def attribute_similar(
         base.join(
             top_brand.select(brand, F.col(item).alias("related_id"), F.col(category).alias("__rc"), F.col("pop").alias("score")), brand
         )
-        .where(F.col("__rc") != F.col(category))
+        .where(~F.col("__rc").eqNullSafe(F.col(category)))
         .select(item, "related_id", F.lit(1).alias("tier"), "score")
     )
     cands = c1.unionByName(c2).where(F.col(item) != F.col("related_id"))

@@ -1,9 +1,7 @@
-"""Joins (JON-01, 02, 07, 08) and the size-checked broadcast.
+"""Joins (JON-01, 02, 07, 08).
 
-``broadcast_if_small`` broadcasts a side only after proving it has at most
-``max_rows`` rows (a ``limit(max_rows + 1).count()``, which stops reading
-early); otherwise the join stays a shuffle join that AQE may still turn
-into a broadcast at runtime from measured sizes.
+No side is broadcast by a hint here: Catalyst broadcasts a side whose size it
+knows, and AQE one that it has measured, by bytes.
 """
 
 from __future__ import annotations
@@ -13,42 +11,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only behind a row-count bound; else leave it to the planner.
-
-    Meant for dimension scans: the bound is checked with
-    ``limit(max_rows + 1).count()``, which stops reading early. Derived sides
-    (aggregates, joins) are not hinted by callers: counting them would
-    compute them twice, and AQE measures their shuffle output and converts
-    the join to a broadcast join at runtime when it is below
-    ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
-    """
-    if df.isStreaming:
-        return df
-    return F.broadcast(df) if is_small(df, max_rows) else df
-
-
 def enrich(
     fact: DataFrame,
     dim: DataFrame,
     on: str | Sequence[str] | Column,
     *,
     how: str = "left",
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
-    """JON-02 / JON-08: fact (batch or stream) ⟕ a dimension.
-
-    A streaming fact joins a static dim per micro-batch; the dim is
-    broadcast when its size is proven small.
-    """
-    return fact.join(broadcast_if_small(dim, max_broadcast_rows), on, how)
+    """JON-02 / JON-08: fact (batch or stream) ⟕ a dimension; a streaming fact joins a static dim per micro-batch."""
+    return fact.join(dim, on, how)
 
 
 def session_attribution(
@@ -62,16 +33,23 @@ def session_attribution(
     """JON-01: every event gets the channel/source/medium of its session start.
 
     The session side is one row per session (an aggregation that is
-    combined map-side), joined back on ``session_id`` (shuffle join: the
-    session table grows with the data, so it is not broadcast).
+    combined map-side), joined back on ``session_id``. Events without a
+    session have no attributes; they don't take part in the join, so they
+    don't meet in one task.
     """
     present = [a for a in attrs if a in events.columns]
     starts = (
-        events.where(F.col(type_column) == F.lit(start_type))
+        events.where((F.col(type_column) == F.lit(start_type)) & F.col(session_column).isNotNull())
         .groupBy(session_column)
         .agg(*[F.min(a).alias(f"session_{a}") for a in present])
     )
-    return events.join(starts, session_column, "left")
+    attributed = events.where(F.col(session_column).isNotNull()).join(starts, session_column, "left").select(
+        *events.columns, *[f"session_{a}" for a in present]
+    )
+    without = events.where(F.col(session_column).isNull()).select(
+        "*", *[F.lit(None).cast(events.schema[a].dataType).alias(f"session_{a}") for a in present]
+    )
+    return attributed.unionByName(without)
 
 
 def within_interval(
@@ -83,15 +61,13 @@ def within_interval(
     end_column: str = "end_date",
     key: str | Sequence[str],
     how: str = "inner",
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """JON-07: fact rows matched to the ranges of their key that contain
     their date (equi-join on ``key`` plus a range predicate in the join
-    condition; the range side is broadcast only when proven small).
+    condition).
     ``how="left"`` keeps unmatched facts with NULL range columns."""
     keys = [key] if isinstance(key, str) else list(key)
-    r = broadcast_if_small(ranges.select(*[F.col(k).alias(f"__r_{k}") for k in keys],
-                                         *[c for c in ranges.columns if c not in keys]), max_broadcast_rows)
+    r = ranges.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *[c for c in ranges.columns if c not in keys])
     day = F.to_date(F.col(ts_column))
     cond = [fact[k] == F.col(f"__r_{k}") for k in keys]
     cond.append((day >= F.col(start_column)) & (day <= F.col(end_column)))

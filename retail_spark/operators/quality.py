@@ -138,14 +138,14 @@ def reconcile_orders(
 
 def order_amount_checks(orders: DataFrame) -> DataFrame:
     """DQ-04/08 on order_placed rows: tax = 8% of (gross - discount),
-    net = gross - discount + shipping + tax, free shipping iff gross - discount ≥ 120."""
+    net = gross - discount + shipping + tax, free shipping iff the cart value, i.e. gross, is ≥ 120."""
     g, d, s, t, n = (F.col(c) for c in ("gross_amount", "discount_amount", "shipping_amount", "tax_amount", "net_amount"))
     base = g - d
     return orders.withColumns(
         {
             "tax_ok": F.abs(t - F.round(base * F.lit(TAX_RATE), 2)) <= F.lit(MONEY_TOLERANCE),
             "net_ok": F.abs(n - (base + s + t)) <= F.lit(MONEY_TOLERANCE),
-            "shipping_rule_ok": (s == F.lit(0)) == (base >= F.lit(FREE_SHIPPING_MIN_CART)),
+            "shipping_rule_ok": (s == F.lit(0)) == (g >= F.lit(FREE_SHIPPING_MIN_CART)),
         }
     )
 

@@ -96,17 +96,22 @@ def event_facts(spark: SparkSession, sf_dir: str, *, gap_minutes: int = 30) -> D
     return sessionize(silver, user_column="customer_id", ts_column="event_ts", gap_minutes=gap_minutes)
 
 
-def order_lines(spark: SparkSession, sf_dir: str, *, spread_narrow: bool = True) -> DataFrame:
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem ⋈ orders ⋈ part with exact decimal money columns."""
-    li = read_table(spark, sf_dir, "lineitem", spread_narrow=spread_narrow)
-    od = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus"],
-                    spread_narrow=False)
+    li = read_table(spark, sf_dir, "lineitem")
+    od = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus"])
     pt = read_table(spark, sf_dir, "part", ["p_partkey", "p_brand", "p_type", "p_retailprice"])
+    return _line_money(
+        li.join(od, F.col("l_orderkey") == F.col("o_orderkey")).join(pt, F.col("l_partkey") == F.col("p_partkey"), "left")
+    )
+
+
+def _line_money(lines: DataFrame) -> DataFrame:
+    """A line's own money columns, as exact decimals; no other table is needed for them."""
     ext = F.col("l_extendedprice").cast("decimal(18,2)")
     disc = F.col("l_discount").cast("decimal(18,2)")
     tax = F.col("l_tax").cast("decimal(18,2)")
-    j = li.join(od, F.col("l_orderkey") == F.col("o_orderkey")).join(pt, F.col("l_partkey") == F.col("p_partkey"), "left")
-    return j.select(
+    return lines.select(
         "*",
         ext.alias("line_amount"),
         (ext * disc).cast("decimal(18,2)").alias("line_discount"),
@@ -117,15 +122,14 @@ def order_lines(spark: SparkSession, sf_dir: str, *, spread_narrow: bool = True)
 def _order_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order: amounts summed from its lines (one grouped
     aggregation, combined map-side) plus customer segment and nation."""
-    lines = order_lines(spark, sf_dir, spread_narrow=False)  # light: casts + sums
-    per_order = lines.groupBy("l_orderkey").agg(
+    per_order = _line_money(read_table(spark, sf_dir, "lineitem")).groupBy("l_orderkey").agg(
         F.sum("line_amount").alias("gross_amount"),
         F.sum("line_discount").alias("discount_amount"),
         F.sum("line_tax").alias("tax_amount"),
         F.sum("l_quantity").cast("int").alias("item_count"),
         F.sum(F.when(F.col("l_returnflag") == "R", F.col("line_amount") - F.col("line_discount"))).alias("refund_amount"),
     )
-    od = read_table(spark, sf_dir, "orders", spread_narrow=False)
+    od = read_table(spark, sf_dir, "orders")
     cu = read_table(spark, sf_dir, "customer", ["c_custkey", "c_mktsegment", "c_nationkey"])
     na = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name"])
     return (
@@ -209,7 +213,7 @@ def sales_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def line_lifecycle_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per line: a shipment_delivered event and, for returned lines (flag R),
     a return_requested event; carries the line's brand."""
-    lines = order_lines(spark, sf_dir, spread_narrow=False).select(
+    lines = order_lines(spark, sf_dir).select(
         F.col("l_orderkey").cast("string").alias("order_id"), F.col("p_brand").alias("brand"), "l_returnflag", "l_shipdate"
     )
     delivered = lines.select("order_id", "brand", F.lit("shipment_delivered").alias("event_type"), F.col("l_shipdate").alias("event_ts"))

@@ -22,7 +22,7 @@ DAMPING = 0.85
 
 
 def _lines(spark: SparkSession, sf: str) -> DataFrame:
-    return read_table(spark, sf, "lineitem", ["l_orderkey", "l_partkey", "l_quantity", "l_extendedprice"], spread_narrow=False).select(
+    return read_table(spark, sf, "lineitem", ["l_orderkey", "l_partkey", "l_quantity", "l_extendedprice"]).select(
         F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"), "l_quantity", "l_extendedprice"
     )
 
@@ -161,12 +161,13 @@ CUSTOMER_JACCARD_SQL = f"WITH {JACCARD_SQL}\nSELECT * FROM jac"
 def q_customer_components(spark: SparkSession, sf: str) -> DataFrame:
     """GRF-05: connected components of the Jaccard >= 0.4 customer graph."""
     edges = GR.jaccard_similarity(_interactions(spark, sf), threshold=JACCARD_T)
-    return GR.connected_components(edges, src="customer_id_a", dst="customer_id_b")
+    customers = _interactions(spark, sf).select("customer_id").distinct()
+    return GR.connected_components(edges, src="customer_id_a", dst="customer_id_b", vertices=customers)
 
 
 CUSTOMER_COMPONENTS_SQL = f"""WITH RECURSIVE {JACCARD_SQL},
 e AS (SELECT customer_id_a AS u, customer_id_b AS v FROM jac UNION SELECT customer_id_b, customer_id_a FROM jac),
-r(u, v) AS (SELECT u, u FROM e UNION SELECT r.u, e.v FROM r JOIN e ON r.v = e.u)
+r(u, v) AS (SELECT c, c FROM (SELECT DISTINCT customer_id AS c FROM s) UNION SELECT r.u, e.v FROM r JOIN e ON r.v = e.u)
 SELECT u AS vertex, MIN(v) AS label FROM r GROUP BY u"""
 
 
@@ -205,16 +206,18 @@ nv AS (SELECT CAST(COUNT(*) AS DOUBLE) AS cnt FROM v),
 SELECT vertex, round(rank, 9) AS rank FROM r{PAGERANK_ITERS}"""
 
 
-def q_frequent_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    """GRF-03: itemsets of size 1-2 bought in at least 2 orders."""
+def q_frequent_itemsets(spark: SparkSession, sf: str) -> DataFrame:
+    """GRF-03: itemsets of every size bought in at least 2 orders."""
     fi = GR.frequent_itemsets(_lines(spark, sf), min_count=2)
     return fi.select(F.concat_ws(",", F.transform("items", lambda x: x.cast("string"))).alias("items"), "size", "freq")
 
 
-FREQUENT_PAIRS_SQL = f"""WITH {BASKETS_SQL}
-SELECT CAST(product_id AS VARCHAR) AS items, 1 AS size, item_orders AS freq FROM c WHERE item_orders >= 2
-UNION ALL
-SELECT CAST(product_id_a AS VARCHAR) || ',' || CAST(product_id_b AS VARCHAR), 2, pair_orders FROM p WHERE pair_orders >= 2"""
+FREQUENT_ITEMSETS_SQL = """WITH RECURSIVE b AS (
+  SELECT DISTINCT l_orderkey AS o, l_partkey AS i FROM lineitem WHERE l_orderkey IS NOT NULL AND l_partkey IS NOT NULL),
+subsets(o, items, last, size) AS (
+  SELECT o, CAST(i AS VARCHAR), i, 1 FROM b
+  UNION ALL SELECT s.o, s.items || ',' || CAST(b.i AS VARCHAR), b.i, s.size + 1 FROM subsets s JOIN b ON s.o = b.o AND b.i > s.last)
+SELECT items, size, COUNT(*) AS freq FROM subsets GROUP BY items, size HAVING COUNT(*) >= 2"""
 
 
 def q_association_rules(spark: SparkSession, sf: str) -> DataFrame:
@@ -235,14 +238,22 @@ FROM r JOIN c ca ON r.antecedent = ca.product_id JOIN c cc ON r.consequent = cc.
 
 
 def q_als_factors(spark: SparkSession, sf: str) -> DataFrame:
-    """GRF-07: implicit ALS customer embeddings (rows-only check)."""
+    """GRF-07: implicit ALS embeddings of customers and products: one row each, with its factors' number."""
     li = read_table(spark, sf, "lineitem", ["l_orderkey", "l_partkey"])
     od = read_table(spark, sf, "orders", ["o_orderkey", "o_custkey"])
     inter = li.join(od, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("o_custkey").alias("customer_id"), F.col("l_partkey").alias("product_id")
     )
-    users, _items = GR.als_factors(inter)
-    return users
+    users, items = GR.als_factors(inter)
+    size = F.size("features").alias("n_factors")
+    whole = F.forall("features", lambda x: x.isNotNull() & ~F.isnan(x)).alias("is_whole")
+    return users.select(F.lit("customer").alias("kind"), F.col("customer_id").alias("id"), size, whole).unionByName(
+        items.select(F.lit("product").alias("kind"), F.col("product_id").alias("id"), size, whole)
+    )
+
+
+ALS_SQL = """SELECT DISTINCT 'customer' AS kind, o_custkey AS id, 8 AS n_factors, true AS is_whole FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+UNION ALL SELECT DISTINCT 'product', l_partkey, 8, true FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
 
 
 PLANS = {
@@ -255,7 +266,7 @@ PLANS = {
     "customer_components": Plan(q_customer_components, CUSTOMER_COMPONENTS_SQL, "GRF-05"),
     "graph_degree": Plan(q_graph_degree, GRAPH_DEGREE_SQL, "GRF-06"),
     "pagerank": Plan(q_pagerank, _pagerank_sql(), "GRF-06"),
-    "frequent_pairs": Plan(q_frequent_pairs, FREQUENT_PAIRS_SQL, "GRF-03"),
+    "frequent_itemsets": Plan(q_frequent_itemsets, FREQUENT_ITEMSETS_SQL, "GRF-03"),
     "association_rules": Plan(q_association_rules, ASSOCIATION_RULES_SQL, "GRF-03"),
-    "als_factors": Plan(q_als_factors, None, "GRF-07"),
+    "als_factors": Plan(q_als_factors, ALS_SQL, "GRF-07"),
 }

@@ -238,7 +238,7 @@ o2 AS (SELECT *, g - d + t AS n FROM o)
 SELECT order_id,
        abs(t - ROUND((g - d) * 0.08, 2)) <= 0.01 AS tax_ok,
        abs(n - ((g - d) + s + t)) <= 0.01 AS net_ok,
-       (s = 0) = ((g - d) >= 120.00) AS shipping_rule_ok
+       (s = 0) = (g >= 120.00) AS shipping_rule_ok
 FROM o2"""
 
 

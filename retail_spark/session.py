@@ -60,6 +60,8 @@ def ensure_shared_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder; create a local one only if unset."""
     current = spark.conf.get(CHECKPOINT_CONF, None)
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"{CHECKPOINT_CONF} must name a folder that all executors share")
         current = tempfile.mkdtemp(prefix="retail-spark-shared-")
         spark.conf.set(CHECKPOINT_CONF, current)
     sc = spark.sparkContext

@@ -154,10 +154,10 @@ def merge_schemas(stored: T.StructType | None, inferred: T.StructType) -> T.Stru
 
 
 def load_schema(spark: SparkSession, schema_location: str) -> T.StructType | None:
-    try:
-        row = spark.read.text(schema_location).first()
-    except Exception:  # missing location on first run
-        return None
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(schema_location)
+    if not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+        return None  # first run; any other read error is raised, never taken for one
+    row = spark.read.text(schema_location).first()
     return T.StructType.fromJson(json.loads(row.value)) if row else None
 
 

@@ -6,13 +6,11 @@ from retail_spark.streaming.dedup import (  # noqa: F401
     earliest_per_key,
 )
 from retail_spark.streaming.sinks import (  # noqa: F401
-    build_stream_writer,
+    StreamTarget,
+    clear_targets,
     create_schema,
     preview,
-    reset_stream_target,
-    write_path_stream,
     write_routed_jsonl,
     write_snapshot_jsonl,
-    write_table_stream,
 )
 from retail_spark.streaming.windows import session_gaps, session_windows, sessionize, windowed_kpis  # noqa: F401

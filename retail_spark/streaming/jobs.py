@@ -25,7 +25,7 @@ from retail_spark.operators.silver import TRANSFORMS
 from retail_spark.schemas import CONTRACTS, read_schema
 from retail_spark.session import shared_path
 from retail_spark.sources.landing import evolve_schema, read_landing
-from retail_spark.streaming.sinks import build_stream_writer, reset_stream_target
+from retail_spark.streaming.sinks import StreamTarget, clear_targets
 
 
 @dataclass
@@ -64,6 +64,7 @@ def build_job_streams(
     dedup: str = "within_watermark",
     include_existing_files: bool = True,
     checkpoint_base: str | None = None,
+    max_files: int | None = None,
     strict: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """(silver stream, quarantine stream) for one entity."""
@@ -73,12 +74,15 @@ def build_job_streams(
         schema = evolve_schema(spark, landing_paths, schema_location, base=schema)
     start = _start_time(spark, checkpoint_base) if (not include_existing_files and checkpoint_base) else None
     raw = read_landing(
-        spark, landing_paths, schema, streaming=True, include_existing_files=include_existing_files, start_time=start
+        spark, landing_paths, schema, streaming=True, include_existing_files=include_existing_files, start_time=start,
+        max_files_per_trigger=max_files,
     )
     checked = contract_violations(raw, contract, strict=strict)
-    key_ok = F.nullif(F.trim(F.col("event_id")), F.lit("")).isNotNull()
-    good = checked.where((F.size(VIOLATIONS) == 0) & key_ok).drop(VIOLATIONS, "_corrupt_record")
-    bad = checked.where((F.size(VIOLATIONS) > 0) | ~key_ok)
+    blank = F.nullif(F.trim(F.col("event_id")), F.lit("")).isNull()
+    reasons = F.when(blank, F.array_union(F.col(VIOLATIONS), F.array(F.lit("null_key:event_id")))).otherwise(F.col(VIOLATIONS))
+    checked = checked.withColumn(VIOLATIONS, reasons)
+    good = checked.where(F.size(VIOLATIONS) == 0).drop(VIOLATIONS, "_corrupt_record")
+    bad = checked.where(F.size(VIOLATIONS) > 0)
     silver = TRANSFORMS[entity](good, dedup=dedup)
     return silver, bad
 
@@ -93,23 +97,28 @@ def run_job(
     checkpoint_location: str | None = None,
     schema_location: str | None = None,
     reprocess: bool = False,
+    reprocess_roots: Sequence[str] = (),
     dedup: str = "within_watermark",
     include_existing_files: bool = True,
     fmt: str = "parquet",
+    max_files: int | None = None,
     strict: bool = False,
 ) -> JobResult:
-    """Run one entity's Silver job to completion (AvailableNow)."""
+    """Run one entity's Silver job to completion (AvailableNow).
+
+    ``reprocess`` deletes the job's own folders first; those outside the shared
+    folder must lie below one of ``reprocess_roots``. ``max_files`` bounds the
+    files of one micro-batch.
+    """
     output_path = output_path or shared_path(spark, "silver", entity)
     quarantine_path = quarantine_path or shared_path(spark, "quarantine", entity)
     checkpoint_location = checkpoint_location or shared_path(spark, "_checkpoints", entity)
     base = shared_path(spark)
     if reprocess:
-        reset_stream_target(
+        clear_targets(
             spark,
-            output_path=output_path,
-            checkpoint_location=checkpoint_location,
-            extra_paths=[quarantine_path, f"{checkpoint_location.rstrip('/')}_quarantine"],
-            allowed_base=base if all(p.startswith(base) for p in (output_path, checkpoint_location)) else None,
+            [output_path, checkpoint_location, quarantine_path, f"{checkpoint_location.rstrip('/')}_quarantine"],
+            [base, *reprocess_roots],
         )
     silver, bad = build_job_streams(
         spark,
@@ -119,15 +128,14 @@ def run_job(
         dedup=dedup,
         include_existing_files=include_existing_files,
         checkpoint_base=checkpoint_location,
+        max_files=max_files,
         strict=strict,
     )
     date_col = CONTRACTS[entity].date_column
-    q1 = build_stream_writer(
-        silver, checkpoint_location, fmt=fmt, partition_by=[date_col], query_name=query_name(entity)
-    ).start(output_path)
-    q2 = build_stream_writer(
-        bad, f"{checkpoint_location.rstrip('/')}_quarantine", fmt=fmt, query_name=f"quarantine_{entity}_available_now"
-    ).start(quarantine_path)
+    q1 = StreamTarget(checkpoint_location, path=output_path, fmt=fmt, partitions=(date_col,), name=query_name(entity)).start(silver)
+    q2 = StreamTarget(
+        f"{checkpoint_location.rstrip('/')}_quarantine", path=quarantine_path, fmt=fmt, name=f"quarantine_{entity}_available_now"
+    ).start(bad)
     q1.awaitTermination()
     q2.awaitTermination()
     return JobResult(output_path, quarantine_path)
@@ -144,8 +152,5 @@ def stream_to_table(
     """Run a streaming DataFrame once into a fresh parquet folder under the
     shared dir and return the batch read of it (used by registered queries)."""
     out = shared_path(spark, "streams", name, unique=True)
-    q = build_stream_writer(
-        df, f"{out}/_checkpoint", output_mode=output_mode, partition_by=partition_by
-    ).start(f"{out}/data")
-    q.awaitTermination()
+    StreamTarget(f"{out}/_checkpoint", path=f"{out}/data", mode=output_mode, partitions=tuple(partition_by or ())).run(df)
     return spark.read.parquet(f"{out}/data")

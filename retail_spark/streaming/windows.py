@@ -25,6 +25,7 @@ def windowed_kpis(
     type_column: str = "event_type",
     amount_column: str = "event_amount",
     dedup_key: str | None = None,
+    ingest_column: str | None = None,
 ) -> DataFrame:
     """STR-08: sessions started, orders, GMV and events per tumbling window.
 
@@ -32,8 +33,14 @@ def windowed_kpis(
     ``dropDuplicatesWithinWatermark`` and the window aggregation on the same
     event-time watermark (distinct counts are refused on streams, so
     sessions / orders are counted as rows of deduplicated events).
+
+    ``ingest_column``: windows and watermark go by the earlier of event and
+    arrival time, so a future-dated event doesn't make later ones late.
     """
     df = events
+    if ingest_column:
+        # an event stamped ahead of its arrival counts when it arrived: it must not push the watermark past present events
+        df = df.withColumn(ts_column, F.least(F.col(ts_column), F.col(ingest_column)))
     if events.isStreaming:
         df = df.withWatermark(ts_column, delay)
         if dedup_key:
@@ -122,15 +129,16 @@ def sessionize(
         }
     )
     carry = summary.select(
-        user_column,
-        "__b",
+        F.col(user_column).alias("__cu"),
+        F.col("__b").alias("__cb"),
         "__prev_last",
         "__first_start",
         "__p",
         F.max("__last_start_us").over(before).alias("__open_us"),
         F.max("__last_start_abs").over(before).alias("__open_abs"),
     )
-    e = e.join(carry, [user_column, "__b"])
+    # NULL users and times are kept: they are a user and a bucket like any other
+    e = e.join(carry, F.col(user_column).eqNullSafe(F.col("__cu")) & F.col("__b").eqNullSafe(F.col("__cb"))).drop("__cu", "__cb")
     is_start = F.when(F.col("__lprev").isNull(), F.col("__first_start")).otherwise(F.col("__istart"))
     e = e.withColumns(
         {
@@ -199,12 +207,12 @@ def session_gaps(
     summary = e.groupBy(session_column, "__b").agg(F.max("__us").alias("__last"), F.count(F.lit(1)).alias("__cnt"))
     wb = Window.partitionBy(session_column).orderBy("__b")
     carry = summary.select(
-        session_column,
-        "__b",
+        F.col(session_column).alias("__cs"),
+        F.col("__b").alias("__cb"),
         F.lag("__last").over(wb).alias("__prev_last"),
         F.coalesce(F.sum("__cnt").over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__p"),
     )
-    e = e.join(carry, [session_column, "__b"])
+    e = e.join(carry, F.col(session_column).eqNullSafe(F.col("__cs")) & F.col("__b").eqNullSafe(F.col("__cb"))).drop("__cs", "__cb")
     prev = F.coalesce(F.col("__lprev"), F.col("__prev_last"))
     return e.withColumns(
         {

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from retail_spark.schemas import FACT_EVENT_RAW_V1, read_schema
 from retail_spark.sources.landing import evolve_schema, read_landing
 from retail_spark.streaming.jobs import run_job
-from retail_spark.streaming.sinks import preview, reset_stream_target, write_routed_jsonl, write_snapshot_jsonl
+from retail_spark.streaming.sinks import StreamTarget, clear_targets, preview, write_routed_jsonl, write_snapshot_jsonl
 from retail_spark.streaming.windows import windowed_kpis
 
 
@@ -80,7 +80,7 @@ def test_job_two_runs_dedup_quarantine_and_reprocess(spark, scratch):
     assert bad.count() == 3  # both NULL ids kept (not collapsed) + the enum violation
     assert bad.where(F.array_contains("violations", "enum:event_type")).count() == 1
     # reprocess: reset target side, re-read everything -> same result as a fresh run
-    run_job(spark, "fact_event_raw", root, output_path=out, checkpoint_location=ck, quarantine_path=q, reprocess=True)
+    run_job(spark, "fact_event_raw", root, output_path=out, checkpoint_location=ck, quarantine_path=q, reprocess=True, reprocess_roots=[scratch])
     assert _silver_ids(spark, out) == ["e1", "e2", "e4"]
     assert spark.read.parquet(q).count() == 3
 
@@ -111,8 +111,34 @@ def test_routed_and_snapshot_sinks_and_preview(spark, scratch):
     with pytest.raises(ValueError):
         write_snapshot_jsonl(df.limit(0), os.path.join(scratch, "snap"), "empty")
     stream = spark.readStream.schema(df.schema).json(os.path.join(root, "dataset=page_view", "dt=2026-03-16", "hour=10"))
-    assert preview(stream, limit=10).count() == 1
-    assert reset_stream_target(spark, output_path=root) == [root]
+    assert preview(stream).count() == 1
+    gone = os.path.join(scratch, "absent")
+    assert clear_targets(spark, [root, gone], [scratch]) == {root: True, gone: False}
+    for outside in ("/", scratch, scratch + "-other/x"):
+        with pytest.raises(ValueError):
+            clear_targets(spark, [outside], [scratch])
+    for wrong in ({}, {"path": "a", "mode": "overwrite"}, {"path": "ck"}):
+        with pytest.raises(ValueError):
+            StreamTarget("ck", **wrong)
+
+
+def test_future_event_keeps_later_orders(spark, scratch):
+    """STR-08: an event stamped 25 days ahead doesn't make the next run's order late."""
+    path, out = os.path.join(scratch, "ev"), os.path.join(scratch, "kpi")
+    schema = "event_id string, event_ts timestamp, ingest_ts timestamp, event_type string, event_amount decimal(18,2)"
+
+    def deliver(*rows):
+        spark.createDataFrame(rows, "i string, e string, a string, t string, m double").selectExpr(
+            "i event_id", "to_timestamp(e) event_ts", "to_timestamp(a) ingest_ts", "t event_type", "cast(m as decimal(18,2)) event_amount"
+        ).write.mode("append").parquet(path)
+        stream = spark.readStream.schema(schema).parquet(path)
+        StreamTarget(out + "_ck", path=out).run(windowed_kpis(stream, ingest_column="ingest_ts", dedup_key="event_id"))
+
+    deliver(("d1", "2026-04-10 10:00:00", "2026-03-16 10:00:00", "shipment_delivered", 0.0))
+    deliver(("o1", "2026-03-16 11:10:00", "2026-03-16 11:11:00", "order_placed", 99.0),
+            ("p1", "2026-03-16 15:00:00", "2026-03-16 15:00:00", "page_view", 0.0))
+    deliver(("p2", "2026-03-16 18:00:00", "2026-03-16 18:00:00", "page_view", 0.0))
+    assert spark.read.parquet(out).agg(F.sum("gmv")).first()[0] == 99
 
 
 def test_stream_windows_equal_batch(spark, scratch):
@@ -135,18 +161,17 @@ def test_stream_windows_equal_batch(spark, scratch):
 def test_skip_existing_files_and_table_streams(spark, scratch):
     from retail_spark.sources.tables import read_catalog_stream
     from retail_spark.streaming.jobs import build_job_streams
-    from retail_spark.streaming.sinks import build_stream_writer, write_table_stream
 
     root = os.path.join(scratch, "skip")
     land(root, "page_view", "2026-03-16", "10", [fact("old", "2026-03-16T10:00:00+00:00")], "1")
     ck = os.path.join(scratch, "ck_skip")
     silver, _bad = build_job_streams(spark, "fact_event_raw", root, include_existing_files=False, checkpoint_base=ck)
     out = os.path.join(scratch, "skip_out")
-    build_stream_writer(silver, ck).start(out).awaitTermination()
+    StreamTarget(ck, path=out).run(silver)
     time.sleep(1.1)  # file modification times have 1 s resolution on some file systems
     land(root, "page_view", "2026-03-16", "11", [fact("new", "2026-03-16T11:00:00+00:00")], "2")
     silver, _bad = build_job_streams(spark, "fact_event_raw", root, include_existing_files=False, checkpoint_base=ck)
-    build_stream_writer(silver, ck).start(out).awaitTermination()
+    StreamTarget(ck, path=out).run(silver)
     assert _silver_ids(spark, out) == ["new"]  # files present before the first run are skipped
 
     # SNK-03 (external catalog table) then SRC-07 (stream the table back)
@@ -155,13 +180,11 @@ def test_skip_existing_files_and_table_streams(spark, scratch):
     src.write.parquet(path)
     stream = spark.readStream.schema(src.schema).parquet(path)
     table_path = os.path.join(scratch, "tbl")
-    q = write_table_stream(stream, "retail_stream_tbl", os.path.join(scratch, "tbl_ck"), output_path=table_path,
-                           query_name="silver_tbl_available_now")
-    q.awaitTermination()
+    StreamTarget(os.path.join(scratch, "tbl_ck"), path=table_path, table="retail_stream_tbl", name="silver_tbl_available_now").run(stream)
     assert sorted(r.k for r in spark.table("retail_stream_tbl").collect()) == ["a", "b"]
     back = read_catalog_stream(spark, "retail_stream_tbl")
     out2 = os.path.join(scratch, "tbl_back")
-    build_stream_writer(back, os.path.join(scratch, "tbl_back_ck")).start(out2).awaitTermination()
+    StreamTarget(os.path.join(scratch, "tbl_back_ck"), path=out2).run(back)
     assert spark.read.parquet(out2).count() == 2
     spark.sql("DROP TABLE IF EXISTS retail_stream_tbl")
 
