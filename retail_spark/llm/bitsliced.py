@@ -151,8 +151,9 @@ def top_inner_products(embeddings: DataFrame, is_query: Column, k: int, *, block
         if left.num_rows and right.num_rows:
             dim = left.column("dim")[0].as_py()
             ids = np.frombuffer(left.column("ids")[0].as_py(), np.int64)
-            slices = np.frombuffer(left.column("slices")[0].as_py(), np.uint64).reshape(dim, bits, -1)
-            exists = np.packbits(np.arange(max(1, -(-len(ids) // 64)) * 64) < len(ids), bitorder="little").view(np.uint64)
+            n_words = max(1, -(-len(ids) // 64))
+            slices = np.frombuffer(left.column("slices")[0].as_py(), np.uint64).reshape(dim, bits, n_words)
+            exists = np.packbits(np.arange(n_words * 64) < len(ids), bitorder="little").view(np.uint64)
             asked = np.floor(vectors.matrix(right, "v", dim) * STEPS).astype(np.int64)
             for q, query in zip(right.column("vec_id").to_pylist(), asked):
                 planes, constant = score_slices(slices, query)

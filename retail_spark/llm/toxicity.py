@@ -33,8 +33,9 @@ SAMPLE = 16_000
 VOTERS, FEATURES = 256, 4096
 #: Characters of the word beginnings that serve as patterns.
 PREFIXES = (4, 5, 6)
-#: Fewest training texts that a voter or feature must stand in.
-SUPPORT = 4
+#: Fewest training texts that a voter or feature must stand in, and the least likelihood ratio statistic that it must
+#: have: by chance, one sign in a thousand has 11.
+SUPPORT, EVIDENCE = 4, 12.0
 
 _WORD = re.compile(r"[^\W_]+")
 #: Surface patterns, each a voter and a feature.
@@ -177,9 +178,11 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, voters: int
         return ToxicityModel({}, -30.0)
     toxic, clean = float(total["toxic"]), float(total["clean"])
     lift = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
-    strong = (counts.filter(f"sign <> '' and toxic + clean >= {SUPPORT}").withColumn("lift", lift)
-              .withColumn("power", F.abs("lift") * F.sqrt(F.col("toxic") + F.col("clean") * F.lit(min(1.0, toxic / max(clean, 1.0)))))
-              .orderBy(F.desc("power"), "sign").limit(features).collect())
+    # twice the log likelihood ratio of a sign's texts against the sample's share of toxic ones
+    both, share = F.col("toxic") + F.col("clean"), toxic / (toxic + clean)
+    power = 2 * sum((F.col(n) * F.log(F.greatest(F.col(n), F.lit(1)) / (both * F.lit(max(q, 1e-9)))) for n, q in (("toxic", share), ("clean", 1 - share))), F.lit(0.0))
+    strong = (counts.filter(f"sign <> '' and toxic + clean >= {SUPPORT}").withColumn("lift", lift).withColumn("power", power)
+              .filter(F.col("power") >= EVIDENCE).orderBy(F.desc("power"), "sign").limit(features).collect())
     names = [r["sign"] for r in strong]
     voting = [k for k, r in enumerate(strong) if r["lift"] > 1][:voters]
     index = {n: k for k, n in enumerate(names)}
