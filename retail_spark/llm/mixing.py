@@ -108,7 +108,8 @@ def schedule(targets: DataFrame, block: int = BLOCK) -> DataFrame:
     every = F.max("end").over(Window.partitionBy(F.lit(0)))
     rows = rows.withColumn("bits", F.greatest(F.lit(1), F.length(F.bin(every - 1))).cast("int"))
     rows = rows.withColumn("part", F.explode(F.expr(f"sequence(begin, end - 1, {STRIDE}L)")))
-    spread = rows.repartition(F.col("part"))
+    # a fixed number: these few rows become very many, so they must not be merged into one task by their size
+    spread = rows.repartition(int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.col("part"))
     points = spread.withColumn("point", F.explode(F.expr(f"sequence(part, least(part + {STRIDE - 1}L, end - 1))")))
     points = points.withColumn("slot", _reversed(F.col("point"), F.col("bits")))
     below = [_points_below(F.col("slot"), F.col("point"), F.col(x), F.col("bits")) for x in ("end", "begin")]
