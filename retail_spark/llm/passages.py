@@ -36,6 +36,8 @@ GAP_COST = 0.1
 FLANK = K + WINDOW
 #: Diagonals that an alignment may reach beyond the first and the last.
 BAND = 64
+#: Stretches that one row asks of a text; a text with more is asked in several rows.
+ASKED = 1_000
 
 
 def _numbered(hashes: np.ndarray) -> np.ndarray:
@@ -207,13 +209,13 @@ def edits(a: list[int], b: list[int], most: int, band: int = BAND) -> int | None
 
 def _words_of(docs: DataFrame, found: DataFrame) -> DataFrame:
     """(chain, side, from, words): word hashes of each chain's stretch, with its flanks, in both texts."""
-    span = F.struct("chain", "side", F.greatest(F.lit(0), F.col("a") - FLANK).alias("a"), (F.col("b") + FLANK).alias("b"),
-                    F.col("part"))
+    span = F.struct("chain", "side", F.greatest(F.lit(0), F.col("a") - FLANK).alias("a"), (F.col("b") + FLANK).alias("b"))
     sides = (found.select(F.col("doc_id").alias("id"), "chain", F.lit(0).alias("side"), F.col("start").alias("a"), F.col("stop").alias("b"))
              .union(found.select(F.col("source_id").alias("id"), "chain", F.lit(1).alias("side"), F.col("source_start").alias("a"),
                                  F.col("source_stop").alias("b"))))
-    # a source of very many chains asks for its text in several rows
-    asked = (sides.withColumn("part", F.pmod("chain", F.lit(64))).withColumn("part", F.when(F.col("side") == 1, F.col("part")).otherwise(0))
+    # a source can have a chain with a third of all documents
+    parts = sides.groupBy("id").agg(F.ceil(F.count("*") / F.lit(ASKED)).alias("parts"))
+    asked = (sides.join(parts, "id").withColumn("part", F.pmod("chain", "parts"))
              .groupBy("id", "part").agg(F.collect_list(span).alias("spans")).drop("part"))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text").filter("text is not null").join(asked, "id")
 
