@@ -215,7 +215,7 @@ def _words_of(docs: DataFrame, found: DataFrame) -> DataFrame:
                                  F.col("source_stop").alias("b"))))
     # a source can have a chain with a third of all documents
     parts = sides.groupBy("id").agg(F.ceil(F.count("*") / F.lit(ASKED)).alias("parts"))
-    asked = (sides.join(parts, "id").withColumn("part", F.pmod("chain", "parts"))
+    asked = (sides.join(parts, "id").withColumn("part", F.pmod("chain", "parts")).repartition("id", "part")
              .groupBy("id", "part").agg(F.collect_list(span).alias("spans")).drop("part"))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text").filter("text is not null").join(asked, "id")
 
