@@ -18,6 +18,7 @@ K = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
 JACCARD_T = 0.4
 TOP_K = 5
 PAGERANK_ITERS = 10
+LABEL_ROUNDS = 5
 DAMPING = 0.85
 
 
@@ -171,6 +172,24 @@ r(u, v) AS (SELECT c, c FROM (SELECT DISTINCT customer_id AS c FROM s) UNION SEL
 SELECT u AS vertex, MIN(v) AS label FROM r GROUP BY u"""
 
 
+def q_product_communities(spark: SparkSession, sf: str) -> DataFrame:
+    """GRF-05: label propagation on the co-purchase graph, weighted by orders."""
+    return GR.label_propagation(_pair_counts(spark, sf), src="product_id_a", dst="product_id_b", weight="pair_orders", rounds=LABEL_ROUNDS)
+
+
+def _communities_sql() -> str:
+    steps = ["l0 AS (SELECT DISTINCT u AS vertex, u AS label FROM e)"]
+    for i in range(1, LABEL_ROUNDS + 1):
+        steps.append(
+            f"l{i} AS (SELECT vertex, label FROM (SELECT e.u AS vertex, l.label, row_number() OVER (PARTITION BY e.u ORDER BY SUM(e.w) DESC, l.label) AS r "
+            f"FROM e JOIN l{i - 1} l ON l.vertex = e.v GROUP BY e.u, l.label) WHERE r = 1)"
+        )
+    return f"""WITH {BASKETS_SQL},
+e AS (SELECT product_id_a AS u, product_id_b AS v, pair_orders AS w FROM p UNION ALL SELECT product_id_b, product_id_a, pair_orders FROM p),
+{', '.join(steps)}
+SELECT vertex, label FROM l{LABEL_ROUNDS}"""
+
+
 def q_graph_degree(spark: SparkSession, sf: str) -> DataFrame:
     """GRF-06: degree and weighted degree on the co-purchase graph."""
     return GR.degrees(_pair_counts(spark, sf), src="product_id_a", dst="product_id_b", weight="pair_orders")
@@ -264,6 +283,7 @@ PLANS = {
     "attribute_similar": Plan(q_attribute_similar, ATTRIBUTE_SIMILAR_SQL, "GRF-09"),
     "customer_jaccard": Plan(q_customer_jaccard, CUSTOMER_JACCARD_SQL, "GRF-04 JON-06"),
     "customer_components": Plan(q_customer_components, CUSTOMER_COMPONENTS_SQL, "GRF-05"),
+    "product_communities": Plan(q_product_communities, _communities_sql(), "GRF-05"),
     "graph_degree": Plan(q_graph_degree, GRAPH_DEGREE_SQL, "GRF-06"),
     "pagerank": Plan(q_pagerank, _pagerank_sql(), "GRF-06"),
     "frequent_itemsets": Plan(q_frequent_itemsets, FREQUENT_ITEMSETS_SQL, "GRF-03"),

@@ -160,3 +160,23 @@ def test_connected_components_long_chain(spark):
     df = spark.createDataFrame([(i, i + 1) for i in range(n)], "src int, dst int")
     got = {r.vertex: r.label for r in GR.connected_components(df).collect()}
     assert got == {i: 0 for i in range(n + 1)}
+
+
+def test_label_propagation_against_brute_force(spark):
+    pairs = [(1, 2, 3), (2, 3, 3), (1, 3, 3), (3, 4, 1), (4, 5, 2), (5, 6, 2), (4, 6, 2), (2, 1, 1), (7, 7, 9), (8, None, 4)]
+    near = defaultdict(Counter)
+    for a, b, w in pairs:
+        if b is not None and a != b:
+            near[a][b] += w
+            near[b][a] += w
+    label = {v: v for v in near}
+    for _ in range(3):
+        votes = {v: Counter() for v in near}
+        for v, others in near.items():
+            for o, w in others.items():
+                votes[v][label[o]] += w
+        label = {v: min(c, key=lambda x: (-c[x], x)) for v, c in votes.items()}
+    edges = spark.createDataFrame(pairs, "src int, dst int, w int")
+    out = GR.label_propagation(edges, weight="w", rounds=3).collect()
+    assert {r["vertex"]: r["label"] for r in out} == label
+    assert GR.label_propagation(edges.limit(0)).count() == 0
