@@ -20,14 +20,15 @@ Steps and what they move:
 4. Texts of classes in such buckets are shuffled once and their sets stored.
 5. Two rounds of stars around the two heaviest members of each bucket: members
    that no centre's component holds after the first round choose the centres of
-   the second, which meet the whole rest of the bucket again. So a bucket of any
-   size has at most ``ROUNDS * CENTRES`` candidates a member.
-6. Connected components of the confirmed links.
+   the second, which meet the whole rest of the bucket again.
+6. Members of buckets that then still hold several components are compared
+   exactly, by prefix filtering on their shingles, whatever the bucket's size.
+7. Connected components of the confirmed links.
 
 A pair at the threshold of 0.8 shares no bucket with a probability of
-(1 - 0.8**4)**32 = 5e-8, and shares 13 of 32 on average. A link between two
-members of which neither was a centre of a shared bucket is only needed where
-no path over centres joins them; README gives the measured recall.
+(1 - 0.8**4)**32 = 5e-8, and shares 13 of 32 on average. Of two members that
+share a bucket one was a centre of it, or both are in one component after the
+rounds, or step 6 compares them.
 """
 
 from __future__ import annotations
@@ -37,6 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from retail_spark.llm.common import WordHashes, binary_column, connected, map_arrow, mix64, shingle_hashes, stash
+from retail_spark.operators.graph import block_pairs
 
 BANDS, ROWS = 32, 4
 #: Stars of a bucket: centres in a round, and rounds.
@@ -170,19 +172,55 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(check, "u bigint, v bigint")
 
 
+def _alike(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(u, v): every pair of ``left(rep, n, root)`` of different roots that can reach ``percent``, by prefix filtering.
+
+    Shingles of one root only can't be in common and stand first in the order,
+    then the rarer ones. A pair that reaches ``percent`` has its first common
+    shingle among the first ``n - ceil(percent * n / 100) + 1`` of both sets,
+    with enough left behind it in either.
+    """
+    def split(batches):
+        for batch in batches:
+            packed = [np.frombuffer(s, np.int64) for s in batch.column(3).to_pylist()]
+            many = np.repeat(np.arange(len(packed)), [len(s) for s in packed])
+            yield pa.RecordBatch.from_arrays([*(batch.column(k).take(pa.array(many)) for k in range(3)),
+                                              pa.array(np.concatenate([*packed, np.zeros(0, np.int64)]))],
+                                             names=["rep", "n", "root", "shingle"])
+
+    held = left.join(sets.withColumnRenamed("doc_id", "rep"), "rep").select("rep", "n", "root", "shingles")
+    each = stash(held.mapInArrow(split, "rep bigint, n bigint, root bigint, shingle bigint"), "shingles")
+    common = (each.groupBy("shingle").agg(F.count("*").alias("f"), F.min("root").alias("a"), F.max("root").alias("b"))
+              .filter("a <> b").select("shingle", "f"))
+    shared = each.join(common, "shingle")
+    order = Window.partitionBy("rep").orderBy("f", "shingle")
+    some = shared.groupBy("rep").agg(F.count("*").alias("some")).withColumnRenamed("rep", "r")
+    place = F.col("n") - F.col("some") + F.col("rank")
+    first = (shared.withColumn("rank", F.row_number().over(order)).join(some, F.col("rep") == F.col("r"))
+             .withColumn("place", place).filter(F.lit(100) * (F.col("n") - F.col("place") + 1) >= F.lit(percent) * F.col("n")))
+    first = stash(first.select("shingle", "rep", "n", "root", "place"), "prefixes")
+    met = block_pairs(first, "shingle", "rep", block=STAR, extra=("n", "root", "place"))
+    behind = F.lit(1) + F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+    enough = F.lit(100 + percent) * behind >= F.lit(percent) * (F.col("n_a") + F.col("n_b"))
+    return (met.filter((F.col("root_a") != F.col("root_b")) & enough)
+            .select(F.col("rep_a").alias("u"), F.col("rep_b").alias("v")).distinct())
+
+
 def _links(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame | None:
-    """(u, v): confirmed star links between classes, or None where no bucket has two classes.
+    """(u, v): confirmed links between classes, or None where no bucket has two classes.
 
     ``left`` holds the members of buckets that still have work: ``open`` ones
     may become a centre, the others are confirmed to one and are only compared
-    with later centres. A centre has met its whole bucket and leaves it.
+    with later centres. A centre has met its whole bucket and leaves it. What is
+    left of buckets with several components after the rounds is compared by
+    shingles.
     """
     left = stash(_members(classes).withColumns({"open": F.lit(True), "root": F.col("rep")}), "members")
     if not left.take(1):
         return None
     sets = stash(_sets_of(docs, left.select("rep").distinct(), words), "sets")
     links = None
-    for last in (*(False,) * (ROUNDS - 1), True):
+    for _ in range(ROUNDS):
         order = Window.partitionBy("bucket").orderBy(F.desc("weight"), "rep")
         best = (left.filter("open").withColumn("place", F.row_number().over(order)).filter(F.col("place") <= CENTRES)
                 .select("bucket", F.col("rep").alias("u"), F.col("n").alias("m"), F.col("root").alias("u_root")))
@@ -190,22 +228,21 @@ def _links(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> Dat
         near = stars.filter(F.lit(100) * F.least("n", "m") >= F.lit(percent) * F.greatest("n", "m")).filter("root <> u_root")
         found = stash(_confirm(near.select("u", F.col("rep").alias("v")).distinct(), sets, percent), "links")
         links = found if links is None else links.union(found)
-        if last:
-            break
         roots = connected(links)
         label = roots.select(F.col("node").alias("rep"), F.col("root").alias("now"))
         met = (stars.select("bucket", "rep", "u").join(label, "rep", "left")
                .join(label.select(F.col("rep").alias("u"), F.col("now").alias("u_now")), "u", "left")
-               .groupBy("bucket", "rep")
-               .agg(F.max(F.coalesce("now", "rep") == F.coalesce("u_now", "u")).alias("held"), F.max("now").alias("now")))
+               .groupBy("bucket", "rep").agg(F.max(F.coalesce("now", "rep") == F.coalesce("u_now", "u")).alias("held")))
         rest = (left.drop("root").join(best.select("bucket", F.col("u").alias("rep")), ["bucket", "rep"], "left_anti")
-                .join(met, ["bucket", "rep"])
-                .select("bucket", "rep", "n", "weight", (F.col("open") & ~F.col("held")).alias("open"),
+                .join(met, ["bucket", "rep"], "left").join(label, "rep", "left")
+                .select("bucket", "rep", "n", "weight", (F.col("open") & ~F.coalesce("held", F.lit(False))).alias("open"),
                         F.coalesce("now", "rep").alias("root")))
-        work = (rest.groupBy("bucket").agg(F.max("open").alias("any_open"), F.min("root").alias("a"), F.max("root").alias("b"))
-                .filter("any_open and a <> b"))
+        work = rest.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b")
         left = stash(rest.join(work, "bucket", "left_semi"), "members")
-    return links
+        if not left.take(1):
+            return links
+    pairs = _alike(left.select("rep", "n", "root").distinct(), sets, percent)
+    return links.union(stash(_confirm(pairs, sets, percent), "links"))
 
 
 def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80) -> DataFrame:

@@ -71,6 +71,15 @@ def test_near_duplicates_against_all_pairs(spark, n):
     assert all(r.kept == (r.doc_id == r.component_id) for r in out)
 
 
+def test_every_pair_of_a_bucket_is_met(spark):
+    """One bucket of 20 pairs, each alike with one another only: more than the rounds have centres for."""
+    texts = [" ".join(words(60, g // 2) + (["more"] if g % 2 else [])) for g in range(40)]
+    table = docs(spark, [(d, t, None, None) for d, t in enumerate(texts)])
+    classes = spark.createDataFrame([(d, len(shingles(t, 2)), [7]) for d, t in enumerate(texts)], "rep bigint, n bigint, bands array<bigint>")
+    found = {tuple(sorted((r.u, r.v))) for r in minhash._links(table, classes, 2, 80).collect()}
+    assert found == {(g, g + 1) for g in range(0, 40, 2)}
+
+
 def test_bin_values_estimate_similarity():
     rng = np.random.default_rng(0)
     hits = []
