@@ -14,7 +14,8 @@
    O(n log n).
 5. The words of chained stretches are fetched (one shuffle of the texts) and
    aligned by edit distance; ends are extended while words agree. Stretches of
-   ``MIN_WORDS`` words and more with few enough edits are passages.
+   ``MIN_WORDS`` words and more with few enough edits are passages; others are
+   split at their largest gap and each part is aligned by itself.
 """
 
 from __future__ import annotations
@@ -30,8 +31,10 @@ from retail_spark.llm.common import WordHashes, binary_column, map_arrow, mix64,
 K, WINDOW = 5, 14
 #: Fewest words of a passage, and most edits a word of it.
 MIN_WORDS, MOST_EDITS = 50, 0.2
-#: What a word of a gap costs, beside a seed's ``K``: a gap of more than 25 words in both texts ends a chain.
+#: What a word of a gap costs, beside a seed's ``K``.
 GAP_COST = 0.1
+#: A gap of more words in both texts, of which over half differ, parts two passages.
+MOST_GAP = 25
 #: Words fetched beyond either end of a chain; two seeds are at most a window apart.
 FLANK = K + WINDOW
 #: Diagonals that an alignment may reach beyond the first and the last.
@@ -107,7 +110,12 @@ class Fenwick:
 
 
 def chains(a: list[int], b: list[int]) -> list[tuple[int, int, int, int, int]]:
-    """Chains of links (a[i], b[i]): (first a, last a, first b, last b, links), best first, sharing no link.
+    """Chains of links (a[i], b[i]): (first a, last a, first b, last b, links), best first, sharing no link."""
+    return [(a[c[0]], a[c[-1]], b[c[0]], b[c[-1]], len(c)) for c in _chains(a, b)]
+
+
+def _chains(a: list[int], b: list[int]) -> list[list[int]]:
+    """The links of each chain, best chain first.
 
     A chain's score is K a link less ``GAP_COST`` for each word it moves on in
     either text. Without the part that depends on its end alone, a chain's
@@ -128,32 +136,32 @@ def chains(a: list[int], b: list[int]) -> list[tuple[int, int, int, int, int]]:
     for i in sorted(range(len(a)), key=lambda i: (-score[i], a[i], b[i])):
         if used[i]:
             continue
-        last, n = i, 0
-        while True:
+        chain = []
+        while i >= 0 and not used[i]:
             used[i] = True
-            first, n = i, n + 1
+            chain.append(i)
             i = before[i]
-            if i < 0 or used[i]:
-                break
-        out.append((a[first], a[last], b[first], b[last], n))
+        out.append(chain[::-1])
     return out
 
 
 def _chained(links: DataFrame) -> DataFrame:
-    """(chain, doc_id, source_id, start, stop, source_start, source_stop) from links(doc_id, source_id, place, source_place)."""
+    """(chain, doc_id, source_id, start, stop, source_start, source_stop, places, source_places) from links(doc_id, source_id, place, source_place)."""
 
     def run(batches):
         key, a, b = None, [], []
 
         def done():
-            for a0, a1, b0, b1, _ in chains(a, b):
+            for c in _chains(a, b):
+                x, y = [a[i] for i in c], [b[i] for i in c]
                 # a passage holds seeds up to a window from its ends
-                if min(a1 - a0, b1 - b0) + K + 2 * (FLANK - 1) >= MIN_WORDS:
-                    yield (*key, a0, a1 + K, b0, b1 + K)
+                if min(x[-1] - x[0], y[-1] - y[0]) + K + 2 * (FLANK - 1) >= MIN_WORDS:
+                    yield (*key, x[0], x[-1] + K, y[0], y[-1] + K, x, y)
 
         def batch_of(rows):
-            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(6)],
-                                              names=["doc_id", "source_id", "start", "stop", "source_start", "source_stop"])
+            kinds = [pa.int64()] * 6 + [pa.list_(pa.int64())] * 2
+            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)],
+                                              names=["doc_id", "source_id", "start", "stop", "source_start", "source_stop", "places", "source_places"])
 
         for batch in batches:
             rows = []
@@ -170,8 +178,9 @@ def _chained(links: DataFrame) -> DataFrame:
 
     sorted_ = (links.select("doc_id", "source_id", "place", "source_place").distinct()
                .repartition("doc_id", "source_id").sortWithinPartitions("doc_id", "source_id", "place", "source_place"))
-    found = sorted_.mapInArrow(run, "doc_id bigint, source_id bigint, start bigint, stop bigint, source_start bigint, source_stop bigint")
-    return found.withColumn("chain", F.xxhash64(*found.columns))
+    found = sorted_.mapInArrow(run, "doc_id bigint, source_id bigint, start bigint, stop bigint, source_start bigint, source_stop bigint, "
+                                    "places array<bigint>, source_places array<bigint>")
+    return found.withColumn("chain", F.xxhash64(*found.columns[:6]))
 
 
 def edits(a: list[int], b: list[int], most: int, band: int = BAND) -> int | None:
@@ -207,6 +216,39 @@ def edits(a: list[int], b: list[int], most: int, band: int = BAND) -> int | None
     return None
 
 
+def parts(x: list[int], y: list[int], p: list[int], q: list[int]) -> list[tuple[int, int, int, int, int]]:
+    """Passages (start, stop, start in y, stop in y, edits) of a chain of seeds x[p[i]:], y[q[i]:].
+
+    A stretch with too many edits is split at its largest gap, and so are its
+    parts until they pass or are too short. One that passes is split at a gap
+    that parts two passages, if there is a passage on both sides.
+    """
+    out, todo = [], [(0, len(p))]
+    while todo:
+        lo, hi = todo.pop()
+        i, j, k, l = p[lo], p[hi - 1] + K, q[lo], q[hi - 1] + K
+        while i > 0 and k > 0 and x[i - 1] == y[k - 1]:
+            i, k = i - 1, k - 1
+        while j < len(x) and l < len(y) and x[j] == y[l]:
+            j, l = j + 1, l + 1
+        if min(j - i, l - k) < MIN_WORDS:
+            continue
+        e = 0 if x[i:j] == y[k:l] else edits(x[i:j], y[k:l], int(MOST_EDITS * (j - i)))
+        if e == 0 or hi - lo < 2:
+            out += [] if e is None else [(i, j, k, l, e)]
+            continue
+        cut = max(range(lo + 1, hi), key=lambda c: max(p[c] - p[c - 1], q[c] - q[c - 1]))
+        if e is None:
+            todo += [(lo, cut), (cut, hi)]
+            continue
+        sides = []
+        a, b = x[p[cut - 1] + K : p[cut]], y[q[cut - 1] + K : q[cut]]
+        if min(len(a), len(b)) > MOST_GAP and edits(a, b, max(len(a), len(b)) // 2) is None:
+            sides = [parts(x, y, p[s:t], q[s:t]) for s, t in ((lo, cut), (cut, hi))]
+        out += [*sides[0], *sides[1]] if sides and all(sides) else [(i, j, k, l, e)]
+    return out
+
+
 def _words_of(docs: DataFrame, found: DataFrame) -> DataFrame:
     """(chain, side, from, words): word hashes of each chain's stretch, with its flanks, in both texts."""
     span = F.struct("chain", "side", F.greatest(F.lit(0), F.col("a") - FLANK).alias("a"), (F.col("b") + FLANK).alias("b"))
@@ -246,21 +288,13 @@ def _aligned(found: DataFrame, words: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             out = []
-            for d, s, t, o, u, v, a, x, b, y in zip(*(c.to_pylist() for c in batch.columns)):
+            for d, o, p, q, a, x, b, y in zip(*(c.to_pylist() for c in batch.columns)):
                 x, y = np.frombuffer(x, np.uint32).tolist(), np.frombuffer(y, np.uint32).tolist()
-                i, j, k, l = s - a, t - a, u - b, v - b  # the chain within the words fetched
-                while i > 0 and k > 0 and x[i - 1] == y[k - 1]:
-                    i, k = i - 1, k - 1
-                while j < len(x) and l < len(y) and x[j] == y[l]:
-                    j, l = j + 1, l + 1
-                if min(j - i, l - k) < MIN_WORDS:
-                    continue
-                e = 0 if x[i:j] == y[k:l] else edits(x[i:j], y[k:l], int(MOST_EDITS * (j - i)))
-                if e is not None:
+                for i, j, k, l, e in parts(x, y, [z - a for z in p], [z - b for z in q]):
                     out.append((d, i + a, j + a, o, k + b, l + b, j - i, e))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(8)], names=[*names, "n_words", "edits"])
 
-    return both.select(*names, "a", "x", "b", "y").mapInArrow(run, ", ".join(f"{n} bigint" for n in (*names, "n_words", "edits")))
+    return both.select("doc_id", "source_id", "places", "source_places", "a", "x", "b", "y").mapInArrow(run, ", ".join(f"{n} bigint" for n in (*names, "n_words", "edits")))
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:

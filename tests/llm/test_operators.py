@@ -280,6 +280,18 @@ def test_passages(spark):
     assert (got[6].source_id, got[6].n_words) == (5, 200)
 
 
+def passages_of(spark, rows):
+    found = passages.repeated_passages(docs(spark, [(d, " ".join(w), None, None) for d, w in rows])).collect()
+    return {(r.doc_id, r.start, r.stop, r.source_id, r.source_start) for r in found}
+
+
+def test_two_passages_of_a_pair(spark):
+    head, foot = words(60, 1), words(60, 2)
+    long = [words(200, k) for k in (5, 6)]
+    rows = [(1, head + words(60, 3) + foot), (2, head + words(60, 4) + foot), (3, long[0] + words(80, 7) + long[1]), (4, long[0] + words(80, 8) + long[1])]
+    assert passages_of(spark, rows) == {(2, 0, 60, 1, 0), (2, 120, 180, 1, 120), (4, 0, 200, 3, 0), (4, 280, 480, 3, 280)}
+
+
 def test_chains_and_edits_against_brute_force():
     r = random.Random(2)
     for _ in range(40):
