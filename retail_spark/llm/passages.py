@@ -43,8 +43,8 @@ BAND = 64
 ASKED = 1_000
 
 
-def _numbered(hashes: np.ndarray) -> np.ndarray:
-    """Hashes made different by how often they stand earlier in the text.
+def _numbered(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes made different by how often they stand earlier in the text, and which of them do.
 
     So the third time that a text says something is held against the third
     time in the other, which keeps texts that repeat themselves in order.
@@ -56,7 +56,7 @@ def _numbered(hashes: np.ndarray) -> np.ndarray:
     out = hashes.copy()
     again = time > 0
     out[order[again]] = mix64(sorted_[again] + time[again].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    return out
+    return out, np.sort(order[again])
 
 
 def seeds(docs: DataFrame) -> DataFrame:
@@ -77,7 +77,10 @@ def seeds(docs: DataFrame) -> DataFrame:
                     runs = shingle_hashes(words, K)
                     wide = np.lib.stride_tricks.sliding_window_view(runs, min(WINDOW, len(runs)))
                     places = np.unique(wide.argmin(axis=1) + np.arange(len(wide))).astype(np.int32)
-                    hashes = _numbered(runs[places]).view(np.int64)
+                    # a later time is held against the source's first time, too
+                    numbered, again = _numbered(runs[places])
+                    hashes = np.concatenate([numbered, runs[places[again]]]).view(np.int64)
+                    places = np.concatenate([places, places[again]])
                 for k, v in zip(out, (int(whole[0]), int(whole[1]), len(words), hashes, places)):
                     out[k].append(v)
             return out | {"doc_id": batch.column(0)}

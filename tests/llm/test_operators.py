@@ -292,6 +292,12 @@ def test_two_passages_of_a_pair(spark):
     assert passages_of(spark, rows) == {(2, 0, 60, 1, 0), (2, 120, 180, 1, 120), (4, 0, 200, 3, 0), (4, 280, 480, 3, 280)}
 
 
+def test_passage_that_a_text_says_twice(spark):
+    said, late = words(60, 1), words(70, 2)
+    rows = [(1, words(20, 3) + said), (2, said + words(30, 4) + said), (3, late), (4, late[:40] + words(30, 5) + late)]
+    assert passages_of(spark, rows) == {(2, 0, 60, 1, 20), (2, 90, 150, 1, 20), (4, 70, 140, 3, 0)}
+
+
 def test_chains_and_edits_against_brute_force():
     r = random.Random(2)
     for _ in range(40):
