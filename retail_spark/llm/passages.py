@@ -16,6 +16,9 @@
    aligned by edit distance; ends are extended while words agree. Stretches of
    ``MIN_WORDS`` words and more with few enough edits are passages; others are
    split at their largest gap and each part is aligned by itself.
+6. Seeds in no passage yet may have scattered over several smallest holders.
+   Runs of 2 to 16 successive shared seeds link such places to the smallest
+   document that holds the whole run, again a star, and steps 4 and 5 follow.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from retail_spark.llm.common import WordHashes, binary_column, map_arrow, mix64, shingle_hashes, stash
 
@@ -37,6 +40,10 @@ GAP_COST = 0.1
 MOST_GAP = 25
 #: Words fetched beyond either end of a chain; two seeds are at most a window apart.
 FLANK = K + WINDOW
+#: Seeds of the runs by which places that no passage covers find another source.
+RUNS = (2, 3, 4, 5, 6, 7, 8, 10, 12, 16)
+#: Words of a text that one key holds where places meet passages.
+STRIP = 256
 #: Diagonals that an alignment may reach beyond the first and the last.
 BAND = 64
 #: Stretches that one row asks of a text; a text with more is asked in several rows.
@@ -300,6 +307,37 @@ def _aligned(found: DataFrame, words: DataFrame) -> DataFrame:
     return both.select("doc_id", "source_id", "places", "source_places", "a", "x", "b", "y").mapInArrow(run, ", ".join(f"{n} bigint" for n in (*names, "n_words", "edits")))
 
 
+def _run_links(held: DataFrame, aligned: DataFrame) -> DataFrame | None:
+    """Links of the places of ``held`` in no passage of ``aligned``, by runs of shared seeds; None if there are none."""
+    strip = F.sequence(F.floor(F.col("start") / STRIP), F.floor((F.col("stop") - 1) / STRIP))
+    covered = aligned.select(F.col("doc_id").alias("d"), "start", "stop", F.explode(strip).alias("strip"))
+    inside = (F.col("doc_id") == F.col("d")) & (F.floor(F.col("place") / STRIP) == F.col("strip")) & \
+        (F.col("place") >= F.col("start")) & (F.col("place") + K <= F.col("stop"))
+    open_ = held.filter("doc_id <> source_id").join(covered, inside, "left_anti").select("doc_id", "place", "seed")
+    # stretches of open places too short for a passage, as a repeated phrase has, stay out
+    along = Window.partitionBy("doc_id").orderBy("place", "seed")
+    apart = F.coalesce((F.col("place") - F.lag("place").over(along) > MOST_GAP).cast("int"), F.lit(0))
+    open_ = stash(open_.withColumn("apart", apart).withColumn("stretch", F.sum("apart").over(along)).drop("apart"), "open")
+    long = (open_.groupBy("doc_id", "stretch").agg((F.max("place") - F.min("place")).alias("span"))
+            .filter(F.col("span") + K + 2 * (FLANK - 1) >= MIN_WORDS))
+    open_ = stash(open_.join(long, ["doc_id", "stretch"], "left_semi").drop("stretch"), "open")
+    if not open_.take(1):
+        return None
+    rows = (held.join(open_.select("seed").distinct(), "seed", "left_semi").select("doc_id", "place", "seed")
+            .join(open_.withColumn("open", F.lit(True)), ["doc_id", "place", "seed"], "left"))
+    ahead = Window.partitionBy("doc_id").orderBy("place", "seed").rowsBetween(0, RUNS[-1] - 1)
+    long = F.filter(F.array(*map(F.lit, RUNS)), lambda m: m <= F.size("ahead"))
+    runs = (rows.withColumn("ahead", F.collect_list(F.struct("seed", "place", F.coalesce("open", F.lit(False)).alias("open"))).over(ahead))
+            .select("doc_id", "place", "ahead", F.explode(long).alias("m")).withColumn("run", F.expr("slice(ahead, 1, m)")))
+    runs = stash(runs.select("doc_id", "place", F.xxhash64("m", F.col("run.seed")).alias("key"), F.col("run.place").alias("places"),
+                             F.forall("run.open", lambda o: o).alias("open")), "runs")
+    first = (runs.groupBy("key").agg(F.min(F.struct("doc_id", "place", "places")).alias("s"), F.max("doc_id").alias("last"))
+             .filter("s.doc_id < last").select("key", F.col("s.doc_id").alias("source_id"), F.col("s.places").alias("source_places")))
+    pairs = F.explode(F.arrays_zip("places", "source_places")).alias("p")
+    return (runs.filter("open").join(first, "key").filter("doc_id <> source_id").select("doc_id", "source_id", pairs)
+            .select("doc_id", "source_id", F.col("p.places").alias("place"), F.col("p.source_places").alias("source_place")))
+
+
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """One row per passage: doc_id, start, stop, source_id, source_start, source_stop, n_words, edits.
 
@@ -327,7 +365,11 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     at_source = held.filter("doc_id = source_id").groupBy("seed").agg(F.min("place").alias("source_place"))
     links = held.filter("doc_id <> source_id").join(at_source, "seed")
     chained = stash(_chained(links), "chains")
-    aligned = _aligned(chained, _words_of(docs, chained))
+    aligned = stash(_aligned(chained, _words_of(docs, chained)), "passages")
+    more = _run_links(held, aligned)
+    if more is not None:
+        chained = stash(_chained(more), "chains")
+        aligned = aligned.union(_aligned(chained, _words_of(docs, chained)))
     whole = copies.select("doc_id", F.lit(0).cast("bigint").alias("start"), F.col("n").alias("stop"), "source_id",
                           F.lit(0).cast("bigint").alias("source_start"), F.col("n").alias("source_stop"), F.col("n").alias("n_words"),
                           F.lit(0).cast("bigint").alias("edits"))

@@ -298,6 +298,12 @@ def test_passage_that_a_text_says_twice(spark):
     assert passages_of(spark, rows) == {(2, 0, 60, 1, 20), (2, 90, 150, 1, 20), (4, 70, 140, 3, 0)}
 
 
+def test_passage_whose_parts_stand_in_earlier_documents(spark):
+    said = words(85, 1)
+    rows = [(1, said[:45] + words(30, 2)), (2, words(30, 3) + said[40:]), (10, words(10, 4) + said + words(10, 5)), (20, words(20, 6) + said)]
+    assert passages_of(spark, rows) == {(20, 20, 105, 10, 10)}
+
+
 def test_chains_and_edits_against_brute_force():
     r = random.Random(2)
     for _ in range(40):
