@@ -48,6 +48,9 @@ INTRODUCTIONS += tuple(x[0].upper() + x[1:] for x in INTRODUCTIONS if x[0].islow
 
 _REST = r"[\w'’-]*[^\W\d_]"
 _UPPER = "A-ZÀ-ÖØ-ÞĀ-ŽΆ-ΫА-ЯЁ"
+_WORD = rf"[{_UPPER}]{_REST}"
+#: Words inside a name that are no name themselves.
+PARTICLES = "al bin da das de del della den der di do dos du el la las le los ten ter van von y zu".split()
 #: In order of precedence where matches start at the same place or overlap.
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+\-]*[A-Za-z0-9_%+\-]@[A-Za-z0-9](?:[A-Za-z0-9\-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9\-]*[A-Za-z0-9])?)*\.[A-Za-z]{2,}",
@@ -59,7 +62,7 @@ PATTERNS = {
     "phone": r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .\-]?(?:\([0-9]{1,5}\)[ .\-]?)?[0-9]{2,5}(?:[ .\-]?[0-9]{2,5}){1,4}"
              r"|\([0-9]{3}\) ?[0-9]{3}[ .\-][0-9]{4}|[0-9]{3}[.\-][0-9]{3}[.\-][0-9]{4})(?![0-9A-Za-z])",
     "name": rf"(?:(?<!\w)(?P<title>{'|'.join(map(re.escape, TITLES))})\.?|(?<!\w)(?:{'|'.join(map(re.escape, INTRODUCTIONS))}))"
-            rf"[ \t]+(?P<person>(?:[{_UPPER}]{_REST}[ \t]+)?[{_UPPER}]{_REST})",
+            rf"[ \t]+(?P<person>(?:(?:[{_UPPER}]\.|{_WORD}|[{_UPPER}]|{'|'.join(PARTICLES)})[ \t]+)*{_WORD})",
 }
 #: A text without any of these holds no entity.
 def _first(words) -> str:
@@ -91,7 +94,7 @@ class Finder:
     ``value`` is what makes two mentions the same entity (e-mail addresses
     without case, numbers without separators); the words of a name are
     entities of their own, so a full name and a later mention of the family
-    name alone agree. ``hint`` is a given name's gender, if the title or the
+    name alone agree, with or without a title; particles stay. ``hint`` is a given name's gender, if the title or the
     name itself shows one.
     """
 
@@ -121,7 +124,7 @@ class Finder:
             elif kind == "iban":
                 value = raw.replace(" ", "")
             elif kind == "name":
-                words = list(re.finditer(r"\S+", raw))
+                words = [w for w in re.finditer(r"\S+", raw) if w[0] not in PARTICLES]
                 hint = TITLES.get(m["title"] or "", "") or self.genders.get(words[0][0].lower(), "")
                 for k, w in enumerate(words):
                     family = k == len(words) - 1 and (k or m["title"])
@@ -132,7 +135,34 @@ class Finder:
                 value = raw
             out.append((start, stop, kind, value, hint))
             end = stop
-        return out
+        return self._mentions(text, out)
+
+    @staticmethod
+    def _mentions(text: str, found: list[tuple]) -> list[tuple]:
+        """``found`` and the whole-word mentions of its names elsewhere in the text; a family name goes before a given one."""
+        names = {}
+        for _, _, kind, value, hint in found:
+            if kind == "family" or kind == "given" and len(value.rstrip(".")) > 1 and names.get(value, ("",))[0] != "family":
+                names[value] = (kind, hint)
+        if not names:
+            return found
+        # one pass over the words, however many names there are
+        out, spans, k = list(found), [(x[0], x[1]) for x in found], 0
+        for m in re.finditer(rf"(?<![\w'’-]){_WORD}(?![\w-])", text):
+            for start, stop, value in _named(m, names):
+                while k < len(spans) and spans[k][1] <= start:
+                    k += 1
+                if k == len(spans) or stop <= spans[k][0]:
+                    out.append((start, stop, names[value][0], value, names[value][1]))
+        return sorted(out)
+
+
+def _named(m: re.Match, names: dict) -> list[tuple[int, int, str]]:
+    """The name that the word ``m`` is, as a whole or before an apostrophe: [(start, stop, name)] or []."""
+    for word in (m[0], re.split("['’]", m[0])[0]):
+        if word in names:
+            return [(m.start(), m.start() + len(word), word)]
+    return []
 
 
 class Surrogates:

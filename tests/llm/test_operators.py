@@ -228,6 +228,17 @@ def test_surrogates(spark):
     assert out.where("doc_id = 5").count() == 2 + 1
 
 
+def test_names_of_many_words_and_later_mentions():
+    def found(text):
+        return [(k, v) for _, _, k, v, _ in pii.Finder()(text)]
+
+    assert found("Mr. John Ronald Smith left.") == [("given", "John"), ("given", "Ronald"), ("family", "Smith")]
+    assert found("Mr. J. Smith and Dr. A. B. Lee") == [("given", "J."), ("family", "Smith"), ("given", "A."), ("given", "B."), ("family", "Lee")]
+    assert found("Mrs. Ana de la Cruz") == [("given", "Ana"), ("family", "Cruz")]
+    text = "Smith's Mr. John Smith called. Smith said Smithson met John."
+    assert [text[a:b] for a, b, *_ in pii.Finder()(text)] == ["Smith", "John", "Smith", "Smith", "John"]
+
+
 def test_surrogates_of_many_names_stay_apart(spark):
     names = [(k, f"Herr Name{chr(97 + k % 26)}{chr(97 + k // 26)}x war hier.", None, None) for k in range(200)]
     out = [r.text for r in pii.deidentify(docs(spark, names)).collect()]
