@@ -234,7 +234,7 @@ def frequent_itemsets(
 
 
 def association_rules(itemsets: DataFrame, total_baskets: int) -> DataFrame:
-    """GRF-03 rules a -> b from size-2 itemsets: confidence and lift."""
+    """GRF-03 rules a -> b from size-2 itemsets: confidence and lift; ``itemset_rules`` has those of every size."""
     singles = itemsets.where(F.col("size") == 1).select(F.col("items")[0].alias("item"), F.col("freq").alias("item_freq"))
     pairs = itemsets.where(F.col("size") == 2)
     both = pairs.select(F.col("items")[0].alias("antecedent"), F.col("items")[1].alias("consequent"), "freq").unionByName(
@@ -253,6 +253,19 @@ def association_rules(itemsets: DataFrame, total_baskets: int) -> DataFrame:
     )
 
 
+def itemset_rules(itemsets: DataFrame, total_baskets: int) -> DataFrame:
+    """GRF-03 rules {a, b, ..} -> c from itemsets of every size: each item of a
+    set as the consequent of the rest (``antecedent``, a sorted array)."""
+    sets = itemsets.where(F.col("size") > 1).select("items", "freq", F.explode("items").alias("consequent"))
+    rules = sets.select(F.expr("array_remove(items, consequent)").alias("antecedent"), "consequent", "freq")
+    ante = itemsets.select(F.col("items").alias("antecedent"), F.col("freq").alias("ante_freq"))
+    cons = itemsets.where(F.col("size") == 1).select(F.col("items")[0].alias("consequent"), F.col("freq").alias("cons_freq"))
+    freq, af, cf = (F.col(c).cast("double") for c in ("freq", "ante_freq", "cons_freq"))
+    return rules.join(ante, "antecedent").join(cons, "consequent").withColumns(
+        {"confidence": freq / af, "lift": freq * F.lit(float(total_baskets)) / (af * cf)}
+    )
+
+
 def jaccard_similarity(
     interactions: DataFrame,
     *,

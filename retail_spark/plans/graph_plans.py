@@ -256,6 +256,29 @@ SELECT r.consequent, r.antecedent, r.freq, ca.item_orders AS ante_freq, cc.item_
 FROM r JOIN c ca ON r.antecedent = ca.product_id JOIN c cc ON r.consequent = cc.product_id, n"""
 
 
+def q_itemset_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """GRF-03: rules {a, b, ..} -> c over itemsets of every size seen in at least 2 orders."""
+    lines = _lines(spark, sf)
+    total = GR.baskets(lines).select(F.count_distinct("order_id")).first()[0]
+    rules = GR.itemset_rules(GR.frequent_itemsets(lines, min_count=2), total)
+    return rules.withColumn("antecedent", F.concat_ws(",", F.transform("antecedent", lambda x: x.cast("string"))))
+
+
+ITEMSET_RULES_SQL = """WITH RECURSIVE b AS (
+  SELECT DISTINCT l_orderkey AS o, l_partkey AS i FROM lineitem WHERE l_orderkey IS NOT NULL AND l_partkey IS NOT NULL),
+subsets(o, items, last) AS (
+  SELECT o, [i], i FROM b
+  UNION ALL SELECT s.o, list_append(s.items, b.i), b.i FROM subsets s JOIN b ON s.o = b.o AND b.i > s.last),
+fi AS (SELECT items, COUNT(*) AS freq FROM subsets GROUP BY items HAVING COUNT(*) >= 2),
+e AS (SELECT items, freq, unnest(items) AS consequent FROM fi WHERE len(items) > 1),
+r AS (SELECT list_filter(items, lambda x: x <> consequent) AS antecedent, consequent, freq FROM e),
+n AS (SELECT CAST(COUNT(DISTINCT o) AS DOUBLE) AS n FROM b)
+SELECT r.consequent, array_to_string(r.antecedent, ',') AS antecedent, r.freq, a.freq AS ante_freq, c.freq AS cons_freq,
+       CAST(r.freq AS DOUBLE) / CAST(a.freq AS DOUBLE) AS confidence,
+       CAST(r.freq AS DOUBLE) * n.n / (CAST(a.freq AS DOUBLE) * CAST(c.freq AS DOUBLE)) AS lift
+FROM r JOIN fi a ON a.items = r.antecedent JOIN fi c ON c.items = [r.consequent], n"""
+
+
 def q_als_factors(spark: SparkSession, sf: str) -> DataFrame:
     """GRF-07: implicit ALS embeddings of customers and products: one row each, with its factors' number."""
     li = read_table(spark, sf, "lineitem", ["l_orderkey", "l_partkey"])
@@ -288,5 +311,6 @@ PLANS = {
     "pagerank": Plan(q_pagerank, _pagerank_sql(), "GRF-06"),
     "frequent_itemsets": Plan(q_frequent_itemsets, FREQUENT_ITEMSETS_SQL, "GRF-03"),
     "association_rules": Plan(q_association_rules, ASSOCIATION_RULES_SQL, "GRF-03"),
+    "itemset_rules": Plan(q_itemset_rules, ITEMSET_RULES_SQL, "GRF-03"),
     "als_factors": Plan(q_als_factors, ALS_SQL, "GRF-07"),
 }

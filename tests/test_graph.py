@@ -84,6 +84,13 @@ def test_frequent_itemsets_and_rules(spark):
     assert rules == {(10, 11): round(2 / 3, 6), (11, 10): 1.0}
 
 
+def test_rules_of_several_items(spark):
+    lines = spark.createDataFrame([(o, p) for o, ps in enumerate(((1, 2, 3), (1, 2, 3), (1, 2))) for p in ps], "order_id int, product_id int")
+    got = {(tuple(r.antecedent), r.consequent): (r.freq, round(r.confidence, 6), round(r.lift, 6))
+           for r in GR.itemset_rules(GR.frequent_itemsets(lines, min_count=2), 3).collect()}
+    assert len(got) == 9 and got[((1, 2), 3)] == (2, round(2 / 3, 6), 1.0) and got[((2, 3), 1)] == (2, 1.0, 1.0)
+
+
 @settings(max_examples=6, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 2), st.integers(0, 400)), min_size=1, max_size=40, unique=True))
 def test_sessionize_two_phase_matches_brute_force(spark, evs):
