@@ -9,11 +9,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from retail_spark.operators.dims import ACQUISITION_CHANNELS
 from retail_spark.plans import adapters as A
 from retail_spark.plans.common import Plan, finalize, sql_case_map, sql_pick
 from retail_spark.session import shared_path
+from retail_spark.sources.landing import read_landing
 from retail_spark.sources.tables import read_table_stream
 from retail_spark.streaming.dedup import deduplicate_stream
 from retail_spark.streaming.jobs import run_job, stream_to_table
@@ -150,8 +152,7 @@ def q_landing_silver_job(spark: SparkSession, sf: str) -> DataFrame:
     write_routed_jsonl(landed, root, dataset_column="event_type", ts_column="__ts", drop_columns=["__ts"], granularity="day")
     res = run_job(spark, "fact_event_raw", f"{root}", output_path=f"{root}_silver", quarantine_path=f"{root}_quarantine",
                   checkpoint_location=f"{root}_checkpoint")
-    silver = spark.read.parquet(res.silver_path)
-    return finalize(silver.select(*LANDING_COLS))
+    return finalize(res.silver(spark).select(*LANDING_COLS))
 
 
 LANDING_SILVER_JOB_SQL = f"""
@@ -166,6 +167,139 @@ SELECT CAST(event_id AS VARCHAR) AS event_id, ts AS event_ts, {sql_case_map('eve
 FROM events"""
 
 
+# ------------------------------------- quarantine, evolution, rescued data
+
+#: Names of the files that ``land_lines`` writes.
+LINES = "*.txt*"
+
+
+def land_lines(records: DataFrame, root: str) -> None:
+    """Write ready JSON lines (dataset, dt, value) in the landing layout; nothing checks that they are JSON."""
+    records.hint("rebalance", "dataset", "dt").write.mode("append").partitionBy("dataset", "dt").text(root)
+
+
+def faulty_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Every event as a landed line, with the faults that producers make, by event type and props k.
+
+    Every event comes twice, valid ones to be collapsed. Faults: sign-ups
+    without a session; views of a quantity 0; clicks with a blank id;
+    purchases with an unknown key or a quantity that is text; error events with
+    another event type, or lines that break off.
+    """
+    ev = spark.read.parquet(f"{sf}/events.parquet")
+    k, kind, low = A.props_k(), F.col("event_type"), A.props_k() < 10
+    ts = F.col("ts").cast("timestamp")
+    whole = F.to_json(F.struct(
+        F.when((kind == "click") & low, F.lit("  ")).otherwise(F.col("event_id").cast("string")).alias("event_id"),
+        F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("event_ts"),
+        F.when((kind == "error") & low, F.lit("teleport")).otherwise(A._map(A.EVENT_VOCAB, kind)).alias("event_type"),
+        F.when(~((kind == "signup") & low), F.concat(F.lit("S"), F.col("user_id").cast("string"))).alias("session_id"),
+        F.col("user_id").cast("string").alias("customer_id"),
+        F.lit("desktop").alias("device_type"), F.lit("web").alias("platform"), F.lit("").alias("referrer"), F.lit("USD").alias("currency"),
+        F.when((kind == "view") & low, 0).when(kind == "view", 1).alias("quantity"),
+        F.when((kind == "purchase") & low, F.lit("?")).alias("mystery"),
+        F.struct(k.alias("k")).alias("attributes"),
+    ))
+    ev = ev.withColumn("whole", whole)
+    whole = F.col("whole")
+    text = F.when((kind == "purchase") & (k >= 90), F.regexp_replace(whole, r"\}$", ',"quantity":"two"}'))
+    text = text.when((kind == "error") & (k >= 90), F.substring(whole, 1, 40)).otherwise(whole)
+    copies = F.explode(F.array(F.lit(0), F.lit(1)))
+    return ev.select(A._map(A.EVENT_VOCAB, kind).alias("dataset"), F.to_date("ts").cast("string").alias("dt"), text.alias("value"), copies.alias("copy")).drop("copy")
+
+
+def q_landing_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """DQ-02 in the job: one parse, one stream, two idempotent writes. All rows of both targets, with their reasons."""
+    root = shared_path(spark, "landing", unique=True)
+    land_lines(faulty_lines(spark, sf), root)
+    res = run_job(spark, "fact_event_raw", root, output_path=f"{root}_silver", quarantine_path=f"{root}_quarantine",
+                  checkpoint_location=f"{root}_checkpoint", path_glob=LINES)
+    silver = res.silver(spark).select("event_id", "dataset", F.lit("silver").alias("target"), F.lit("").alias("reasons"), F.lit(False).alias("corrupt"))
+    bad = res.quarantine(spark).select("event_id", "dataset", F.lit("quarantine").alias("target"), F.concat_ws(",", F.array_sort("violations")).alias("reasons"),
+                                       F.col("_corrupt_record").isNotNull().alias("corrupt"))
+    return silver.unionByName(bad)
+
+
+LANDING_QUARANTINE_SQL = f"""
+WITH e AS (SELECT *, {K} AS k, {sql_case_map('event_type', A.EVENT_VOCAB)} AS dataset FROM events),
+f AS (
+  SELECT CASE WHEN event_type = 'error' AND k >= 90 THEN NULL WHEN event_type = 'click' AND k < 10 THEN '  ' ELSE CAST(event_id AS VARCHAR) END AS event_id, dataset,
+         CASE WHEN event_type = 'error' AND k >= 90 THEN 'malformed_json,null_key:event_id,required:attributes,required:currency,required:device_type,'
+                   || 'required:event_id,required:event_ts,required:event_type,required:platform,required:referrer,required:session_id'
+              WHEN event_type = 'error' AND k < 10 THEN 'enum:event_type'
+              WHEN event_type = 'click' AND k < 10 THEN 'null_key:event_id'
+              WHEN event_type = 'signup' AND k < 10 THEN 'required:session_id'
+              WHEN event_type = 'view' AND k < 10 THEN 'minimum:quantity'
+              WHEN event_type = 'purchase' AND k < 10 THEN 'unexpected:mystery'
+              WHEN event_type = 'purchase' AND k >= 90 THEN 'type:quantity' ELSE '' END AS reasons,
+         event_type = 'error' AND k >= 90 AS corrupt
+  FROM e)
+SELECT event_id, dataset, CASE WHEN reasons = '' THEN 'silver' ELSE 'quarantine' END AS target, reasons, corrupt
+FROM f, range(2) AS copies(c) WHERE c = 0 OR reasons <> ''"""
+
+
+def q_landing_evolved(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC-02 in the job: two deliveries, the second with new keys at the top and inside an object; all Silver rows."""
+    root = shared_path(spark, "landing", unique=True)
+    where = dict(output_path=f"{root}_silver", quarantine_path=f"{root}_quarantine", checkpoint_location=f"{root}_checkpoint", schema_location=f"{root}_schema", path_glob=LINES)
+    ev = spark.read.parquet(f"{sf}/events.parquet")
+    k, ts = A.props_k(), F.col("ts").cast("timestamp")
+    envelope = [
+        F.col("event_id").cast("string").alias("event_id"), F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("event_ts"),
+        A._map(A.EVENT_VOCAB, F.col("event_type")).alias("event_type"), F.concat(F.lit("S"), F.col("user_id").cast("string")).alias("session_id"),
+        F.lit("desktop").alias("device_type"), F.lit("web").alias("platform"), F.lit("").alias("referrer"), F.lit("USD").alias("currency"),
+        F.struct(k.alias("k")).alias("attributes"),
+    ]
+    system = F.when(k % 2 == 0, "ios").otherwise("android").alias("os")
+    first = F.to_json(F.struct(*envelope, F.struct(system).alias("device")))
+    screen = F.struct(F.col("value").alias("scale"), F.array(k, k + 1).alias("size")).alias("screen")
+    second = F.to_json(F.struct(*envelope, F.struct(system, k.alias("version"), screen).alias("device"), (k > 50).alias("trial")))
+    early = F.col("event_type").isin("signup", "view", "click")
+    for rows, line in ((ev.where(early), first), (ev.where(~early), second)):
+        land_lines(rows.select(A._map(A.EVENT_VOCAB, F.col("event_type")).alias("dataset"), F.to_date("ts").cast("string").alias("dt"), line.alias("value")), root)
+        res = run_job(spark, "fact_event_raw", root, **where)
+    return res.silver(spark).select(
+        "event_id", F.col("device.os").alias("os"), F.col("device.version").alias("version"), F.col("device.screen.scale").alias("scale"),
+        F.col("device.screen.size")[1].alias("height"), "trial", F.col("_rescued_data").isNotNull().alias("rescued"))
+
+
+LANDING_EVOLVED_SQL = f"""
+WITH e AS (SELECT *, {K} AS k, event_type NOT IN ('signup', 'view', 'click') AS late FROM events)
+SELECT CAST(event_id AS VARCHAR) AS event_id, CASE WHEN k % 2 = 0 THEN 'ios' ELSE 'android' END AS os,
+       CASE WHEN late THEN CAST(k AS BIGINT) END AS version, CASE WHEN late THEN value END AS scale,
+       CASE WHEN late THEN CAST(k + 1 AS BIGINT) END AS height, CASE WHEN late THEN k > 50 END AS trial, false AS rescued
+FROM e"""
+
+
+def q_landing_rescued(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC-04: typed fields, what doesn't fit them, and broken lines, from one parse of each landed line."""
+    root = shared_path(spark, "landing", unique=True)
+    ev = spark.read.parquet(f"{sf}/events.parquet")
+    k, kind = A.props_k(), F.col("event_type")
+    line = F.to_json(F.struct(
+        F.col("event_id").alias("id"),
+        F.when(kind == "view", k.cast("string")).alias("quantity"),
+        F.when(kind == "purchase", F.col("value")).alias("unit_price"),
+        F.when(kind == "signup", F.struct(k.alias("k"))).alias("tags"),
+        F.when(kind == "click", k % 2 == 0).alias("flag"),
+    ))
+    line = F.when((kind == "click") & (k < 10), F.regexp_replace(line, r"\}$", ',"quantity":2.5}')).when(kind == "error", F.concat(F.lit("["), line, F.lit("]"))).otherwise(line)
+    land_lines(ev.select(kind.alias("dataset"), F.to_date("ts").cast("string").alias("dt"), line.alias("value")), root)
+    return read_landing(spark, root, T.StructType.fromDDL("id bigint, quantity int, unit_price double, flag string"), streaming=False, root=root, path_glob=LINES).select(
+        "id", "quantity", "unit_price", "flag", "dataset", "_rescued_data", "_corrupt_record")
+
+
+LANDING_RESCUED_SQL = f"""
+WITH e AS (SELECT *, {K} AS k FROM events)
+SELECT CASE WHEN event_type <> 'error' THEN event_id END AS id, CAST(NULL AS INTEGER) AS quantity,
+       CASE WHEN event_type = 'purchase' THEN value END AS unit_price,
+       CASE WHEN event_type = 'click' THEN CASE WHEN k % 2 = 0 THEN 'true' ELSE 'false' END END AS flag, event_type AS dataset,
+       CASE WHEN event_type = 'view' THEN '{{"quantity":"' || k || '"}}' WHEN event_type = 'signup' THEN '{{"tags":{{"k":' || k || '}}}}'
+            WHEN event_type = 'click' AND k < 10 THEN '{{"quantity":2.5}}' END AS _rescued_data,
+       CASE WHEN event_type = 'error' THEN '[{{"id":' || event_id || '}}]' END AS _corrupt_record
+FROM e"""
+
+
 PLANS = {
     "stream_dedup_events": Plan(q_stream_dedup_events, STREAM_DEDUP_EVENTS_SQL, "SRC-06 STR-01,02,05,06,07 SNK-01,02"),
     "stream_dedup_events_forever": Plan(q_stream_dedup_events_forever, STREAM_DEDUP_EVENTS_SQL, "STR-01,02,03 (parity mode)"),
@@ -173,4 +307,7 @@ PLANS = {
     "stream_sessions": Plan(q_stream_sessions, STREAM_SESSIONS_SQL, "STR-09"),
     "landing_silver_job": Plan(q_landing_silver_job, LANDING_SILVER_JOB_SQL,
                                "SNK-09 SRC-01,03,04,05 DQ-01,02 PRJ-08,09 STR-07,10 SNK-01..04"),
+    "landing_quarantine": Plan(q_landing_quarantine, LANDING_QUARANTINE_SQL, "DQ-02 SRC-01,04,05 STR-02,04"),
+    "landing_evolved": Plan(q_landing_evolved, LANDING_EVOLVED_SQL, "SRC-02 SNK-05"),
+    "landing_rescued": Plan(q_landing_rescued, LANDING_RESCUED_SQL, "SRC-04 SRC-05"),
 }

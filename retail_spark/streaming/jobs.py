@@ -1,30 +1,43 @@
 """Job runner: landing zone -> contract check -> Silver (+ quarantine).
 
-``run_job`` is what the reference runs at module import, as a function:
-
-* optional reprocess (drop target, delete checkpoint + output, SNK-07);
-* schema: the contract's read schema, or a stored evolving one (SRC-02);
-* two AvailableNow queries over the same files, each with its own
-  checkpoint: valid rows -> transform (clean + dedup state) -> Silver,
-  partitioned by event date; rejected rows (violations or NULL key) ->
-  quarantine. Splitting before dedup keeps NULL-key rows from collapsing.
+``run_job`` is one AvailableNow stream over the landed files. Each line is
+parsed once, checked against its contract and, if valid, deduplicated by the
+stream's state; a rejected line passes that state under a key of its own, so
+that none is collapsed. Every micro-batch is kept in memory and disk while it
+is written twice, valid rows to Silver and rejected ones to quarantine.
+
+Writes are idempotent: a batch owns one folder in either target, named after
+the job (an id beside the checkpoint) and the batch's number. A batch that is
+run again after a failure overwrites its own folders and adds nothing.
+
+With a ``schema_location`` the schema evolves inside the batches: what a batch's
+valid records have beyond the stored schema is added to it, nested keys too,
+before the batch is written. One rule holds for unknown keys: without evolution,
+or with ``strict``, they reject a row of a contract that allows none; with
+evolution they become columns. Fields that the contract names keep its types.
 
 All locations default to sub-folders of the shared ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+import uuid
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, replace
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from retail_spark.functions.columns import parse_ts
 from retail_spark.operators.quality import VIOLATIONS, contract_violations
 from retail_spark.operators.silver import TRANSFORMS
 from retail_spark.schemas import CONTRACTS, read_schema
 from retail_spark.session import shared_path
-from retail_spark.sources.landing import evolve_schema, read_landing
+from retail_spark.sources.landing import (
+    CORRUPT, RECORD, RESCUED, file_exists, grow_schema, inferred_schema, load_schema, read_landing, rescue, typed_columns,
+)
+from retail_spark.streaming.dedup import DEFAULT_DELAY
 from retail_spark.streaming.sinks import StreamTarget, clear_targets
 
 
@@ -32,8 +45,17 @@ from retail_spark.streaming.sinks import StreamTarget, clear_targets
 class JobResult:
     silver_path: str
     quarantine_path: str
-    silver_rows: int | None = None
-    quarantine_rows: int | None = None
+
+    def silver(self, spark: SparkSession) -> DataFrame:
+        """All Silver rows; columns that later batches added are NULL in earlier ones."""
+        return spark.read.option("mergeSchema", "true").parquet(self.silver_path).drop(LOAD)
+
+    def quarantine(self, spark: SparkSession) -> DataFrame:
+        return spark.read.option("mergeSchema", "true").parquet(self.quarantine_path).drop(LOAD)
+
+
+#: Folder level of a batch in both targets.
+LOAD = "load"
 
 
 def query_name(entity: str) -> str:
@@ -41,50 +63,91 @@ def query_name(entity: str) -> str:
     return f"silver_{entity}_available_now"
 
 
+def _kept_text(spark: SparkSession, path: str, first: Callable[[], str]) -> str:
+    """The text stored at ``path``; ``first()`` is stored there before the first run. Read errors are raised."""
+    if not file_exists(spark, f"{path}/_SUCCESS"):
+        spark.createDataFrame([(first(),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    return spark.read.text(path).first().value
+
+
 def _start_time(spark: SparkSession, checkpoint: str) -> str:
     """First-run start time, kept beside the checkpoint (include_existing_files=False)."""
-    marker = f"{checkpoint.rstrip('/')}_start_time"
-    try:
-        row = spark.read.text(marker).first()
-        if row:
-            return row.value
-    except Exception:
-        pass
-    now = spark.sql("SELECT date_format(current_timestamp(), \"yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX\") AS t").first().t
-    spark.createDataFrame([(now,)], "value string").coalesce(1).write.mode("overwrite").text(marker)
-    return now
-
-
-def build_job_streams(
+    now = "SELECT date_format(current_timestamp(), \"yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX\") AS t"
+    return _kept_text(spark, f"{checkpoint.rstrip('/')}_start_time", lambda: spark.sql(now).first().t)
+
+
+def checked_stream(
     spark: SparkSession,
     entity: str,
     landing_paths: str | Sequence[str],
     *,
-    schema_location: str | None = None,
+    evolving: bool = False,
     dedup: str = "within_watermark",
-    include_existing_files: bool = True,
-    checkpoint_base: str | None = None,
+    start_time: str | None = None,
     max_files: int | None = None,
     strict: bool = False,
-) -> tuple[DataFrame, DataFrame]:
-    """(silver stream, quarantine stream) for one entity."""
+    path_glob: str = "*.json*",
+) -> DataFrame:
+    """The landed records of one entity with ``violations``, valid ones deduplicated."""
     contract = CONTRACTS[entity]
-    schema = read_schema(contract)
-    if schema_location:
-        schema = evolve_schema(spark, landing_paths, schema_location, base=schema)
-    start = _start_time(spark, checkpoint_base) if (not include_existing_files and checkpoint_base) else None
+    rule = replace(contract, additional_properties=True) if evolving and not strict else contract
     raw = read_landing(
-        spark, landing_paths, schema, streaming=True, include_existing_files=include_existing_files, start_time=start,
-        max_files_per_trigger=max_files,
+        spark, landing_paths, read_schema(contract), streaming=True, root="" if isinstance(landing_paths, str) else None,
+        include_existing_files=start_time is None, start_time=start_time, max_files_per_trigger=max_files, path_glob=path_glob, keep_record=True,
     )
-    checked = contract_violations(raw, contract, strict=strict)
-    blank = F.nullif(F.trim(F.col("event_id")), F.lit("")).isNull()
-    reasons = F.when(blank, F.array_union(F.col(VIOLATIONS), F.array(F.lit("null_key:event_id")))).otherwise(F.col(VIOLATIONS))
+    checked = contract_violations(raw, rule, strict=strict)
+    key = F.nullif(F.trim(F.col("event_id")), F.lit(""))
+    reasons = F.when(key.isNull(), F.array_union(F.col(VIOLATIONS), F.array(F.lit("null_key:event_id")))).otherwise(F.col(VIOLATIONS))
     checked = checked.withColumn(VIOLATIONS, reasons)
-    good = checked.where(F.size(VIOLATIONS) == 0).drop(VIOLATIONS, "_corrupt_record")
-    bad = checked.where(F.size(VIOLATIONS) > 0)
-    silver = TRANSFORMS[entity](good, dedup=dedup)
-    return silver, bad
+    valid = F.size(VIOLATIONS) == 0
+    if dedup == "none":
+        return checked
+    # rejected rows have keys of their own and no time, so the state neither merges them nor finds them late; the
+    # writer drops both columns: a watermark column that nothing reads would be pruned, and with it the late filter
+    checked = checked.withColumn("__key", F.when(valid, key).otherwise(F.concat(F.lit("rejected:"), F.expr("uuid()"))))
+    if dedup == "forever":
+        time = parse_ts(contract.timestamp_column)
+        return checked.withColumn("__time", F.when(valid, time)).withWatermark("__time", DEFAULT_DELAY).dropDuplicates(["__key"])
+    if dedup != "within_watermark":
+        raise ValueError(f"unknown dedup mode {dedup!r}")
+    checked = checked.withColumn("__time", F.when(valid, F.col("ingest_ts"))).withWatermark("__time", DEFAULT_DELAY)
+    return checked.dropDuplicatesWithinWatermark(["__key"])
+
+
+class BatchWriter:
+    """Writes one checked micro-batch to Silver and quarantine, in folders that the batch owns."""
+
+    def __init__(self, spark: SparkSession, entity: str, job: str, silver: str, quarantine: str, *, fmt: str = "parquet", schema_location: str | None = None):
+        self.spark, self.entity, self.job, self.fmt, self.schema_location = spark, entity, job, fmt, schema_location
+        self.silver, self.quarantine = silver.rstrip("/"), quarantine.rstrip("/")
+
+    def __call__(self, batch: DataFrame, number: int) -> None:
+        batch = batch.drop("__key", "__time").persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if batch.isEmpty():  # a batch that only moves the watermark
+                return
+            load = f"{LOAD}={self.job}-{number}"
+            valid = batch.where(F.size(VIOLATIONS) == 0).drop(VIOLATIONS, CORRUPT)
+            if self.schema_location:
+                valid = self._evolved(valid)
+            rows = TRANSFORMS[self.entity](valid.drop(RECORD), dedup="none")
+            self._write(rows, f"{self.silver}/{load}", CONTRACTS[self.entity].date_column)
+            self._write(batch.where(F.size(VIOLATIONS) > 0).drop(RECORD), f"{self.quarantine}/{load}")
+        finally:
+            batch.unpersist()
+
+    def _write(self, rows: DataFrame, path: str, *partitions: str) -> None:
+        rows.write.format(self.fmt).mode("overwrite").partitionBy(*partitions).save(path)
+
+    def _evolved(self, valid: DataFrame) -> DataFrame:
+        """``valid`` with the columns that the stored schema and this batch's records have beyond the contract."""
+        base = read_schema(CONTRACTS[self.entity])
+        schema = grow_schema(self.spark, inferred_schema(valid, load_schema(self.spark, self.schema_location)), self.schema_location, base)
+        known = {f.name for f in base.fields} | set(valid.columns)
+        more = type(schema)([f for f in schema.fields if f.name not in known])
+        record = F.col(RECORD)
+        added = dict(zip(more.fieldNames(), typed_columns(record, more)))
+        return valid.withColumns({RESCUED: rescue(record, schema), **added})
 
 
 def run_job(
@@ -103,41 +166,31 @@ def run_job(
     fmt: str = "parquet",
     max_files: int | None = None,
     strict: bool = False,
+    path_glob: str = "*.json*",
+    writer: type[BatchWriter] = BatchWriter,
 ) -> JobResult:
     """Run one entity's Silver job to completion (AvailableNow).
 
     ``reprocess`` deletes the job's own folders first; those outside the shared
     folder must lie below one of ``reprocess_roots``. ``max_files`` bounds the
-    files of one micro-batch.
+    files of one micro-batch, ``schema_location`` turns evolution on.
     """
     output_path = output_path or shared_path(spark, "silver", entity)
     quarantine_path = quarantine_path or shared_path(spark, "quarantine", entity)
-    checkpoint_location = checkpoint_location or shared_path(spark, "_checkpoints", entity)
-    base = shared_path(spark)
+    checkpoint_location = (checkpoint_location or shared_path(spark, "_checkpoints", entity)).rstrip("/")
     if reprocess:
-        clear_targets(
-            spark,
-            [output_path, checkpoint_location, quarantine_path, f"{checkpoint_location.rstrip('/')}_quarantine"],
-            [base, *reprocess_roots],
-        )
-    silver, bad = build_job_streams(
-        spark,
-        entity,
-        landing_paths,
-        schema_location=schema_location,
-        dedup=dedup,
-        include_existing_files=include_existing_files,
-        checkpoint_base=checkpoint_location,
-        max_files=max_files,
-        strict=strict,
+        clear_targets(spark, [output_path, checkpoint_location, quarantine_path, f"{checkpoint_location}_job"], [shared_path(spark), *reprocess_roots])
+    # a checkpoint that was deleted on its own starts a new job, whose batches don't overwrite the old one's
+    if not file_exists(spark, f"{checkpoint_location}/metadata"):
+        clear_targets(spark, [f"{checkpoint_location}_job"], [checkpoint_location.rpartition("/")[0]])
+    job = _kept_text(spark, f"{checkpoint_location}_job", lambda: uuid.uuid4().hex[:12])
+    stream = checked_stream(
+        spark, entity, landing_paths, evolving=schema_location is not None, dedup=dedup, max_files=max_files, strict=strict, path_glob=path_glob,
+        start_time=None if include_existing_files else _start_time(spark, checkpoint_location),
     )
-    date_col = CONTRACTS[entity].date_column
-    q1 = StreamTarget(checkpoint_location, path=output_path, fmt=fmt, partitions=(date_col,), name=query_name(entity)).start(silver)
-    q2 = StreamTarget(
-        f"{checkpoint_location.rstrip('/')}_quarantine", path=quarantine_path, fmt=fmt, name=f"quarantine_{entity}_available_now"
-    ).start(bad)
-    q1.awaitTermination()
-    q2.awaitTermination()
+    write = writer(spark, entity, job, output_path, quarantine_path, fmt=fmt, schema_location=schema_location)
+    (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_location).queryName(query_name(entity))
+     .trigger(availableNow=True).start().awaitTermination())
     return JobResult(output_path, quarantine_path)
 
 

@@ -160,18 +160,15 @@ def test_stream_windows_equal_batch(spark, scratch):
 
 def test_skip_existing_files_and_table_streams(spark, scratch):
     from retail_spark.sources.tables import read_catalog_stream
-    from retail_spark.streaming.jobs import build_job_streams
-
     root = os.path.join(scratch, "skip")
     land(root, "page_view", "2026-03-16", "10", [fact("old", "2026-03-16T10:00:00+00:00")], "1")
     ck = os.path.join(scratch, "ck_skip")
-    silver, _bad = build_job_streams(spark, "fact_event_raw", root, include_existing_files=False, checkpoint_base=ck)
     out = os.path.join(scratch, "skip_out")
-    StreamTarget(ck, path=out).run(silver)
+    where = dict(include_existing_files=False, checkpoint_location=ck, output_path=out, quarantine_path=out + "_q")
+    run_job(spark, "fact_event_raw", root, **where)
     time.sleep(1.1)  # file modification times have 1 s resolution on some file systems
     land(root, "page_view", "2026-03-16", "11", [fact("new", "2026-03-16T11:00:00+00:00")], "2")
-    silver, _bad = build_job_streams(spark, "fact_event_raw", root, include_existing_files=False, checkpoint_base=ck)
-    StreamTarget(ck, path=out).run(silver)
+    run_job(spark, "fact_event_raw", root, **where)
     assert _silver_ids(spark, out) == ["new"]  # files present before the first run are skipped
 
     # SNK-03 (external catalog table) then SRC-07 (stream the table back)
