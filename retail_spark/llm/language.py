@@ -31,7 +31,10 @@ def grams(text: str | None) -> np.ndarray:
     A code point has 21 bits; pairs and triples that reach over a blank into
     the next word are left out.
     """
-    words = _OTHER.sub(" ", (text or "").lower()).strip()
+    words = _OTHER.sub(" ", (text or "").lower())
+    if not words.replace(" ", "").isalpha():  # number signs such as a half or a Roman eight are no letters
+        words = " ".join("".join(c if c.isalpha() else " " for c in words).split())
+    words = words.strip()
     if not words:
         return np.zeros(0, np.uint64)
     c = np.frombuffer(f" {words} ".encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
