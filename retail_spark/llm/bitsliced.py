@@ -10,6 +10,8 @@ at the boundary are resolved exactly, to the smaller ids.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -19,8 +21,10 @@ from retail_spark.llm.common import stash
 
 #: Steps of a component's unit.
 STEPS = 256
-#: Bits of a quantised component at most; larger ones are refused, their scores would not fit a long.
+#: Bits of a quantised component in the slices at most; rows with larger ones are scored apart, in whole numbers of any size.
 MOST_BITS = 31
+#: Rows and queries of a block of those.
+EXACT_ROWS = 1_024
 
 
 def _slices(values: np.ndarray, bits: int) -> np.ndarray:
@@ -125,6 +129,44 @@ def build_index(rows: DataFrame, bits: int) -> DataFrame:
     return rows.groupBy("dim", "block").applyInArrow(build, "dim int, block int, ids binary, slices binary")
 
 
+FOUND = "query_id bigint, vec_id bigint, score bigint"
+
+
+def _steps(x: Column) -> Column:
+    """A component in steps, as a whole double: too large ones for a long included."""
+    scaled = x * STEPS
+    return F.when(F.abs(scaled) < F.lit(2.0 ** 52), F.floor(scaled).cast("double")).otherwise(scaled)
+
+
+def _whole(x: float) -> int:
+    """A component in steps, exactly; doubles of 2**53 and more are whole."""
+    return int(x) * STEPS if abs(x) >= 2.0 ** 53 else math.floor(x * STEPS)
+
+
+def _exactly(rows: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """``FOUND``: the ``k`` best of every block for each query, by products of whole numbers of any size."""
+
+    def search(left, right):
+        out = {"query_id": [], "vec_id": [], "score": []}
+        if left.num_rows and right.num_rows:
+            dim = left.column("dim")[0].as_py()
+            held, queries = (np.array([[_whole(x) for x in v] for v in vectors.matrix(t, "v", dim).tolist()], dtype=object).reshape(t.num_rows, dim)
+                             for t in (left, right))
+            ids = left.column("vec_id").to_pylist()
+            for q, query in zip(right.column("vec_id").to_pylist(), queries):
+                scored = sorted((-int(s), i) for s, i in zip(held.dot(query), ids) if i != q)[:k]
+                if any(not -(2 ** 63) <= -s < 2 ** 63 for s, _ in scored):
+                    raise OverflowError(f"a best score of vector {q} leaves a long")
+                for s, i in scored:
+                    for name, value in (("query_id", q), ("vec_id", i), ("score", -s)):
+                        out[name].append(value)
+        return pa.table({n: pa.array(v, pa.int64()) for n, v in out.items()})
+
+    placed, blocks = vectors.dealt(rows, EXACT_ROWS, "block")
+    asked, query_blocks = vectors.dealt(asked, EXACT_ROWS, "query_block")
+    return vectors.every_pair(placed, blocks, asked, query_blocks, search, FOUND)
+
+
 def top_inner_products(embeddings: DataFrame, is_query: Column, k: int, *, block: int = vectors.ROWS, queries: int = vectors.QUERIES) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` largest integer inner products of each query row.
 
@@ -134,14 +176,16 @@ def top_inner_products(embeddings: DataFrame, is_query: Column, k: int, *, block
     vec_id. Ties go to smaller ids; queries with fewer rows to meet get them
     all, those with none get no row. Rows alike count once; rows that share an
     id but not the vector are all searched and found. Null vectors and vectors
-    with null or non-finite components take no part. Components beyond
-    2**30 / 256 in size raise an error: their scores need not fit a long.
+    with null or non-finite components take no part. Rows with a component of
+    ``MOST_BITS`` bits and more have no slices; they meet the queries, and as
+    queries all rows, in products of whole numbers of any size. Only a score
+    among a query's best that leaves a long raises an error.
     """
     rows = stash(vectors.usable(embeddings, zero=True), "vectors")
-    widest = rows.agg(F.max(F.aggregate("v", F.lit(0.0), lambda a, x: F.greatest(a, F.abs(F.floor(x * STEPS).cast("double"))))).alias("m")).first()["m"] or 0.0
-    bits = int(widest).bit_length() + 1
-    if bits > MOST_BITS:
-        raise ValueError(f"a component of {widest:.0f} steps needs more than {MOST_BITS} bits")
+    reach = F.aggregate("v", F.lit(0.0), lambda a, x: F.greatest(a, F.abs(_steps(x))))
+    is_wide = reach >= F.lit(float(1 << (MOST_BITS - 1)))
+    wide, rows = rows.filter(is_wide), rows.filter(~is_wide)
+    bits = int(rows.agg(F.max(reach)).first()[0] or 0).bit_length() + 1
     placed, blocks = vectors.dealt(rows, block, "block")
     asked, query_blocks = vectors.dealt(rows.filter(is_query), queries, "query_block")
     index = stash(build_index(placed, bits), "slices")
@@ -165,5 +209,8 @@ def top_inner_products(embeddings: DataFrame, is_query: Column, k: int, *, block
                         out[name].append(value)
         return pa.table({n: pa.array(v, pa.int64()) for n, v in out.items()})
 
-    found = vectors.every_pair(index, blocks, asked, query_blocks, search, "query_id bigint, vec_id bigint, score bigint")
+    found = vectors.every_pair(index, blocks, asked, query_blocks, search, FOUND)
+    if wide.take(1):
+        wide_queries = wide.filter(is_query)
+        found = found.union(_exactly(wide, asked.drop("query_block"), k)).union(_exactly(wide.union(rows), wide_queries, k))
     return vectors.best(found, k, F.desc("score")).select("query_id", "rank", "vec_id", "score")
