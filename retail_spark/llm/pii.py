@@ -70,7 +70,7 @@ def _first(words) -> str:
     return f"[{''.join(sorted({w[0] for w in words}))}](?:{'|'.join(re.escape(w[1:]) for w in words)})"
 
 
-HINT = "|".join(["[@0-9]", "[0-9a-f]{32}", _first(TITLES) + r"\.?[ \t]", _first(INTRODUCTIONS)])
+HINT = "|".join(["[@0-9]", "AKIA[A-Z]", "gh[pousr]_", "sk-[A-Za-z]", "[a-f]{32}", _first(TITLES) + r"\.?[ \t]", _first(INTRODUCTIONS)])
 
 ENTITIES = "array<struct<start:int,stop:int,kind:string,value:string,hint:string>>"
 
@@ -128,7 +128,8 @@ class Finder:
                 hint = TITLES.get(m["title"] or "", "") or self.genders.get(words[0][0].lower(), "")
                 for k, w in enumerate(words):
                     family = k == len(words) - 1 and (k or m["title"])
-                    out.append((start + w.start(), start + w.end(), "family" if family else "given", w[0], "" if family else hint))
+                    # capitals are a matter of the mention: a name has one value
+                    out.append((start + w.start(), start + w.end(), "family" if family else "given", w[0].lower(), "" if family else hint))
                 end = stop
                 continue
             else:
@@ -160,8 +161,8 @@ class Finder:
 def _named(m: re.Match, names: dict) -> list[tuple[int, int, str]]:
     """The name that the word ``m`` is, as a whole or before an apostrophe: [(start, stop, name)] or []."""
     for word in (m[0], re.split("['’]", m[0])[0]):
-        if word in names:
-            return [(m.start(), m.start() + len(word), word)]
+        if word.lower() in names:
+            return [(m.start(), m.start() + len(word), word.lower())]
     return []
 
 
@@ -221,6 +222,8 @@ class Surrogates:
             return "".join(next(left, "") if c.isalnum() else c for c in raw)
         if kind == "email" and raw.isupper():
             return surrogate.upper()
+        if kind in ("given", "family") and len(raw.rstrip(".")) > 1 and raw.isupper():
+            return surrogate.upper()
         return surrogate
 
 
@@ -247,21 +250,23 @@ def find(docs: DataFrame) -> DataFrame:
 def surrogates(entities: DataFrame, key: bytes) -> DataFrame:
     """(kind, value, surrogate) for ``entities(kind, value, hint)``, every surrogate used once.
 
-    Each round draws for the entities still without one. A draw is good if it
-    is no entity of its kind, is not given out, and of those that drew the same
-    it belongs to the smallest value. The rest draws again.
+    Each round draws for the entities still without one. A draw is good if no
+    entity of the corpus is written like it, capitals apart, whatever its kind,
+    if it is not given out, and if of those that drew the same it belongs to the
+    smallest kind and value. The rest draws again.
     """
     distinct = stash(entities.groupBy("kind", "value").agg(F.max("hint").alias("hint")), "entities")
-    known = distinct.select("kind", F.col("value").alias("surrogate"))
+    same = F.lower("surrogate").alias("written")
+    known = distinct.select(F.lower("value").alias("written")).distinct()
     todo, done, attempt = distinct, None, 0
     while True:
-        draw = F.udf(lambda kind, value, hint, k=attempt: Surrogates(key).draw(kind, value, hint, k))
-        drawn = todo.withColumn("surrogate", draw("kind", "value", "hint"))
-        drawn = stash(drawn.join(known, ["kind", "surrogate"], "left_anti"), "drawn")
+        draw = F.udf(lambda kind, value, hint, k=attempt: Surrogates(key).draw(kind, value, hint, k), useArrow=True)
+        drawn = todo.withColumn("surrogate", draw("kind", "value", "hint")).withColumn("written", same)
+        drawn = stash(drawn.join(known, "written", "left_anti"), "drawn")
         if done is not None:
-            drawn = drawn.join(done.select("kind", "surrogate"), ["kind", "surrogate"], "left_anti")
-        first = drawn.groupBy("kind", "surrogate").agg(F.min("value").alias("value"))
-        good = stash(first, "surrogates")
+            drawn = drawn.join(done.select(same), "written", "left_anti")
+        first = drawn.groupBy("written").agg(F.min(F.struct("kind", "value", "surrogate")).alias("s"))
+        good = stash(first.select("s.kind", "s.value", "s.surrogate"), "surrogates")
         done = good if done is None else done.union(good)
         todo = stash(todo.join(good, ["kind", "value"], "left_anti"), "entities")
         if not todo.take(1):
@@ -281,16 +286,17 @@ def deidentify(docs: DataFrame, *, key: bytes = b"surrogate key") -> DataFrame:
     key_row, key_doc = free_name(docs, "pii_row"), free_name(docs, "pii_doc")
     doc, row = F.col("doc_id").cast("bigint"), F.xxhash64("text")
     found = stash(find(docs.select(doc.alias("doc"), row.alias("row"), "text")).dropDuplicates(["doc", "row"]), "found")
+    spans_name = free_name(docs, "pii_spans")
     mention = found.select("doc", "row", F.explode("entities").alias("e")).select("doc", "row", "e.*")
     chosen = surrogates(mention.select("kind", "value", "hint"), key)
     # a value of many texts: Spark splits the partition of its mentions
     spans = (mention.join(chosen, ["kind", "value"]).groupBy("doc", "row")
              .agg(F.sort_array(F.collect_list(F.struct("start", "stop", "kind", "surrogate"))).alias("spans"))
-             .select(F.col("doc").alias(key_doc), F.col("row").alias(key_row), F.col("spans").alias(f"{key_row}_spans")))
+             .select(F.col("doc").alias(key_doc), F.col("row").alias(key_row), F.col("spans").alias(spans_name)))
     names, some = docs.columns, F.coalesce(F.col("text").rlike(HINT), F.lit(False))
     quiet = docs.filter(~some).select(*names, F.lit(0).alias(count))
     rest = docs.filter(some).join(spans, doc.eqNullSafe(F.col(key_doc)) & (row == F.col(key_row)), "left")
-    given = F.col(f"{key_row}_spans")
+    given = F.col(spans_name)
     new = F.when(given.isNull(), F.col("text")).otherwise(_replace(F.col("text"), given))
     rest = rest.select(*[new.alias("text") if c == "text" else F.col(c) for c in names],
                        F.when(given.isNull(), 0).otherwise(F.size(given)).alias(count))
