@@ -164,21 +164,24 @@ def sized_documents(docs: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, *, block: int = BLOCK, seed: int = 17) -> DataFrame:
-    """One row per row of ``docs``: doc_id, source, size, source_size, target, taken.
+    """One row per row of ``docs``: doc_id, source, size, source_size, target, taken, first_slot.
 
     ``docs`` needs doc_id, text and source. ``size`` counts runs of anything
     but ASCII white space (null and empty texts: 0, taken 0). A null source is
-    a source of its own, the last in order. Rows alike in doc_id, source and
+    a source of its own, the last in order. ``first_slot`` is the place in the
+    schedule at which the mix first takes words of the row, null if it takes
+    none: read in that order, any stretch holds the sources in proportion.
+    Rows alike in doc_id, source and
     text are documents of their own. An empty table gives an empty result.
     Reruns take the same words.
     """
     sized, targets, taken = _taken(docs, block, seed)
-    taken = taken.groupBy("t_doc_id", "t_source", "t_row").agg(F.sum("length").alias("taken"))
+    taken = taken.groupBy("t_doc_id", "t_source", "t_row").agg(F.sum("length").alias("taken"), F.min("slot").alias("first_slot"))
     out = sized.join(taken, _same_row(), "left")
     per = targets.select(F.col("source").alias("p_source"), "source_size", "target")
     out = out.join(per, F.col("source").eqNullSafe(F.col("p_source")))
     return out.select("doc_id", "source", "size", F.col("source_size").cast("bigint").alias("source_size"), F.col("target"),
-                      F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"))
+                      F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"), "first_slot")
 
 
 def _same_row():
@@ -192,8 +195,8 @@ def _taken(docs: DataFrame, block: int, seed: int) -> tuple[DataFrame, DataFrame
     targets = stash(source_targets(sized), "targets")
     sized = stash(_told_apart(sized), "sizes")
     taken = (pieces(sized, targets, block=block, seed=seed).groupBy("doc_id", "source", "row", "pass")
-             .agg(F.sum("length").alias("length")))
-    return sized, targets, taken.select(*(F.col(c).alias(f"t_{c}") for c in ("doc_id", "source", "row")), "pass", "length")
+             .agg(F.sum("length").alias("length"), F.min("slot").alias("slot")))
+    return sized, targets, taken.select(*(F.col(c).alias(f"t_{c}") for c in ("doc_id", "source", "row")), "pass", "length", "slot")
 
 
 def _told_apart(sized: DataFrame) -> DataFrame:
@@ -205,29 +208,33 @@ def _told_apart(sized: DataFrame) -> DataFrame:
 def mixed_documents(docs: DataFrame, *, block: int = BLOCK, seed: int = 17) -> DataFrame:
     """The mix as rows with the columns of ``docs``: one row for each pass that takes words of a document.
 
-    A pass that takes all words of a document returns its row as it is. The
-    last pass over a source can end inside a document; its row then holds the
-    words up to there, and ``n_chars``, if there is such a column, their
-    length. Documents without words, and those that the mix takes nothing of,
-    go. Other columns are kept as they are.
+    Rows stand in the order of the schedule: each is placed by the first slot
+    that takes its words in the pass, over sorted ranges of slots. A pass that
+    takes all words of a document returns its row as it is. The last pass over
+    a source can end inside a document; its row then holds the words up to
+    there, and ``n_chars``, if there is such a column, their length. Documents
+    without words, and those that the mix takes nothing of, go. Other columns
+    are kept as they are, whatever their names.
     """
     names = list(docs.columns)
     _, _, taken = _taken(docs, block, seed)
-    parts = {c: free_name(docs, f"mix_{c}") for c in ("source", "row", "size")}
-    rows = docs.withColumns({parts["source"]: F.col("source").cast("string"), parts["size"]: word_count(F.col("text")),
-                             parts["row"]: F.xxhash64("text")})
-    alike = Window.partitionBy("doc_id", parts["source"], parts["row"]).orderBy(parts["size"])
-    rows = rows.withColumn(parts["row"], F.xxhash64(parts["row"], F.row_number().over(alike)))
-    taken = taken.select(*(F.col(c).alias(f"__{c}") for c in taken.columns))
-    on = (F.col("doc_id").eqNullSafe(F.col("__t_doc_id")) & F.col(parts["source"]).eqNullSafe(F.col("__t_source"))
-          & F.col(parts["row"]).eqNullSafe(F.col("__t_row")))
-    both = rows.join(taken, on)
-    whole = F.col("__length") >= F.col(parts["size"])
-    text = F.when(whole, F.col("text")).otherwise(_first_words(F.col("text"), F.col("__length")))
-    both = both.withColumn("text", text)
+    # names that no column of ``docs`` has, so that what is joined can't clash with it
+    own = {c: free_name(docs, f"mix_{c}") for c in ("source", "row", "size")}
+    new = {c: free_name(docs, f"mix_{c}") for c in taken.columns}
+    rows = docs.withColumns({own["source"]: F.col("source").cast("string"), own["size"]: word_count(F.col("text")), own["row"]: F.xxhash64("text")})
+    alike = Window.partitionBy("doc_id", own["source"], own["row"]).orderBy(own["size"])
+    rows = rows.withColumn(own["row"], F.xxhash64(own["row"], F.row_number().over(alike)))
+    taken = taken.select(*(F.col(c).alias(n) for c, n in new.items()))
+    on = (F.col("doc_id").eqNullSafe(F.col(new["t_doc_id"])) & F.col(own["source"]).eqNullSafe(F.col(new["t_source"]))
+          & F.col(own["row"]).eqNullSafe(F.col(new["t_row"])))
+    both = stash(rows.join(taken, on), "taken")
+    # few rows are cut; the others' texts don't go through Python
+    whole = F.col(new["length"]) >= F.col(own["size"])
+    cut = both.filter(~whole).withColumn("text", _cut(F.col("text"), F.col(new["length"])))
     if "n_chars" in names:
-        both = both.withColumn("n_chars", F.when(whole, F.col("n_chars")).otherwise(F.char_length("text")))
-    return both.select(*names)
+        cut = cut.withColumn("n_chars", F.char_length("text").cast(both.schema["n_chars"].dataType))
+    slot = new["slot"]
+    return both.filter(whole).unionByName(cut).repartitionByRange(F.col(slot)).sortWithinPartitions(slot).select(*names)
 
 
 @F.pandas_udf(StringType())
@@ -242,6 +249,3 @@ def _cut(texts: pd.Series, counts: pd.Series) -> pd.Series:
 
     return pd.Series([cut(t, n) for t, n in zip(texts, counts)], dtype=object)
 
-
-def _first_words(text: Column, count: Column) -> Column:
-    return _cut(text, count)

@@ -51,7 +51,7 @@ def op7_bitsliced(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "first_slot")
 
 
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
