@@ -238,6 +238,43 @@ def return_rate(events: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def allocate_discount(
+    lines: DataFrame,
+    orders: DataFrame,
+    *,
+    order: str = "order_id",
+    amount: str = "line_amount",
+    discount: str = "discount_amount",
+    sort: Sequence[str] = ("line_number",),
+    name: str = "allocated_discount",
+) -> DataFrame:
+    """AGG-15: ``lines`` with the line's part of its order's discount, in whole cents that add up to it.
+
+    Parts are in proportion to ``amount``, by largest remainder: each line gets
+    the whole cents of its share, and the cents left over go to the lines with
+    the largest remainders, ties in order of ``sort``. NULL and negative
+    amounts weigh nothing; if no line of an order weighs, all weigh alike.
+    Lines without an order, or whose order has no discount, get 0. Everything
+    is integer arithmetic. An order's lines came in one event, so a window
+    holds few rows; lines without an order take no part in it.
+    """
+    total = orders.where(F.col(order).isNotNull() & F.col(discount).isNotNull()).select(F.col(order).alias("__order"), F.col(discount).alias("__total"))
+    cents = lambda c: F.round(c.cast("decimal(18,2)") * 100).cast("decimal(18,0)")
+    rows = lines.join(total, F.col(order) == F.col("__order"), "left")
+    none = rows.where(F.col("__total").isNull()).withColumn(name, F.lit(0).cast("decimal(18,2)")).select(*lines.columns, name)
+    w = Window.partitionBy("__order")
+    some = rows.where(F.col("__total").isNotNull()).withColumns({"__cents": F.abs(cents(F.col("__total"))), "__own": F.greatest(F.coalesce(cents(F.col(amount)), F.lit(0)), F.lit(0))})
+    some = some.withColumn("__own", F.when(F.max("__own").over(w) > 0, F.col("__own")).otherwise(1).cast("decimal(18,0)"))
+    some = some.withColumn("__all", F.sum("__own").over(w).cast("decimal(18,0)"))
+    share = "cast(__cents * __own as decimal(38,0))"
+    some = some.withColumns({"__part": F.expr(f"{share} div __all"), "__left": F.expr(f"{share} % __all")})
+    spare = F.col("__cents") - F.sum("__part").over(w)
+    first = F.row_number().over(w.orderBy(F.desc("__left"), *sort)) <= spare
+    part = (F.col("__part") + F.when(first, 1).otherwise(0)) * F.when(F.col("__total") < 0, -1).otherwise(1)
+    some = some.withColumn(name, (part.cast("decimal(18,0)") / 100).cast("decimal(18,2)"))
+    return some.select(*lines.columns, name).unionByName(none)
+
+
 def gross_margin(lines: DataFrame, products: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
     """AGG-15: Σ(line - allocated discount - qty × cost) ÷ Σ(line - allocated discount).
 
@@ -272,8 +309,9 @@ def first_purchase_flags(
     time, then order id). The first order per customer is a combinable
     ``min(struct)`` aggregation joined back, not a window over the customer."""
     first = orders.groupBy(customer).agg(F.min(F.struct(ts, order)).alias("__first"))
+    # an order without a customer is nobody's first
     return orders.join(first, customer, "left").withColumn(
-        "is_first_purchase", F.col(order) == F.col("__first").getField(order)
+        "is_first_purchase", F.coalesce(F.col(order) == F.col("__first").getField(order), F.lit(False))
     ).drop("__first")
 
 

@@ -114,6 +114,36 @@ def valid_references(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: st
     return fact.join(keys, F.col(fact_key) == F.col("__k"), "left_semi")
 
 
+def reference_report(fact: DataFrame, references: dict[str, tuple[str, DataFrame, str]]) -> DataFrame:
+    """DQ-03: for each reference of ``fact`` its rows, NULLs, orphans, and distinct keys, from one scan and one join.
+
+    ``references`` maps a name to (fact column, dimension, its key). All keys of
+    a row are unpivoted at once and counted by (reference, key) before they
+    meet the dimensions' keys, so a frequent key is one row there. A dimension
+    may name a key twice; NULL names none.
+    """
+    keys = F.explode(F.array(*[F.struct(F.lit(n).alias("reference"), F.col(c).cast("string").alias("key")) for n, (c, _, _) in references.items()]))
+    used = fact.select(keys.alias("k")).groupBy("k.reference", "k.key").agg(F.count(F.lit(1)).alias("n"))
+    known = None
+    for n, (_, dim, key) in references.items():
+        part = dim.where(F.col(key).isNotNull()).select(F.lit(n).alias("reference"), F.col(key).cast("string").alias("key"))
+        known = part if known is None else known.unionByName(part)
+    met = used.join(known.distinct().withColumn("known", F.lit(True)), ["reference", "key"], "left")
+    is_null = F.col("key").isNull()
+    orphan = ~is_null & F.col("known").isNull()
+    count = lambda when, what: F.coalesce(F.sum(F.when(when, what)), F.lit(0)).cast("bigint")
+    return met.groupBy("reference").agg(
+        F.sum("n").alias("rows"), count(is_null, F.col("n")).alias("null_rows"), count(orphan, F.col("n")).alias("orphan_rows"),
+        count(~is_null, F.lit(1)).alias("keys"), count(orphan, F.lit(1)).alias("orphan_keys"),
+    )
+
+
+def line_amount_checks(lines: DataFrame, *, tolerance: Decimal = MONEY_TOLERANCE) -> DataFrame:
+    """DQ-04: line amount = quantity x unit price. ``line_ok`` is NULL where one of the three is."""
+    expected = (F.col("quantity") * F.col("unit_price")).cast("decimal(18,2)")
+    return lines.withColumns({"expected_amount": expected, "line_ok": F.abs(F.col("line_amount") - expected) <= F.lit(tolerance)})
+
+
 def reconcile_orders(
     lines: DataFrame,
     orders: DataFrame,
@@ -150,6 +180,20 @@ def order_amount_checks(orders: DataFrame) -> DataFrame:
     )
 
 
+def resolve_orders(events: DataFrame, *, order: str = "order_id", cart: str = "cart_id") -> DataFrame:
+    """``events`` with the order of a cart's events that came before the order had an id.
+
+    Checkouts name their cart only; payments and orders name both. Each cart's
+    order (the smallest id, should there be several) is one row, joined to the
+    events without an order. Events of carts that never led to an order keep none.
+    """
+    linked = events.where(F.col(order).isNotNull() & F.col(cart).isNotNull())
+    linked = linked.groupBy(F.col(cart).alias("__cart")).agg(F.min(order).alias("__order"))
+    open_ = events.where(F.col(order).isNull())
+    found = open_.join(linked, F.col(cart) == F.col("__cart"), "left").withColumn(order, F.col("__order")).select(*events.columns)
+    return events.where(F.col(order).isNotNull()).unionByName(found)
+
+
 # Lifecycle stages in their required order.
 LIFECYCLE_STAGES = (
     "checkout_started",

@@ -9,6 +9,7 @@ from retail_spark.plans.common import Plan
 _MODULES = (
     "retail_spark.plans.silver_plans",
     "retail_spark.plans.gold_plans",
+    "retail_spark.plans.business_plans",
     "retail_spark.plans.quality_plans",
     "retail_spark.plans.graph_plans",
     "retail_spark.plans.stream_plans",
