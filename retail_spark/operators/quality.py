@@ -25,12 +25,6 @@ FREE_SHIPPING_MIN_CART = Decimal("120.00")
 MONEY_TOLERANCE = Decimal("0.01")
 
 
-def _rescued_map(df: DataFrame) -> Column:
-    if RESCUED in df.columns:
-        return F.coalesce(F.from_json(F.col(RESCUED), "map<string,string>"), F.create_map().cast("map<string,string>"))
-    return F.create_map().cast("map<string,string>")
-
-
 def contract_violations(df: DataFrame, contract: Contract, *, strict: bool = False) -> DataFrame:
     """DQ-01: add ``violations`` (empty array = valid).
 
@@ -39,44 +33,56 @@ def contract_violations(df: DataFrame, contract: Contract, *, strict: bool = Fal
     ``enum:<f>``, ``minimum:<f>``, ``maximum:<f>``, ``unexpected:<key>``,
     ``malformed_json``. ``strict`` also rejects the producer-only extras
     (X2).
+
+    Rows without rescued data, most of them, only run the checks that such a
+    row can fail: no look-up of rescued keys, and none of types and unknown keys.
     """
-    # parse the rescued JSON once per row; every check reads the map column
-    df = df.withColumn("__rescued_map", _rescued_map(df))
-    rescued = F.col("__rescued_map")
     present = set(df.columns)
-    checks: list[Column] = []
-
-    def col_or_null(name: str) -> Column:
-        return F.col(name) if name in present else F.lit(None)
-
-    for f in contract.fields:
-        c = col_or_null(f.name)
-        in_rescue = F.map_contains_key(rescued, F.lit(f.name))
-        if f.name in contract.required:
-            checks.append(F.when(c.isNull() & ~in_rescue, F.lit(f"required:{f.name}")))
-        checks.append(F.when(in_rescue, F.lit(f"type:{f.name}")))
-        if f.type == "datetime":
-            checks.append(F.when(c.isNotNull() & F.try_to_timestamp(c.cast("string")).isNull(), F.lit(f"format:{f.name}")))
-        if f.const is not None:
-            checks.append(F.when(c.isNotNull() & (c != F.lit(f.const)), F.lit(f"const:{f.name}")))
-        if f.enum is not None:
-            checks.append(F.when(c.isNotNull() & ~c.isin(*f.enum), F.lit(f"enum:{f.name}")))
-        if f.minimum is not None:
-            checks.append(F.when(c < F.lit(f.minimum), F.lit(f"minimum:{f.name}")))
-        if f.maximum is not None:
-            checks.append(F.when(c > F.lit(f.maximum), F.lit(f"maximum:{f.name}")))
-    if CORRUPT in present:
-        checks.append(F.when(F.col(CORRUPT).isNotNull(), F.lit("malformed_json")))
-    allowed = contract.field_names + ([] if strict else list(contract.extra_allowed))
-    unexpected = F.transform(
-        F.filter(F.map_keys(rescued), lambda k: ~F.array_contains(F.array(*[F.lit(n) for n in allowed]), k)),
-        lambda k: F.concat(F.lit("unexpected:"), k),
-    )
-    if not contract.additional_properties:
-        violations = F.concat(F.array_compact(F.array(*checks)), unexpected)
-    else:
-        violations = F.array_compact(F.array(*checks))
-    return df.withColumn(VIOLATIONS, violations).drop("__rescued_map")
+    has_rescued = RESCUED in present
+    if has_rescued:
+        df = df.withColumn("__rescued_keys", F.json_object_keys(RESCUED))
+    keys = F.col("__rescued_keys")
+
+    def checks(rescued: bool) -> list[Column]:
+        out: list[Column] = []
+        for f in contract.fields:
+            known = f.name in present
+            c = F.col(f.name) if known else F.lit(None)
+            in_rescue = F.array_contains(keys, f.name) if rescued else None
+            if f.name in contract.required:
+                missing = c.isNull() if known else F.lit(True)
+                out.append(F.when(missing & ~in_rescue if rescued else missing, F.lit(f"required:{f.name}")))
+            if rescued:
+                out.append(F.when(in_rescue, F.lit(f"type:{f.name}")))
+            if not known:
+                continue
+            if f.type == "datetime":
+                out.append(F.when(c.isNotNull() & F.try_to_timestamp(c.cast("string")).isNull(), F.lit(f"format:{f.name}")))
+            if f.const is not None:
+                out.append(F.when(c != F.lit(f.const), F.lit(f"const:{f.name}")))
+            if f.enum is not None:
+                out.append(F.when(~c.isin(*f.enum), F.lit(f"enum:{f.name}")))
+            if f.minimum is not None:
+                out.append(F.when(c < F.lit(f.minimum), F.lit(f"minimum:{f.name}")))
+            if f.maximum is not None:
+                out.append(F.when(c > F.lit(f.maximum), F.lit(f"maximum:{f.name}")))
+        if CORRUPT in present:
+            out.append(F.when(F.col(CORRUPT).isNotNull(), F.lit("malformed_json")))
+        return out
+
+    def codes(rescued: bool) -> Column:
+        found = checks(rescued)
+        return F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
+
+    violations = codes(False)
+    if has_rescued:
+        full = codes(True)
+        if not contract.additional_properties:
+            allowed = contract.field_names + ([] if strict else list(contract.extra_allowed))
+            unexpected = F.filter(keys, lambda k: ~F.array_contains(F.array(*[F.lit(n) for n in allowed]), k))
+            full = F.concat(full, F.transform(unexpected, lambda k: F.concat(F.lit("unexpected:"), k)))
+        violations = F.when(keys.isNull(), violations).otherwise(full)
+    return df.withColumn(VIOLATIONS, violations).drop("__rescued_keys")
 
 
 def split_quarantine(df: DataFrame, *, key: str | None = "event_id") -> tuple[DataFrame, DataFrame]:
