@@ -19,7 +19,7 @@ from retail_spark.sources.landing import read_landing
 from retail_spark.sources.tables import read_table_stream
 from retail_spark.streaming.dedup import deduplicate_stream
 from retail_spark.streaming.jobs import run_job, stream_to_table
-from retail_spark.streaming.sinks import write_routed_jsonl
+from retail_spark.streaming.sinks import StreamTarget, stream_routed_jsonl, write_routed_jsonl
 from retail_spark.streaming.windows import session_windows, windowed_kpis
 
 K = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
@@ -65,14 +65,16 @@ def _typed_events(spark: SparkSession, sf: str, *, copies: int = 1) -> DataFrame
         A._map(A.EVENT_VOCAB, F.col("event_type")).alias("event_type"),
         F.col("value").cast("decimal(18,2)").alias("event_amount"),
         F.col("user_id").alias("customer_id"),
+        "ingest_ts",
     )
 
 
 def q_stream_hourly_kpi(spark: SparkSession, sf: str) -> DataFrame:
     """STR-08 (+STR-02 chained): every event delivered twice, deduplicated
     within the watermark, then hourly tumbling windows (1 h watermark delay)
-    in append mode: a window is written once the watermark passes its end."""
-    k = windowed_kpis(_typed_events(spark, sf, copies=2), window="1 hour", delay="1 hour", dedup_key="event_id")
+    in append mode: a window is written once the watermark passes its end.
+    Time is the earlier of event and arrival (STR-07)."""
+    k = windowed_kpis(_typed_events(spark, sf, copies=2), window="1 hour", delay="1 hour", dedup_key="event_id", ingest_column="ingest_ts")
     return finalize(stream_to_table(k, spark=spark, name="hourly_kpi"))
 
 
@@ -86,6 +88,38 @@ w AS (SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + IN
 SELECT * FROM w WHERE window_end <= (SELECT MAX(ts) FROM events) - INTERVAL 1 HOUR"""
 
 
+def q_stream_arrival_kpi(spark: SparkSession, sf: str) -> DataFrame:
+    """STR-07/08: two deliveries, two runs on one checkpoint. Purchases of the first one with k above 90 are stamped 25 days
+    ahead, as deliveries are; counted by arrival they make nothing of the second late."""
+    root = shared_path(spark, "streams", "arrival", unique=True)
+    ev = spark.read.parquet(f"{sf}/events.parquet")
+    middle = F.lit("2024-01-16").cast("timestamp")
+    ts = F.col("ts").cast("timestamp")
+    ahead = F.when((F.col("event_type") == "purchase") & (A.props_k() > 90) & (ts < middle), F.expr("INTERVAL 25 DAYS")).otherwise(F.expr("INTERVAL 0 DAYS"))
+    rows = ev.select("event_id", (ts + ahead).alias("event_ts"), ts.alias("ingest_ts"), A._map(A.EVENT_VOCAB, F.col("event_type")).alias("event_type"),
+                     F.col("value").cast("decimal(18,2)").alias("event_amount"))
+    for part in (rows.where(F.col("ingest_ts") < middle), rows.where(F.col("ingest_ts") >= middle)):
+        part.write.mode("append").parquet(f"{root}/landed")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{root}/landed")
+        kpis = windowed_kpis(stream, window="1 hour", delay="1 hour", dedup_key="event_id", ingest_column="ingest_ts")
+        StreamTarget(f"{root}/checkpoint", path=f"{root}/kpis").run(kpis)
+    return finalize(spark.read.parquet(f"{root}/kpis"))
+
+
+def q_stream_routed(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK-09 on a stream: events routed to ``<dataset>/dt=`` (by day: the tables hold few events an hour), and what the landing reader finds there."""
+    root = shared_path(spark, "routed", unique=True)
+    s = events_stream(spark, sf).select(F.col("event_id").cast("string").alias("event_id"), A._map(A.EVENT_VOCAB, F.col("event_type")).alias("event_type"), "ts", "value")
+    stream_routed_jsonl(s, f"{root}/zone", f"{root}/checkpoint", ts_column="ts", granularity="day").awaitTermination()
+    found = read_landing(spark, f"{root}/zone", T.StructType.fromDDL("event_id string, event_type string, value double"), streaming=False, root=f"{root}/zone")
+    return found.select("event_id", "event_type", "value", "dataset", "dt")
+
+
+STREAM_ROUTED_SQL = f"""
+SELECT CAST(event_id AS VARCHAR) AS event_id, {sql_case_map('event_type', A.EVENT_VOCAB)} AS event_type, value, {sql_case_map('event_type', A.EVENT_VOCAB)} AS dataset,
+       strftime(ts, '%Y-%m-%d') AS dt FROM events"""
+
+
 def q_stream_sessions(spark: SparkSession, sf: str) -> DataFrame:
     """STR-09 on a stream: 30-minute session windows per user, emitted once
     the 1 h watermark passes the session end."""
@@ -304,6 +338,8 @@ PLANS = {
     "stream_dedup_events": Plan(q_stream_dedup_events, STREAM_DEDUP_EVENTS_SQL, "SRC-06 STR-01,02,05,06,07 SNK-01,02"),
     "stream_dedup_events_forever": Plan(q_stream_dedup_events_forever, STREAM_DEDUP_EVENTS_SQL, "STR-01,02,03 (parity mode)"),
     "stream_hourly_kpi": Plan(q_stream_hourly_kpi, STREAM_HOURLY_KPI_SQL, "STR-08 STR-02 (chained)"),
+    "stream_arrival_kpi": Plan(q_stream_arrival_kpi, STREAM_HOURLY_KPI_SQL, "STR-07 STR-08"),
+    "stream_routed": Plan(q_stream_routed, STREAM_ROUTED_SQL, "SNK-09 SRC-05"),
     "stream_sessions": Plan(q_stream_sessions, STREAM_SESSIONS_SQL, "STR-09"),
     "landing_silver_job": Plan(q_landing_silver_job, LANDING_SILVER_JOB_SQL,
                                "SNK-09 SRC-01,03,04,05 DQ-01,02 PRJ-08,09 STR-07,10 SNK-01..04"),

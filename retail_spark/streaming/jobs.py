@@ -22,7 +22,7 @@ All locations default to sub-folders of the shared ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
 from pyspark import StorageLevel
@@ -38,13 +38,19 @@ from retail_spark.sources.landing import (
     CORRUPT, RECORD, RESCUED, file_exists, grow_schema, inferred_schema, load_schema, read_landing, rescue, typed_columns,
 )
 from retail_spark.streaming.dedup import DEFAULT_DELAY
-from retail_spark.streaming.sinks import StreamTarget, clear_targets
+from retail_spark.streaming.metrics import run_measured
+from retail_spark.streaming.sinks import StreamTarget, clear_targets, kept_text
 
 
 @dataclass
 class JobResult:
     silver_path: str
     quarantine_path: str
+    #: of this run: lines read, rows of Silver and quarantine written, and valid rows dropped behind the watermark
+    read_rows: int = 0
+    silver_rows: int = 0
+    quarantine_rows: int = 0
+    late_rows: int = 0
 
     def silver(self, spark: SparkSession) -> DataFrame:
         """All Silver rows; columns that later batches added are NULL in earlier ones."""
@@ -63,17 +69,10 @@ def query_name(entity: str) -> str:
     return f"silver_{entity}_available_now"
 
 
-def _kept_text(spark: SparkSession, path: str, first: Callable[[], str]) -> str:
-    """The text stored at ``path``; ``first()`` is stored there before the first run. Read errors are raised."""
-    if not file_exists(spark, f"{path}/_SUCCESS"):
-        spark.createDataFrame([(first(),)], "value string").coalesce(1).write.mode("overwrite").text(path)
-    return spark.read.text(path).first().value
-
-
 def _start_time(spark: SparkSession, checkpoint: str) -> str:
     """First-run start time, kept beside the checkpoint (include_existing_files=False)."""
     now = "SELECT date_format(current_timestamp(), \"yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX\") AS t"
-    return _kept_text(spark, f"{checkpoint.rstrip('/')}_start_time", lambda: spark.sql(now).first().t)
+    return kept_text(spark, f"{checkpoint.rstrip('/')}_start_time", lambda: spark.sql(now).first().t)
 
 
 def checked_stream(
@@ -101,17 +100,23 @@ def checked_stream(
     checked = checked.withColumn(VIOLATIONS, reasons)
     valid = F.size(VIOLATIONS) == 0
     if dedup == "none":
-        return checked
+        return _observed(checked)
     # rejected rows have keys of their own and no time, so the state neither merges them nor finds them late; the
     # writer drops both columns: a watermark column that nothing reads would be pruned, and with it the late filter
     checked = checked.withColumn("__key", F.when(valid, key).otherwise(F.concat(F.lit("rejected:"), F.expr("uuid()"))))
     if dedup == "forever":
         time = parse_ts(contract.timestamp_column)
-        return checked.withColumn("__time", F.when(valid, time)).withWatermark("__time", DEFAULT_DELAY).dropDuplicates(["__key"])
+        return _observed(checked.withColumn("__time", F.when(valid, time)).withWatermark("__time", DEFAULT_DELAY).dropDuplicates(["__key"]))
     if dedup != "within_watermark":
         raise ValueError(f"unknown dedup mode {dedup!r}")
     checked = checked.withColumn("__time", F.when(valid, F.col("ingest_ts"))).withWatermark("__time", DEFAULT_DELAY)
-    return checked.dropDuplicatesWithinWatermark(["__key"])
+    return _observed(checked.dropDuplicatesWithinWatermark(["__key"]))
+
+
+def _observed(checked: DataFrame) -> DataFrame:
+    """``checked``, counting what goes to either target."""
+    valid = F.size(VIOLATIONS) == 0
+    return checked.observe("written", F.count_if(valid).alias("silver"), F.count_if(~valid).alias("quarantine"))
 
 
 class BatchWriter:
@@ -183,15 +188,16 @@ def run_job(
     # a checkpoint that was deleted on its own starts a new job, whose batches don't overwrite the old one's
     if not file_exists(spark, f"{checkpoint_location}/metadata"):
         clear_targets(spark, [f"{checkpoint_location}_job"], [checkpoint_location.rpartition("/")[0]])
-    job = _kept_text(spark, f"{checkpoint_location}_job", lambda: uuid.uuid4().hex[:12])
+    job = kept_text(spark, f"{checkpoint_location}_job", lambda: uuid.uuid4().hex[:12])
     stream = checked_stream(
         spark, entity, landing_paths, evolving=schema_location is not None, dedup=dedup, max_files=max_files, strict=strict, path_glob=path_glob,
         start_time=None if include_existing_files else _start_time(spark, checkpoint_location),
     )
     write = writer(spark, entity, job, output_path, quarantine_path, fmt=fmt, schema_location=schema_location)
-    (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_location).queryName(query_name(entity))
-     .trigger(availableNow=True).start().awaitTermination())
-    return JobResult(output_path, quarantine_path)
+    batches = run_measured(spark, lambda: (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_location)
+                                           .queryName(query_name(entity)).trigger(availableNow=True).start()))
+    total = lambda what: sum(b[-1].get(what, 0) for b in batches)
+    return JobResult(output_path, quarantine_path, sum(b[3] for b in batches), total("silver"), total("quarantine"), sum(b[4] for b in batches))
 
 
 def stream_to_table(

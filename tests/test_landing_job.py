@@ -141,3 +141,34 @@ def test_contract_reads_rescued_types(spark, scratch):
 
     df = L.read_landing(spark, f"{scratch}/r", read_schema(FACT_EVENT_RAW_V1), streaming=False)
     assert sorted(contract_violations(df, FACT_EVENT_RAW_V1).first().violations) == ["type:quantity", "type:unit_price", "unexpected:mystery"]
+
+
+def test_run_reports_what_it_read_wrote_and_dropped(spark, scratch):
+    """An event 25 days ahead makes later ones late in parity mode; each lost row is counted."""
+    root = f"{scratch}/land"
+    land(root, "x", "2026-04-10", "00", [fact("fut", "2026-04-10T00:00:00+00:00", "shipment_delivered"), "{broken"], "1")
+    first = run_job(spark, "fact_event_raw", root, dedup="forever", **where(scratch))
+    assert (first.read_rows, first.silver_rows, first.quarantine_rows, first.late_rows) == (2, 1, 1, 0)
+    land(root, "x", "2026-03-16", "10", [fact(k, AT) for k in "abc"] + [fact("new", "2026-04-11T00:00:00+00:00"), fact("bad", AT, event_type="teleport")], "2")
+    res = run_job(spark, "fact_event_raw", root, dedup="forever", **where(scratch))
+    assert ids(res.silver(spark)) == ["fut", "new"] and ids(res.quarantine(spark)) == ["", "bad"]
+    assert (res.read_rows, res.silver_rows, res.quarantine_rows, res.late_rows) == (5, 1, 1, 3)
+    assert res.read_rows == res.silver_rows + res.quarantine_rows + res.late_rows
+
+
+def test_routed_stream_runs_a_batch_again_without_copies(spark, scratch):
+    from retail_spark.streaming.sinks import stream_routed_jsonl
+
+    schema = "id int, event_type string, event_ts string, note string"
+    rows = [(1, "page_view", "2026-03-16 10:05:00", "x"), (2, "order/placed", "2026-03-16 11:00:00", "y"), (3, None, None, "z"), (4, "page_view", "2026-03-16 10:50:00", "w")]
+    spark.createDataFrame(rows, schema).coalesce(1).write.json(f"{scratch}/in")
+    stream = lambda: spark.readStream.schema(schema).json(f"{scratch}/in")
+    stream_routed_jsonl(stream(), f"{scratch}/zone", f"{scratch}/ck", drop_columns=["note"]).awaitTermination()
+    assert sorted(os.listdir(f"{scratch}/zone")) == ["order_placed", "page_view", "unknown"]
+    assert os.listdir(f"{scratch}/zone/page_view/dt=2026-03-16") == ["hour=10"]
+    os.remove(f"{scratch}/ck/commits/0")  # as if the job had died before it noted the batch
+    for crc in [f for f in os.listdir(f"{scratch}/ck/commits") if f.endswith(".crc")]:
+        os.remove(f"{scratch}/ck/commits/{crc}")
+    stream_routed_jsonl(stream(), f"{scratch}/zone", f"{scratch}/ck", drop_columns=["note"]).awaitTermination()
+    back = spark.read.option("recursiveFileLookup", "true").json(f"{scratch}/zone")
+    assert sorted(r.id for r in back.collect()) == [1, 2, 3, 4] and "note" not in back.columns
