@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retail_spark.operators import graph as GR
+from retail_spark.operators import similarity as S
 from retail_spark.plans.common import Plan, finalize
 from retail_spark.sources.tables import read_table
 
@@ -298,6 +299,35 @@ ALS_SQL = """SELECT DISTINCT 'customer' AS kind, o_custkey AS id, 8 AS n_factors
 UNION ALL SELECT DISTINCT 'product', l_partkey, 8, true FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
 
 
+# ------------------------------------------------- similarity by hashing (GRF-04)
+
+LSH_T, LSH_RECALL = 0.5, 0.95
+
+
+def q_similar_customers(spark: SparkSession, sf: str) -> DataFrame:
+    """GRF-04: customers with Jaccard(products) >= 0.5, candidates by banded minimum hashes, verified exactly."""
+    pairs, members = S.jaccard_lsh(_interactions(spark, sf), threshold=LSH_T, recall=LSH_RECALL)
+    kinds = members.select(F.lit("member").alias("kind"), F.col("representative").alias("a"), F.col("customer_id").alias("b"), F.lit(1.0).alias("jaccard"))
+    return kinds.unionByName(pairs.select(F.lit("pair").alias("kind"), F.col("customer_id_a").alias("a"), F.col("customer_id_b").alias("b"), "jaccard"))
+
+
+def q_similarity_recall(spark: SparkSession, sf: str) -> DataFrame:
+    """GRF-04: the hashed pairs against the exact ones: how many there are, how many found ones are wrong, and whether the
+    share found is at least 0.9."""
+    inter = _interactions(spark, sf)
+    pairs, _ = S.jaccard_lsh(inter, threshold=LSH_T, recall=LSH_RECALL)
+    exact = GR.jaccard_similarity(inter, threshold=LSH_T)
+    key = ["customer_id_a", "customer_id_b"]
+    met = exact.select(*key, F.lit(True).alias("is_exact")).join(pairs.select(*key, F.lit(True).alias("is_found")), key, "full")
+    n = met.agg(F.count_if("is_exact").alias("exact_pairs"), F.count_if(F.col("is_found") & F.col("is_exact").isNull()).alias("wrong_pairs"),
+                F.count_if(F.col("is_exact") & F.col("is_found")).alias("found"))
+    return n.select("exact_pairs", "wrong_pairs", (F.col("found") >= 0.9 * F.col("exact_pairs")).alias("recall_reached"))
+
+
+SIMILARITY_RECALL_SQL = f"""WITH {JACCARD_SQL.replace(str(JACCARD_T), str(LSH_T))}
+SELECT COUNT(*) AS exact_pairs, CAST(0 AS BIGINT) AS wrong_pairs, true AS recall_reached FROM jac"""
+
+
 PLANS = {
     "graph_edges": Plan(q_graph_edges, GRAPH_EDGES_SQL, "GRF-01"),
     "copurchase": Plan(q_copurchase, COPURCHASE_SQL, "GRF-02 JON-05"),
@@ -305,6 +335,8 @@ PLANS = {
     "recommend_items": Plan(q_recommend_items, RECOMMEND_ITEMS_SQL, "GRF-08"),
     "attribute_similar": Plan(q_attribute_similar, ATTRIBUTE_SIMILAR_SQL, "GRF-09"),
     "customer_jaccard": Plan(q_customer_jaccard, CUSTOMER_JACCARD_SQL, "GRF-04 JON-06"),
+    "similar_customers": Plan(q_similar_customers, None, "GRF-04 JON-06"),
+    "similarity_recall": Plan(q_similarity_recall, SIMILARITY_RECALL_SQL, "GRF-04"),
     "customer_components": Plan(q_customer_components, CUSTOMER_COMPONENTS_SQL, "GRF-05"),
     "product_communities": Plan(q_product_communities, _communities_sql(), "GRF-05"),
     "graph_degree": Plan(q_graph_degree, GRAPH_DEGREE_SQL, "GRF-06"),
