@@ -3,7 +3,7 @@
 1. Texts that are equal as word sequences are one class; its smallest doc_id
    stands for it, the others are copies of it.
 2. Seeds: of each window of ``WINDOW`` successive runs of ``K`` words the one
-   with the smallest hash. Any ``K + WINDOW - 1`` words that two texts share
+   with the smallest hash; equal ones give one seed a window. Any ``K + WINDOW - 1`` words that two texts share
    have a seed in common.
 3. A seed that several documents hold links each of them to the smallest
    doc_id among them only: a star, so a passage in a thousand documents makes a
@@ -66,29 +66,55 @@ def _numbered(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out, np.sort(order[again])
 
 
+def _picked(runs: np.ndarray) -> np.ndarray:
+    """Places of the smallest hash of every window of ``WINDOW`` runs.
+
+    Of equal ones the last is picked, and one that was picked stays while it is
+    in the window: a word said a hundred times is no hundred seeds, but one a
+    window, while each window still has one of its own.
+    """
+    wide = np.lib.stride_tricks.sliding_window_view(runs, min(WINDOW, len(runs)))
+    first, last = wide.argmin(axis=1), wide.shape[1] - 1 - wide[:, ::-1].argmin(axis=1)
+    at = np.arange(len(wide))
+    if (first != last).any():
+        least, picked = runs[at + last].tolist(), -1
+        kept, values = (at + last).tolist(), runs.tolist()
+        for k in range(len(kept)):
+            if picked >= k and values[picked] == least[k]:
+                kept[k] = picked
+            picked = kept[k]
+        return np.unique(np.array(kept)).astype(np.int32)
+    return np.unique(at + first).astype(np.int32)
+
+
+def _name(words: np.ndarray) -> tuple[int, int]:
+    """What names a text: two hashes of its words."""
+    import xxhash
+
+    h1, h2 = np.frombuffer(xxhash.xxh3_128_digest(words.tobytes()), np.int64)
+    return int(h1), int(h2)
+
+
 def seeds(docs: DataFrame) -> DataFrame:
     """(doc_id, h1, h2, n, hashes, places): a text's identity as words, its size and its seeds."""
 
     def start():
-        import xxhash
-
         known = WordHashes()
 
         def step(batch: pa.RecordBatch) -> dict:
             out = {k: [] for k in ("h1", "h2", "n", "hashes", "places")}
             for text in binary_column(batch, "text"):
                 words = known.of((text or b"").lower().split())
-                whole = np.frombuffer(xxhash.xxh3_128_digest(words.tobytes()), np.int64)
+                whole = _name(words)
                 hashes, places = np.zeros(0, np.int64), np.zeros(0, np.int32)
                 if len(words) >= K:
                     runs = shingle_hashes(words, K)
-                    wide = np.lib.stride_tricks.sliding_window_view(runs, min(WINDOW, len(runs)))
-                    places = np.unique(wide.argmin(axis=1) + np.arange(len(wide))).astype(np.int32)
+                    places = _picked(runs)
                     # a later time is held against the source's first time, too
                     numbered, again = _numbered(runs[places])
                     hashes = np.concatenate([numbered, runs[places[again]]]).view(np.int64)
                     places = np.concatenate([places, places[again]])
-                for k, v in zip(out, (int(whole[0]), int(whole[1]), len(words), hashes, places)):
+                for k, v in zip(out, (*whole, len(words), hashes, places)):
                     out[k].append(v)
             return out | {"doc_id": batch.column(0)}
 
@@ -155,8 +181,15 @@ def _chains(a: list[int], b: list[int]) -> list[list[int]]:
     return out
 
 
+#: What names the two texts of a link.
+KEY = ("doc_id", "text", "source_id", "source_text")
+
+
 def _chained(links: DataFrame) -> DataFrame:
-    """(chain, doc_id, source_id, start, stop, source_start, source_stop, places, source_places) from links(doc_id, source_id, place, source_place)."""
+    """(chain, doc_id, text, source_id, source_text, start, stop, source_start, source_stop, places, source_places) from links.
+
+    A text is named by its doc_id and a hash, for rows may share a doc_id.
+    """
 
     def run(batches):
         key, a, b = None, [], []
@@ -169,28 +202,28 @@ def _chained(links: DataFrame) -> DataFrame:
                     yield (*key, x[0], x[-1] + K, y[0], y[-1] + K, x, y)
 
         def batch_of(rows):
-            kinds = [pa.int64()] * 6 + [pa.list_(pa.int64())] * 2
+            kinds = [pa.int64()] * 8 + [pa.list_(pa.int64())] * 2
             return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)],
-                                              names=["doc_id", "source_id", "start", "stop", "source_start", "source_stop", "places", "source_places"])
+                                              names=[*KEY, "start", "stop", "source_start", "source_stop", "places", "source_places"])
 
         for batch in batches:
             rows = []
-            for d, s, x, y in zip(*(c.to_pylist() for c in batch.columns)):
-                if key != (d, s):
+            for *own, x, y in zip(*(c.to_pylist() for c in batch.columns)):
+                if key != own:
                     if key:
                         rows += done()
-                    key, a, b = (d, s), [], []
+                    key, a, b = own, [], []
                 a.append(x)
                 b.append(y)
             yield batch_of(rows)
         if key:
             yield batch_of(list(done()))
 
-    sorted_ = (links.select("doc_id", "source_id", "place", "source_place").distinct()
-               .repartition("doc_id", "source_id").sortWithinPartitions("doc_id", "source_id", "place", "source_place"))
-    found = sorted_.mapInArrow(run, "doc_id bigint, source_id bigint, start bigint, stop bigint, source_start bigint, source_stop bigint, "
-                                    "places array<bigint>, source_places array<bigint>")
-    return found.withColumn("chain", F.xxhash64(*found.columns[:6]))
+    sorted_ = (links.select(*KEY, "place", "source_place").distinct()
+               .repartition("doc_id", "source_id").sortWithinPartitions(*KEY, "place", "source_place"))
+    found = sorted_.mapInArrow(run, ", ".join(f"{n} bigint" for n in (*KEY, "start", "stop", "source_start", "source_stop"))
+                               + ", places array<bigint>, source_places array<bigint>")
+    return found.withColumn("chain", F.xxhash64(*found.columns[:8]))
 
 
 def edits(a: list[int], b: list[int], most: int, band: int = BAND) -> int | None:
@@ -261,10 +294,10 @@ def parts(x: list[int], y: list[int], p: list[int], q: list[int]) -> list[tuple[
 
 def _words_of(docs: DataFrame, found: DataFrame) -> DataFrame:
     """(chain, side, from, words): word hashes of each chain's stretch, with its flanks, in both texts."""
-    span = F.struct("chain", "side", F.greatest(F.lit(0), F.col("a") - FLANK).alias("a"), (F.col("b") + FLANK).alias("b"))
-    sides = (found.select(F.col("doc_id").alias("id"), "chain", F.lit(0).alias("side"), F.col("start").alias("a"), F.col("stop").alias("b"))
-             .union(found.select(F.col("source_id").alias("id"), "chain", F.lit(1).alias("side"), F.col("source_start").alias("a"),
-                                 F.col("source_stop").alias("b"))))
+    span = F.struct("chain", "side", "own", F.greatest(F.lit(0), F.col("a") - FLANK).alias("a"), (F.col("b") + FLANK).alias("b"))
+    sides = (found.select(F.col("doc_id").alias("id"), F.col("text").alias("own"), "chain", F.lit(0).alias("side"), F.col("start").alias("a"), F.col("stop").alias("b"))
+             .union(found.select(F.col("source_id").alias("id"), F.col("source_text").alias("own"), "chain", F.lit(1).alias("side"),
+                                 F.col("source_start").alias("a"), F.col("source_stop").alias("b"))))
     # a source can have a chain with a third of all documents
     parts = sides.groupBy("id").agg(F.ceil(F.count("*") / F.lit(ASKED)).alias("parts"))
     asked = (sides.join(parts, "id").withColumn("part", F.pmod("chain", "parts")).repartition("id", "part")
@@ -277,8 +310,11 @@ def _words_of(docs: DataFrame, found: DataFrame) -> DataFrame:
         def step(batch):
             out = {k: [] for k in ("chain", "side", "from", "words")}
             for text, spans in zip(binary_column(batch, "text"), batch.column(batch.schema.get_field_index("spans")).to_pylist()):
-                words = known.of(text.lower().split()).astype(np.uint32)
+                words = known.of(text.lower().split())
+                own, words = _name(words)[0], words.astype(np.uint32)
                 for s in spans:
+                    if s["own"] != own:  # asked of another text under this doc_id
+                        continue
                     for k, v in zip(out, (s["chain"], s["side"], s["a"], words[s["a"] : s["b"]].tobytes())):
                         out[k].append(v)
             return out
@@ -292,50 +328,61 @@ def _aligned(found: DataFrame, words: DataFrame) -> DataFrame:
     """Chains that align, with their ends extended: doc_id, start, stop, source_id, source_start, source_stop, n_words, edits."""
     own = words.filter("side = 0").select("chain", F.col("from").alias("a"), F.col("words").alias("x"))
     other = words.filter("side = 1").select(F.col("chain").alias("c"), F.col("from").alias("b"), F.col("words").alias("y"))
-    both = found.join(own, "chain").join(other, F.col("chain") == F.col("c"))
-    names = ("doc_id", "start", "stop", "source_id", "source_start", "source_stop")
+    both = found.join(own, "chain").join(other, F.col("chain") == F.col("c")).dropDuplicates(["chain"])
+    names = ("doc_id", "text", "start", "stop", "source_id", "source_start", "source_stop")
 
     def run(batches):
         for batch in batches:
             out = []
-            for d, o, p, q, a, x, b, y in zip(*(c.to_pylist() for c in batch.columns)):
+            for d, t, o, p, q, a, x, b, y in zip(*(c.to_pylist() for c in batch.columns)):
                 x, y = np.frombuffer(x, np.uint32).tolist(), np.frombuffer(y, np.uint32).tolist()
                 for i, j, k, l, e in parts(x, y, [z - a for z in p], [z - b for z in q]):
-                    out.append((d, i + a, j + a, o, k + b, l + b, j - i, e))
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(8)], names=[*names, "n_words", "edits"])
+                    out.append((d, t, i + a, j + a, o, k + b, l + b, j - i, e))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(9)], names=[*names, "n_words", "edits"])
 
-    return both.select("doc_id", "source_id", "places", "source_places", "a", "x", "b", "y").mapInArrow(run, ", ".join(f"{n} bigint" for n in (*names, "n_words", "edits")))
+    return both.select("doc_id", "text", "source_id", "places", "source_places", "a", "x", "b", "y").mapInArrow(run, ", ".join(f"{n} bigint" for n in (*names, "n_words", "edits")))
 
 
 def _run_links(held: DataFrame, aligned: DataFrame) -> DataFrame | None:
     """Links of the places of ``held`` in no passage of ``aligned``, by runs of shared seeds; None if there are none."""
     strip = F.sequence(F.floor(F.col("start") / STRIP), F.floor((F.col("stop") - 1) / STRIP))
-    covered = aligned.select(F.col("doc_id").alias("d"), "start", "stop", F.explode(strip).alias("strip"))
-    inside = (F.col("doc_id") == F.col("d")) & (F.floor(F.col("place") / STRIP) == F.col("strip")) & \
+    covered = aligned.select(F.col("doc_id").alias("d"), F.col("text").alias("t"), "start", "stop", F.explode(strip).alias("strip"))
+    inside = (F.col("doc_id") == F.col("d")) & (F.col("text") == F.col("t")) & (F.floor(F.col("place") / STRIP) == F.col("strip")) & \
         (F.col("place") >= F.col("start")) & (F.col("place") + K <= F.col("stop"))
-    open_ = held.filter("doc_id <> source_id").join(covered, inside, "left_anti").select("doc_id", "place", "seed")
+    open_ = held.filter("doc_id <> source_id").join(covered, inside, "left_anti").select("doc_id", "text", "place", "seed")
     # stretches of open places too short for a passage, as a repeated phrase has, stay out
-    along = Window.partitionBy("doc_id").orderBy("place", "seed")
+    along = Window.partitionBy("doc_id", "text").orderBy("place", "seed")
     apart = F.coalesce((F.col("place") - F.lag("place").over(along) > MOST_GAP).cast("int"), F.lit(0))
     open_ = stash(open_.withColumn("apart", apart).withColumn("stretch", F.sum("apart").over(along)).drop("apart"), "open")
-    long = (open_.groupBy("doc_id", "stretch").agg((F.max("place") - F.min("place")).alias("span"))
+    long = (open_.groupBy("doc_id", "text", "stretch").agg((F.max("place") - F.min("place")).alias("span"))
             .filter(F.col("span") + K + 2 * (FLANK - 1) >= MIN_WORDS))
-    open_ = stash(open_.join(long, ["doc_id", "stretch"], "left_semi").drop("stretch"), "open")
+    open_ = stash(open_.join(long, ["doc_id", "text", "stretch"], "left_semi").drop("stretch"), "open")
     if not open_.take(1):
         return None
-    rows = (held.join(open_.select("seed").distinct(), "seed", "left_semi").select("doc_id", "place", "seed")
-            .join(open_.withColumn("open", F.lit(True)), ["doc_id", "place", "seed"], "left"))
-    ahead = Window.partitionBy("doc_id").orderBy("place", "seed").rowsBetween(0, RUNS[-1] - 1)
-    long = F.filter(F.array(*map(F.lit, RUNS)), lambda m: m <= F.size("ahead"))
-    runs = (rows.withColumn("ahead", F.collect_list(F.struct("seed", "place", F.coalesce("open", F.lit(False)).alias("open"))).over(ahead))
-            .select("doc_id", "place", "ahead", F.explode(long).alias("m")).withColumn("run", F.expr("slice(ahead, 1, m)")))
-    runs = stash(runs.select("doc_id", "place", F.xxhash64("m", F.col("run.seed")).alias("key"), F.col("run.place").alias("places"),
+    rows = (held.join(open_.select("seed").distinct(), "seed", "left_semi").select("doc_id", "text", "place", "seed")
+            .join(open_.withColumn("open", F.lit(True)), ["doc_id", "text", "place", "seed"], "left"))
+    # an open run that another document holds is made of pairs that are open somewhere and that two documents hold
+    both = F.coalesce(F.col("open") & F.lead("open").over(along), F.lit(False))
+    rows = stash(rows.withColumn("pair", F.xxhash64("seed", F.lead("seed").over(along))).withColumn("both", both), "runs")
+    pairs = (rows.groupBy("pair").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.bool_or("both").alias("asked"))
+             .filter("low < high and asked").select("pair"))
+    pairs = stash(pairs, "pairs")
+    rows = rows.join(pairs.withColumn("held", F.lit(True)), "pair", "left")
+    ahead = along.rowsBetween(0, RUNS[-1] - 1)
+    entry = F.struct("seed", "place", F.coalesce("open", F.lit(False)).alias("open"), F.coalesce("held", F.lit(False)).alias("held"))
+    rows = rows.withColumn("ahead", F.collect_list(entry).over(ahead)).filter("held")
+    last = F.array_position(F.col("ahead.held"), False).cast("int")
+    most = F.when(last > 0, last).otherwise(F.size("ahead"))
+    long = F.filter(F.array(*map(F.lit, RUNS)), lambda m: m <= most)
+    runs = rows.select("doc_id", "text", "place", "ahead", F.explode(long).alias("m")).withColumn("run", F.expr("slice(ahead, 1, m)"))
+    runs = stash(runs.select("doc_id", "text", "place", F.xxhash64("m", F.col("run.seed")).alias("key"), F.col("run.place").alias("places"),
                              F.forall("run.open", lambda o: o).alias("open")), "runs")
-    first = (runs.groupBy("key").agg(F.min(F.struct("doc_id", "place", "places")).alias("s"), F.max("doc_id").alias("last"))
-             .filter("s.doc_id < last").select("key", F.col("s.doc_id").alias("source_id"), F.col("s.places").alias("source_places")))
+    first = (runs.groupBy("key").agg(F.min(F.struct("doc_id", "text", "place", "places")).alias("s"), F.max("doc_id").alias("last")).filter("s.doc_id < last")
+             .select("key", F.col("s.doc_id").alias("source_id"), F.col("s.text").alias("source_text"), F.col("s.places").alias("source_places")))
+    first = stash(first, "first")
     pairs = F.explode(F.arrays_zip("places", "source_places")).alias("p")
-    return (runs.filter("open").join(first, "key").filter("doc_id <> source_id").select("doc_id", "source_id", pairs)
-            .select("doc_id", "source_id", F.col("p.places").alias("place"), F.col("p.source_places").alias("source_place")))
+    return (runs.filter("open").join(first, "key").filter("doc_id <> source_id").select(*KEY, pairs)
+            .select(*KEY, F.col("p.places").alias("place"), F.col("p.source_places").alias("source_place")))
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
@@ -350,7 +397,8 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
 
     ``docs`` needs doc_id and text. Null and empty texts, texts of fewer than
     ``MIN_WORDS`` words and rows with a null doc_id have no passage. Rows that
-    share a doc_id are never a repeat of each other. Other columns are ignored;
+    share a doc_id are texts of their own and never a repeat of each other;
+    their places count within their own text. Other columns are ignored;
     an empty table gives an empty result.
     """
     found = stash(seeds(docs), "seeds")
@@ -358,19 +406,20 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     copies = (found.select("doc_id", "h1", "h2", "n").distinct().join(classes, ["h1", "h2"])
               .filter(f"doc_id <> source_id and n >= {MIN_WORDS}"))
     alone = found.join(classes.withColumnRenamed("source_id", "doc_id"), ["h1", "h2", "doc_id"], "left_semi")
-    each = alone.select("doc_id", F.explode(F.arrays_zip("hashes", "places")).alias("s")).select(
-        "doc_id", F.col("s.hashes").alias("seed"), F.col("s.places").cast("bigint").alias("place"))
-    shared = each.groupBy("seed").agg(F.min("doc_id").alias("source_id"), F.max("doc_id").alias("last")).filter("source_id < last")
-    held = stash(each.join(shared.drop("last"), "seed"), "shared")
-    at_source = held.filter("doc_id = source_id").groupBy("seed").agg(F.min("place").alias("source_place"))
-    links = held.filter("doc_id <> source_id").join(at_source, "seed")
+    each = alone.select("doc_id", F.col("h1").alias("text"), F.explode(F.arrays_zip("hashes", "places")).alias("s")).select(
+        "doc_id", "text", F.col("s.hashes").alias("seed"), F.col("s.places").cast("bigint").alias("place"))
+    shared = (each.groupBy("seed").agg(F.min(F.struct("doc_id", "text", "place")).alias("first"), F.max("doc_id").alias("last")).filter("first.doc_id < last")
+              .select("seed", F.col("first.doc_id").alias("source_id"), F.col("first.text").alias("source_text"), F.col("first.place").alias("source_place")))
+    # written apart, so that Spark can split the rows of a frequent seed in the join
+    held = stash(each.join(stash(shared, "sources"), "seed"), "shared")
+    links = held.filter("doc_id <> source_id")
     chained = stash(_chained(links), "chains")
     aligned = stash(_aligned(chained, _words_of(docs, chained)), "passages")
     more = _run_links(held, aligned)
     if more is not None:
         chained = stash(_chained(more), "chains")
-        aligned = aligned.union(_aligned(chained, _words_of(docs, chained)))
+        aligned = aligned.unionByName(_aligned(chained, _words_of(docs, chained)))
     whole = copies.select("doc_id", F.lit(0).cast("bigint").alias("start"), F.col("n").alias("stop"), "source_id",
                           F.lit(0).cast("bigint").alias("source_start"), F.col("n").alias("source_stop"), F.col("n").alias("n_words"),
                           F.lit(0).cast("bigint").alias("edits"))
-    return aligned.unionByName(whole).distinct()
+    return aligned.drop("text").unionByName(whole).distinct()
