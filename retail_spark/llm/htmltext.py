@@ -243,7 +243,10 @@ class ContentModel:
             return []
         p, at, out = self.marginals(trees), 0, []
         for t in trees:
-            out.append(t.extract((p[at : at + t.n] > 0.5) & ~t.hidden()))
+            shown = ~t.hidden()
+            text = t.extract((p[at : at + t.n] > 0.5) & shown)
+            # a piece of a page with nothing around it: all that it shows is its text
+            out.append(text or ("" if marked(t) else t.extract(shown)))
             at += t.n
         return out
 
@@ -252,6 +255,12 @@ class ContentModel:
 _MAIN, _NOT_MAIN = {"article", "main"}, {"nav", "aside", "footer", "form"}
 _ASIDE = {"ad", "ads", "advert", "banner", "comment", "comments", "cookie", "menu", "nav", "navigation", "newsletter", "notice", "promo", "related", "share",
           "sidebar", "sponsor", "subscribe", "widget"}
+_FRAME = _ASIDE | {"footer", "header"}
+
+
+def marked(tree: Tree) -> bool:
+    """Whether any element says that it is no part of an article, by its tag or names."""
+    return any(tag in _NOT_MAIN or tag in ("header", "menu") or not _FRAME.isdisjoint(names.split()) for tag, names, _ in tree.key)
 
 
 def taught(tree: Tree, mark: str | None = None) -> np.ndarray | None:
@@ -317,7 +326,10 @@ def learn(pages: DataFrame, sample: int = SAMPLE) -> ContentModel:
 def main_text(pages: DataFrame, model: ContentModel) -> DataFrame:
     """(page_id, url, text, n_chars) for every row of ``pages(page_id, url, html)``; the whole html is read.
 
-    Null and empty html, and pages without content, give an empty text.
+    Null and empty html, and pages without content, give an empty text. A page
+    in which the model finds no content, and no element is marked as menu,
+    header, footer, sidebar, notice, advert, form or comment, is a fragment:
+    all its visible text is its main text.
     Broken markup is read as browsers do: open paragraphs and list items end
     where the next begins, the rest of an unfinished comment or script is part
     of it. Other columns are ignored; repeated rows give repeated rows.

@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from retail_spark.llm import bitsliced, language, manifest, mixing, passages, pii, quality, resampling
+from retail_spark.llm import bitsliced, htmltext, language, manifest, mixing, passages, pii, quality, resampling
 
 from .test_operators import ODD, docs, words
 
@@ -321,3 +321,15 @@ def test_mix_cuts_the_last_document_only(spark):
     for r in out:
         held[r.doc_id] += len(r.text.split())
     assert {d: n for d, n in taken.items() if n} == dict(held)
+
+
+def test_fragments_are_their_own_text(spark):
+    model = htmltext.train([])
+    pages = {"<p>Hello.</p>": "Hello.", "just  some\nwords": "just some words", "<div><div>" + "long text " * 40 + "</div></div>": ("long text " * 40).strip(),
+             "<script>x()</script>": "", "": "", "<nav><a href='/'>Home</a></nav>": ""}
+    rows = [(k, f"u{k}", html) for k, html in enumerate(pages)]
+    table_ = spark.createDataFrame([*rows, (99, None, None)], "page_id bigint, url string, html string")
+    got = {r.page_id: r for r in htmltext.main_text(table_, model).collect()}
+    assert [got[k].text for k in range(len(pages))] == list(pages.values()) and got[99].text == ""
+    assert all(r.n_chars == len(r.text) for r in got.values())
+    assert htmltext.main_text(table_.limit(0), model).count() == 0
