@@ -470,21 +470,61 @@ def als_factors(
     ids of any type are numbered from 0 by a distributed count (:func:`dense_ids`)
     and the factors carry the ids as they were. NULL ids take no part.
     """
+    model, users, items, _ = _als(interactions, user, item, rank, max_iter, reg, seed)
+    return (
+        model.userFactors.join(users, F.col("id") == F.col("__u")).select(user, "features"),
+        model.itemFactors.join(items, F.col("id") == F.col("__i")).select(item, "features"),
+    )
+
+
+def _als(interactions: DataFrame, user: str, item: str, rank: int, max_iter: int, reg: float, seed: int):
+    """(model, users, items, ratings): users and items with their numbers, ratings by number."""
     from pyspark.ml.recommendation import ALS
 
     counts = interactions.where(F.col(user).isNotNull() & F.col(item).isNotNull()).groupBy(user, item).agg(
         F.count(F.lit(1)).cast("float").alias("rating")
     )
     users, items = _checkpoint(dense_ids(counts, user, "__u")), _checkpoint(dense_ids(counts, item, "__i"))
+    ratings = counts.join(users, user).join(items, item).select("__u", "__i", "rating")
     model = ALS(
         rank=rank, maxIter=max_iter, regParam=reg, implicitPrefs=True, seed=seed,
         userCol="__u", itemCol="__i", ratingCol="rating", coldStartStrategy="drop",
         checkpointInterval=2,
-    ).fit(counts.join(users, user).join(items, item).select("__u", "__i", "rating"))
-    return (
-        model.userFactors.join(users, F.col("id") == F.col("__u")).select(user, "features"),
-        model.itemFactors.join(items, F.col("id") == F.col("__i")).select(item, "features"),
-    )
+    ).fit(ratings)
+    return model, users, items, ratings
+
+
+def als_recommend(
+    interactions: DataFrame,
+    *,
+    user: str = "customer_id",
+    item: str = "product_id",
+    k: int = 5,
+    rank: int = 8,
+    max_iter: int = 5,
+    reg: float = 0.1,
+    seed: int = 42,
+) -> tuple[DataFrame, DataFrame]:
+    """GRF-07 used: (recommendations, fit) of the embeddings.
+
+    recommendations: user, rank, item, score - the ``k`` largest products of
+    factors for each user, over blocks of users and items (Spark's blocked
+    product; a task holds two blocks and k a user). fit: one row with
+    ``known_score``, the mean product over known pairs, and ``mean_score``, the
+    mean over all pairs, which is the product of the mean factors, so no pair
+    has to be made for it.
+    """
+    model, users, items, ratings = _als(interactions, user, item, rank, max_iter, reg, seed)
+    found = model.recommendForAllUsers(k).select("__u", F.posexplode("recommendations").alias("at", "r"))
+    found = found.join(users, "__u").join(items, F.col("r.__i") == F.col("__i")).select(
+        user, (F.col("at") + 1).alias("rank"), item, F.col("r.rating").cast("double").alias("score"))
+    u, v = (f.select(F.col("id").alias(n), F.transform("features", lambda x: x.cast("double")).alias(f"{n}f"))
+            for f, n in ((model.userFactors, "__u"), (model.itemFactors, "__i")))
+    product = F.aggregate(F.zip_with("__uf", "__if", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
+    known = ratings.join(u, "__u").join(v, "__i").agg(F.avg(product).alias("known_score"))
+    mean = lambda f, n: f.agg(*[F.avg(F.col(f"{n}f")[d]).alias(f"{n}{d}") for d in range(rank)])
+    one = known.join(mean(u, "__u")).join(mean(v, "__i"))  # one row each
+    return found, one.select("known_score", sum((F.col(f"__u{d}") * F.col(f"__i{d}") for d in range(rank)), F.lit(0.0)).alias("mean_score"))
 
 
 def dense_ids(df: DataFrame, column: str, name: str, *, buckets: int = 256) -> DataFrame:

@@ -299,6 +299,27 @@ ALS_SQL = """SELECT DISTINCT 'customer' AS kind, o_custkey AS id, 8 AS n_factors
 UNION ALL SELECT DISTINCT 'product', l_partkey, 8, true FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
 
 
+ALS_MARGIN = 1.5
+
+
+def q_als_recommend(spark: SparkSession, sf: str) -> DataFrame:
+    """GRF-07: five products for every customer by their embeddings; known pairs score 1.5 times the mean pair at least."""
+    li = read_table(spark, sf, "lineitem", ["l_orderkey", "l_partkey"])
+    od = read_table(spark, sf, "orders", ["o_orderkey", "o_custkey"])
+    inter = li.join(od, F.col("l_orderkey") == F.col("o_orderkey")).select(F.col("o_custkey").alias("customer_id"), F.col("l_partkey").alias("product_id"))
+    found, fit = GR.als_recommend(inter, k=TOP_K)
+    in_order = F.array_sort(F.collect_list(F.struct("rank", "score")))
+    each = found.groupBy("customer_id").agg(
+        F.count_distinct("product_id").alias("products"), F.sum("rank").alias("ranks"), in_order.alias("s"))
+    falls = F.forall(F.sequence(F.lit(1), F.size("s") - 1), lambda i: F.element_at("s", i)["score"] >= F.element_at("s", i + 1)["score"])
+    return each.join(fit).select("customer_id", "products", "ranks", falls.alias("scores_fall"),
+                                 (F.col("known_score") >= ALS_MARGIN * F.col("mean_score")).alias("margin_reached"))
+
+
+ALS_RECOMMEND_SQL = f"""SELECT DISTINCT o_custkey AS customer_id, CAST({TOP_K} AS BIGINT) AS products, CAST({TOP_K * (TOP_K + 1) // 2} AS BIGINT) AS ranks,
+       true AS scores_fall, true AS margin_reached FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
+
+
 # ------------------------------------------------- similarity by hashing (GRF-04)
 
 LSH_T, LSH_RECALL = 0.5, 0.95
@@ -345,4 +366,5 @@ PLANS = {
     "association_rules": Plan(q_association_rules, ASSOCIATION_RULES_SQL, "GRF-03"),
     "itemset_rules": Plan(q_itemset_rules, ITEMSET_RULES_SQL, "GRF-03"),
     "als_factors": Plan(q_als_factors, ALS_SQL, "GRF-07"),
+    "als_recommend": Plan(q_als_recommend, ALS_RECOMMEND_SQL, "GRF-07 GRF-08"),
 }

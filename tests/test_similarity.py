@@ -64,3 +64,20 @@ def test_bands(spark):
     sets = item_sets(rows_of(spark, planted(3, 2)), entity="customer_id", item="product_id")
     members = band_members(sets, entity="customer_id", item="product_id", bands=41, rows=5)
     assert members.count() == 41 * 12 and members.groupBy("customer_id").agg(F.count_distinct("bucket").alias("n")).where("n <> 41").count() == 0
+
+
+def test_factors_recommend_what_the_group_buys(spark):
+    """Two groups of customers with their own products: a product left out for a customer is recommended from its group."""
+    from retail_spark.operators.graph import als_recommend
+
+    r, rows = random.Random(3), []
+    for c in range(40):
+        rows += [(f"c{c}", f"p{20 * (c % 2) + i}") for i in r.sample(range(20), 14) for _ in range(2)]
+    table = spark.createDataFrame([*rows, (None, "p1"), ("c1", None)], "customer_id string, product_id string")
+    found, fit = als_recommend(table, k=5, rank=4)
+    got = found.collect()
+    assert len(got) == 200 and {(x.customer_id, x.rank) for x in got} == {(f"c{c}", k) for c in range(40) for k in range(1, 6)}
+    right = [int(x.product_id[1:]) // 20 == int(x.customer_id[1:]) % 2 for x in got]
+    assert sum(right) >= 0.95 * len(right)
+    f = fit.first()
+    assert f.known_score > 1.5 * f.mean_score > 0
