@@ -128,8 +128,7 @@ class Finder:
                 hint = TITLES.get(m["title"] or "", "") or self.genders.get(words[0][0].lower(), "")
                 for k, w in enumerate(words):
                     family = k == len(words) - 1 and (k or m["title"])
-                    # capitals are a matter of the mention: a name has one value
-                    out.append((start + w.start(), start + w.end(), "family" if family else "given", w[0].lower(), "" if family else hint))
+                    out.append((start + w.start(), start + w.end(), "family" if family else "given", w[0], "" if family else hint))
                 end = stop
                 continue
             else:
@@ -143,8 +142,8 @@ class Finder:
         """``found`` and the whole-word mentions of its names elsewhere in the text; a family name goes before a given one."""
         names = {}
         for _, _, kind, value, hint in found:
-            if kind == "family" or kind == "given" and len(value.rstrip(".")) > 1 and names.get(value, ("",))[0] != "family":
-                names[value] = (kind, hint)
+            if kind == "family" or kind == "given" and len(value.rstrip(".")) > 1 and names.get(value.lower(), ("",))[0] != "family":
+                names[value.lower()] = (kind, hint, value)
         if not names:
             return found
         # one pass over the words, however many names there are
@@ -154,12 +153,12 @@ class Finder:
                 while k < len(spans) and spans[k][1] <= start:
                     k += 1
                 if k == len(spans) or stop <= spans[k][0]:
-                    out.append((start, stop, names[value][0], value, names[value][1]))
+                    out.append((start, stop, names[value][0], names[value][2], names[value][1]))
         return sorted(out)
 
 
 def _named(m: re.Match, names: dict) -> list[tuple[int, int, str]]:
-    """The name that the word ``m`` is, as a whole or before an apostrophe: [(start, stop, name)] or []."""
+    """The name in small letters that the word ``m`` is, as a whole or before an apostrophe: [(start, stop, name)] or []."""
     for word in (m[0], re.split("['’]", m[0])[0]):
         if word.lower() in names:
             return [(m.start(), m.start() + len(word), word.lower())]
@@ -288,6 +287,8 @@ def deidentify(docs: DataFrame, *, key: bytes = b"surrogate key") -> DataFrame:
     found = stash(find(docs.select(doc.alias("doc"), row.alias("row"), "text")).dropDuplicates(["doc", "row"]), "found")
     spans_name = free_name(docs, "pii_spans")
     mention = found.select("doc", "row", F.explode("entities").alias("e")).select("doc", "row", "e.*")
+    # capitals are a matter of the mention: a name is one entity however it is written
+    mention = mention.withColumn("value", F.when(F.col("kind").isin("given", "family"), F.lower("value")).otherwise(F.col("value")))
     chosen = surrogates(mention.select("kind", "value", "hint"), key)
     # a value of many texts: Spark splits the partition of its mentions
     spans = (mention.join(chosen, ["kind", "value"]).groupBy("doc", "row")
