@@ -54,13 +54,9 @@ _KINDS = {
 }
 
 
-def _spec(text: str) -> list[tuple[str, str]]:
-    """'kind: a b c' lines -> [(a, kind), (b, kind), ...] in line order."""
-    out = []
-    for line in text.strip().splitlines():
-        kind, names = line.split(":", 1)
-        out += [(n, kind.strip()) for n in names.split()]
-    return out
+def _of(kind: str, names: Sequence[str]) -> list[tuple[str, str]]:
+    """(column, cleaning kind) for each of ``names``."""
+    return [(n, kind) for n in names]
 
 
 def clean_columns(df: DataFrame, spec: Sequence[tuple[str, str]]) -> DataFrame:
@@ -96,57 +92,69 @@ def add_standard_metadata(
 # Per-entity cleaning modes and status vocabularies.
 # ---------------------------------------------------------------------------
 
-CLICKS_CLEAN = _spec(
-    """
-    ts: occurred_at
-    str: event_id generator_instance_id customer_id session_id product_id flow_id campaign_id app_version experiment_id component_id search_query recommendation_request_id seed_product_id
-    lower: event_type customer_segment page action source channel source_medium referrer device_type os locale experiment_variant journey_step onboarding_step component_type sort_order recommendation_model recommendation_source
-    upper: customer_country
-    bool: is_logged_in
-    int: event_position recommendation_rank page_load_time_ms component_load_time_ms time_on_previous_page_ms session_elapsed_ms scroll_depth_pct product_impression_count
-    """
-)
-
-PURCHASES_CLEAN = _spec(
-    """
-    ts: occurred_at
-    str: event_id generator_instance_id customer_id session_id order_id product_id product_sku product_brand flow_id campaign_id
-    lower: event_type customer_segment product_category channel source_medium device_type cross_sell_source
-    upper: customer_country coupon_code currency
-    int: quantity order_item_count order_item_index
-    money: unit_price amount discount_amount order_total_amount
-    pct: discount_pct
-    bool: is_first_purchase
-    """
-)
-
-TRANSACTIONS_CLEAN = _spec(
-    """
-    ts: occurred_at
-    str: event_id generator_instance_id customer_id session_id transaction_id order_id flow_id
-    lower: event_type payment_method status
-    money: amount
-    """
-)
-
-SUPPORT_TICKETS_CLEAN = _spec(
-    """
-    ts: occurred_at
-    str: event_id ticket_id customer_id
-    lower: event_type category priority status
-    """
-)
-
-FACT_ENVELOPE_CLEAN = _spec(
-    """
-    ts: event_ts
-    str: event_id session_id customer_id product_id cart_id order_id campaign_id
-    lower: event_type device_type platform page_type referrer
-    upper: currency
-    int: quantity
-    money: unit_price
-    """
-)
+CLICKS_CLEAN = [
+    *_of("ts", ("occurred_at",)),
+    *_of("str", (
+        "event_id", "generator_instance_id", "customer_id", "session_id", "product_id", "flow_id",
+        "campaign_id", "app_version", "experiment_id", "component_id", "search_query",
+        "recommendation_request_id", "seed_product_id"
+    )),
+    *_of("lower", (
+        "event_type", "customer_segment", "page", "action", "source", "channel", "source_medium", "referrer",
+        "device_type", "os", "locale", "experiment_variant", "journey_step", "onboarding_step",
+        "component_type", "sort_order", "recommendation_model", "recommendation_source"
+    )),
+    *_of("upper", ("customer_country",)),
+    *_of("bool", ("is_logged_in",)),
+    *_of("int", (
+        "event_position", "recommendation_rank", "page_load_time_ms", "component_load_time_ms",
+        "time_on_previous_page_ms", "session_elapsed_ms", "scroll_depth_pct", "product_impression_count"
+    )),
+]
+
+PURCHASES_CLEAN = [
+    *_of("ts", ("occurred_at",)),
+    *_of("str", (
+        "event_id", "generator_instance_id", "customer_id", "session_id", "order_id", "product_id",
+        "product_sku", "product_brand", "flow_id", "campaign_id"
+    )),
+    *_of("lower", (
+        "event_type", "customer_segment", "product_category", "channel", "source_medium", "device_type",
+        "cross_sell_source"
+    )),
+    *_of("upper", ("customer_country", "coupon_code", "currency")),
+    *_of("int", ("quantity", "order_item_count", "order_item_index")),
+    *_of("money", ("unit_price", "amount", "discount_amount", "order_total_amount")),
+    *_of("pct", ("discount_pct",)),
+    *_of("bool", ("is_first_purchase",)),
+]
+
+TRANSACTIONS_CLEAN = [
+    *_of("ts", ("occurred_at",)),
+    *_of("str", (
+        "event_id", "generator_instance_id", "customer_id", "session_id", "transaction_id", "order_id",
+        "flow_id"
+    )),
+    *_of("lower", ("event_type", "payment_method", "status")),
+    *_of("money", ("amount",)),
+]
+
+SUPPORT_TICKETS_CLEAN = [
+    *_of("ts", ("occurred_at",)),
+    *_of("str", ("event_id", "ticket_id", "customer_id")),
+    *_of("lower", ("event_type", "category", "priority", "status")),
+]
+
+FACT_ENVELOPE_CLEAN = [
+    *_of("ts", ("event_ts",)),
+    *_of("str", (
+        "event_id", "session_id", "customer_id", "product_id", "cart_id", "order_id", "campaign_id"
+    )),
+    *_of("lower", ("event_type", "device_type", "platform", "page_type", "referrer")),
+    *_of("upper", ("currency",)),
+    *_of("int", ("quantity",)),
+    *_of("money", ("unit_price",)),
+]
 
 SUCCESS_STATUSES = ("success", "succeeded", "approved", "paid")
 FAILED_STATUSES = ("failed", "declined", "rejected")

@@ -200,7 +200,7 @@ def read_schema(contract: Contract, *, include_extra: bool = True) -> T.StructTy
     return T.StructType(fields)
 
 
-# order_placed attributes.order_items[] (FN-21)
+# Fields of order_placed attributes.order_items[] (FN-21)
 ORDER_ITEMS_SCHEMA = T.ArrayType(
     T.StructType(
         [
@@ -213,7 +213,7 @@ ORDER_ITEMS_SCHEMA = T.ArrayType(
     )
 )
 
-# Master data files (SRC-08): one JSON array of objects per file.
+# Fields of the master data files (SRC-08), one JSON array of objects per file.
 CUSTOMERS_SCHEMA = T.StructType(
     [T.StructField(n, T.StringType()) for n in
      ("customer_id", "first_name", "last_name", "email", "country", "segment", "created_at")]
