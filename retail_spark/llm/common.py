@@ -93,6 +93,16 @@ def binary_column(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
     return batch.column(batch.schema.get_field_index(name)).cast(pa.large_binary()).to_pylist()
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker outlives its task, and other stages' workers share the executor."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
     """``mapInArrow`` with a step ``batch -> dict of columns`` that ``fn()`` makes once a task.
 
@@ -111,6 +121,8 @@ def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [c if isinstance(c, pa.Array) and c.type == f.type else pa.array(c, f.type)
                      for f, c in ((f, columns[f.name]) for f in fields)], schema=fields)
+        del step
+        give_back()
 
     return df.mapInArrow(run, schema)
 
