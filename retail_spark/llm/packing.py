@@ -26,6 +26,7 @@ from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
@@ -47,16 +48,22 @@ class Encoder(dict):
     The tokenizer never joins text across white space, so the ids of a text are
     those of its words one after the other. Words keep their ids while a task
     runs, the rarer ones until ``MOST`` others came; a full stop or comma after a letter or digit is a token of its own.
+    ``lower`` is the same tokenizer without its normaliser and its split into
+    kinds of characters, for words of small letters in normal form alone.
     """
 
     MOST = 450_000
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         super().__init__()
         self.older: dict[bytes, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
+        self.lower = Tokenizer.from_file(path)
+        self.lower.normalizer = normalizers.Sequence([])
+        self.lower.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.ends = {c: self._ids(chr(c)) for c in b".,"}
         size = self.tokenizer.get_vocab_size()
         self.word_end = np.array([(self.tokenizer.id_to_token(k) or "").endswith("</w>") for k in range(size)])
@@ -87,13 +94,16 @@ class Encoder(dict):
         plain, rest = [], []
         for w in new.difference(known):
             (plain if w.isalpha() or w.decode().isalpha() else rest).append(w)
+        plain.sort()  # words of a script together
         for k in range(0, len(plain), 2_000):
             some = plain[k : k + 2_000]
             text = b" ".join(some).decode()
             if not (is_normalized("NFC", text) and text.lower().replace(" ", "").isalpha()):
                 rest += some
                 continue
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+            # Latin, Greek and Cyrillic, where every release of Unicode in use has the same letters
+            tokenizer = self.lower if max(text) < "\u0530" and text == text.lower() else self.tokenizer
+            ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
             cuts = (4 * (np.flatnonzero(self.word_end[ids]) + 1)).tolist()
             assert len(cuts) == len(some)
             whole = ids.tobytes()
@@ -102,21 +112,29 @@ class Encoder(dict):
             self[w] = pack_ids(f"<{len(e.ids)}I", *e.ids)
 
     #: A full stop or comma that isn't the end of a word of ASCII or Latin-1 letters and digits.
-    _ODD = re.compile(rb"(?<![0-9a-z])(?<!\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])[.,]|[.,](?=[^ \t\n\r\x0b\x0c])")
+    _ODD = re.compile(rb"[.,](?:(?<![0-9a-z].)(?<!\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].)|(?=[^ \t\n\r\x0b\x0c]))")
+
+    @staticmethod
+    def _slices(values: pa.Array, at: np.ndarray | slice = slice(None)) -> list[bytes]:
+        """The bytes between the places ``at`` of an array of large strings: each value, if none are given."""
+        ends = np.frombuffer(values.buffers()[1], np.int64, len(values) + 1, 8 * values.offset)[at].tolist()
+        whole = (values.buffers()[2] or pa.py_buffer(b"")).to_pybytes()
+        return [whole[i:j] for i, j in zip(ends, ends[1:])]
 
     def texts(self, texts: list[bytes | None]) -> list[bytes]:
-        """The ids of each text."""
-        parts, plain = [], []
+        """The ids of each text: words are cut, counted as distinct and put together again by Arrow."""
+        parts = []
         for t in texts:
             t = t or b""
             if b"<|" not in t and not self._ODD.search(t := t.lower()):
                 t = t.replace(b".", b" .").replace(b",", b" ,")
-                plain.append(len(parts))
-            parts.append(t.split())
-        words = set().union(*(parts[k] for k in plain))
-        odd = set().union(*(parts[k] for k in set(range(len(parts))).difference(plain)))
-        self.learn(words | {w for w in (w.rstrip(b".,") for w in odd) if w and w == w.lower()})
-        return [b"".join(map(self.__getitem__, p)) for p in parts]
+            parts.append(t)
+        cut = pc.ascii_split_whitespace(pa.array(parts, pa.large_binary()).cast(pa.large_string()))
+        words = cut.flatten().dictionary_encode()
+        distinct = self._slices(words.dictionary)
+        self.learn({w for w in (w.rstrip(b".,") for w in distinct) if w and w == w.lower()})
+        ids = pa.array(map(self.__getitem__, distinct), pa.large_binary()).take(words.indices)
+        return self._slices(ids, cut.offsets.to_numpy())
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, *, sequence: int = SEQUENCE, end_id: int = END_ID, row: str | None = None) -> DataFrame:

@@ -333,3 +333,24 @@ def test_fragments_are_their_own_text(spark):
     assert [got[k].text for k in range(len(pages))] == list(pages.values()) and got[99].text == ""
     assert all(r.n_chars == len(r.text) for r in got.values())
     assert htmltext.main_text(table_.limit(0), model).count() == 0
+
+
+def test_word_cache_gives_the_tokenizers_ids():
+    """Texts put together from cached words have the ids of the tokenizer, whatever their script and signs."""
+    import random
+
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    from retail_spark.llm.packing import Encoder
+    from retail_spark.llm.queries import tokenizer_path
+
+    draw = random.Random(5)
+    signs = "abcXYZéÉßİıǅŉσςΣдДѓ日本語한글अआعב'’.,;:!?-_/<|>0129½²Ⅷ①  \n\t\x0b é\U0001F600\U0002EBF0"
+    texts = ["".join(draw.choices(signs, k=draw.randrange(60))) for _ in range(1500)]
+    texts += ["".join(draw.choices("abcdefghABCéÉæ .,", k=draw.randrange(80))) for _ in range(1500)]
+    texts += ["", "   ", " a ", ".", ",", "...", "É.", "x<|endoftext|>Y", "don't we'll I'M", None]
+    plain, own = Tokenizer.from_file(tokenizer_path()), Encoder(tokenizer_path())
+    got = [ids for k in range(0, len(texts), 700) for ids in own.texts([t if t is None else t.encode() for t in texts[k : k + 700]])]
+    assert got == [np.array(plain.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert own.texts([]) == [] and own.texts([None, b""]) == [b"", b""]
