@@ -7,6 +7,8 @@ the batch read of the sink, so the driver compares what the stream wrote.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -305,6 +307,28 @@ SELECT CAST(event_id AS VARCHAR) AS event_id, CASE WHEN k % 2 = 0 THEN 'ios' ELS
 FROM e"""
 
 
+def q_stream_evolved(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK-05: a stream into a catalog table, run over two deliveries; the second brings two new columns and lacks an old one."""
+    root = shared_path(spark, "evolved", unique=True)
+    target = StreamTarget(f"{root}/_checkpoint", path=f"{root}/table", table=f"evolved_{uuid.uuid4().hex}", partitions=("event_date",))
+    ev = spark.read.parquet(f"{sf}/events.parquet").withColumn("event_date", F.to_date("ts"))
+    early = F.col("event_type").isin("signup", "view", "click")
+    first = ev.where(early).select("event_id", "event_date", "event_type", "user_id")
+    second = ev.where(~early).select("event_id", "event_date", "event_type", "value", F.array(A.props_k(), F.lit(0)).alias("keys"))
+    for rows in (first, second):
+        rows.write.mode("append").parquet(f"{root}/landing")
+        target.run(spark.readStream.schema(rows.schema).parquet(f"{root}/landing"))
+    return target.read(spark).select(
+        "event_id", F.col("event_date").cast("string").alias("event_date"), "event_type", "user_id", "value", F.get("keys", F.lit(0)).alias("k"))
+
+
+STREAM_EVOLVED_SQL = f"""
+WITH e AS (SELECT *, event_type IN ('signup', 'view', 'click') AS early FROM events)
+SELECT event_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS event_date, event_type, CASE WHEN early THEN user_id END AS user_id,
+       CASE WHEN NOT early THEN value END AS value, CASE WHEN NOT early THEN {K} END AS k
+FROM e"""
+
+
 def q_landing_rescued(spark: SparkSession, sf: str) -> DataFrame:
     """SRC-04: typed fields, what doesn't fit them, and broken lines, from one parse of each landed line."""
     root = shared_path(spark, "landing", unique=True)
@@ -344,6 +368,7 @@ PLANS = {
     "landing_silver_job": Plan(q_landing_silver_job, LANDING_SILVER_JOB_SQL,
                                "SNK-09 SRC-01,03,04,05 DQ-01,02 PRJ-08,09 STR-07,10 SNK-01..04"),
     "landing_quarantine": Plan(q_landing_quarantine, LANDING_QUARANTINE_SQL, "DQ-02 SRC-01,04,05 STR-02,04"),
+    "stream_evolved": Plan(q_stream_evolved, STREAM_EVOLVED_SQL, "SNK-03 SNK-05"),
     "landing_evolved": Plan(q_landing_evolved, LANDING_EVOLVED_SQL, "SRC-02 SNK-05"),
     "landing_rescued": Plan(q_landing_rescued, LANDING_RESCUED_SQL, "SRC-04 SRC-05"),
 }

@@ -194,3 +194,30 @@ def test_windowed_kpis_dedup_key_batch(spark):
     once = sorted(tuple(r) for r in windowed_kpis(df).collect())
     twice = sorted(tuple(r) for r in windowed_kpis(df.unionByName(df), dedup_key="event_id").collect())
     assert once == twice and once[0][2:5] == (2, 1, 1)
+
+
+def test_table_takes_new_columns_and_refuses_changed_ones(spark, scratch):
+    """SNK-05: a catalog table grows by the stream's new columns; another type or a forbidden column stops before the write."""
+    from dataclasses import replace
+
+    from retail_spark.streaming.sinks import StreamTarget
+
+    target = StreamTarget(f"{scratch}/ck", path=f"{scratch}/table", table="grown_table", partitions=("day",))
+
+    def deliver(target, rows, schema):
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(f"{scratch}/in")
+        target.run(spark.readStream.schema(schema).parquet(f"{scratch}/in"))
+
+    spark.sql("DROP TABLE IF EXISTS grown_table")
+    deliver(target, [(1, "a", "d1")], "id long, name string, day string")
+    with pytest.raises(ValueError, match="other types"):
+        target.evolve(spark.createDataFrame([], "id string, day string"))
+    with pytest.raises(ValueError, match="no columns"):
+        replace(target, merge_schema=False).evolve(spark.createDataFrame([], "id long, `odd ``name` int, day string"))
+    deliver(target, [(2, 2.5, [1, 2], "d1")], "ID long, score double, `tag list` array<int>, day string")
+    got = {r["id"]: (r["name"], r["score"], r["tag list"], r["day"]) for r in target.read(spark).collect()}
+    assert got == {1: ("a", None, None, "d1"), 2: (None, 2.5, [1, 2], "d1")}
+    assert target.evolve(spark.createDataFrame([], "id long, day string")) == []
+    folder = replace(target, table=None)
+    assert {"name", "score"} <= set(folder.read(spark).columns)
+    spark.sql("DROP TABLE grown_table")
