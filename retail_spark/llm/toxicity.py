@@ -1,19 +1,20 @@
 """Toxicity by weak supervision: voters, a generative label model, a linear classifier.
 
 1. Counts over the training sample say which words and word beginnings stand
-   in toxic texts far oftener than in others; they become voters (lexicon
-   words and prefix patterns, beside a few fixed surface patterns).
+   in toxic texts far oftener than in others, or far more rarely; they become
+   voters of toxic and of clean (lexicon words and prefix patterns, beside a
+   few fixed surface patterns).
 2. The label model explains all voters' firings by one hidden label: each
    voter has a rate of firing on toxic and on clean texts, found by expectation
-   maximisation, where known labels only steer the start and weigh as one more
-   voter. Voters that fire together more than their rates explain are
-   correlated; their evidence is shared instead of counted several times.
+   maximisation, where given labels steer the start and are one more voter
+   with estimated rates. Voters that fire together more than their rates explain
+   are correlated; their evidence is shared instead of counted several times.
 3. A logistic classifier on words and word beginnings learns the posterior
    labels, so it also catches spellings that no voter has.
 
-Only the sample's counts and sparse rows reach the driver: both are bounded by
-the parameters ``SAMPLE``, ``VOTERS`` and ``FEATURES``. Scoring reads every
-whole text once, without a shuffle.
+Only the sample's counts of telling signs and sparse rows reach the driver;
+``SAMPLE`` bounds both, and every sign with enough evidence takes part. Scoring
+reads every whole text once, without a shuffle.
 """
 
 from __future__ import annotations
@@ -29,13 +30,13 @@ from retail_spark.llm.common import fold, free_name, map_arrow
 
 #: Labelled rows that a model learns from, at most; taken by a hash of the id.
 SAMPLE = 16_000
-#: Voters of the label model and features of the classifier, at most.
-VOTERS, FEATURES = 256, 4096
 #: Characters of the word beginnings that serve as patterns.
 PREFIXES = (4, 5, 6)
 #: Fewest training texts that a voter or feature must stand in, and the least likelihood ratio statistic that it must
 #: have: by chance, one sign in a thousand has 11.
 SUPPORT, EVIDENCE = 4, 12.0
+#: Log ratio of a sign's shares of toxic and of clean texts from which it is a voter.
+LIFT = 1.0
 
 _WORD = re.compile(r"[^\W_]+")
 #: Surface patterns, each a voter and a feature.
@@ -59,44 +60,88 @@ def signs(text: str | None) -> set[str]:
 
 
 class LabelModel:
-    """A hidden label behind binary voters, with shared evidence for correlated ones."""
+    """A hidden label behind voters that fire or abstain, with shared evidence for correlated ones.
+
+    Expectation maximisation estimates for each voter its rates of firing on
+    toxic and on clean texts, and in every round the correlations that the
+    label leaves between voters; a voter's evidence is shared with the voters
+    it goes along with. A given label is one more voter, whose rates
+    are estimated like the others' (``given``: toxic given on toxic, on clean).
+    ``side`` is 1 for voters of toxic, -1 for voters of clean.
+    """
 
-    def __init__(self, fires: np.ndarray, known: np.ndarray, rounds: int = 30):
-        """``fires`` is (texts, voters) of 0/1; ``known`` holds 1, 0 or nan a text."""
-        n, v = fires.shape
-        seen = ~np.isnan(known)
-        fires = fires.astype(np.float64)
+    #: Correlation from which voters share their evidence.
+    COMPANY = 0.3
+    #: What is assumed of given labels before any is seen: so many on either side, nine in ten of them right.
+    ASSUMED = 10.0
+
+    def __init__(self, fires: np.ndarray | list[np.ndarray], known: np.ndarray, rounds: int = 30, side: np.ndarray | None = None):
+        """``fires`` is (texts, voters) of 0/1, or each text's firing voters; ``known`` holds 1, 0 or nan a text."""
+        if isinstance(fires, np.ndarray):
+            side = np.ones(fires.shape[1]) if side is None else side
+            fires = [np.flatnonzero(x) for x in fires]
+        n, v = len(fires), len(side)
+        at, col = np.repeat(np.arange(n), [len(x) for x in fires]), np.concatenate([*fires, np.zeros(0, int)]).astype(int)
+        seen, toxic = ~np.isnan(known), known == 1
         prior = float(np.clip(known[seen].mean() if seen.any() else 0.1, 0.01, 0.99))
-        q = np.where(seen, known, prior) if seen.any() else np.clip(fires.mean(axis=1), 0.01, 0.99)
-        self.share = np.ones(v)
-        for step in range(rounds):
+        start = np.bincount(at, side[col], n) / max(v, 1)
+        q = np.where(seen, known, prior) if seen.any() else np.clip(start, 0.01, 0.99)
+        together = self._together(fires, v)
+        few = np.where(side > 0, 0.02, 0.5)  # what is added to the counts: little where a voter should be silent
+        for _ in range(rounds):
             t, c = q.sum(), (1 - q).sum()
-            self.rate1 = (fires.T @ q + 0.5) / (t + 1)
-            self.rate0 = (fires.T @ (1 - q) + 0.02) / (c + 1)
+            on1, on0 = np.bincount(col, q[at], v), np.bincount(col, (1 - q)[at], v)
+            self.rate1, self.rate0 = (on1 + 0.52 - few) / (t + 1), (on0 + few) / (c + 1)
             self.prior = np.clip(q.mean(), 1e-3, 1 - 1e-3)
-            if step in (0, rounds // 2):
-                self._correlate(fires, q)
-            new = self.posterior(fires)
-            # a known label is one more voter, right in 98 of 100 cases
-            odds = np.log(new / (1 - new)) + np.where(seen, np.where(known == 1, 1, -1) * np.log(0.98 / 0.02), 0)
-            new = 1 / (1 + np.exp(-odds))
+            self._correlate(together, on1, on0, q)
+            odds = self._odds(at, col, n)
+            # given labels are judged by what the other voters decide: by a posterior that holds them they would judge themselves
+            others = odds > 0
+            known1 = ((others & toxic).sum() + 0.9 * self.ASSUMED) / ((others & seen).sum() + self.ASSUMED)
+            known0 = ((~others & toxic).sum() + 0.1 * self.ASSUMED) / ((~others & seen).sum() + self.ASSUMED)
+            self.given = (float(known1), float(known0))
+            odds += np.where(seen, np.where(toxic, np.log(known1 / known0), np.log((1 - known1) / (1 - known0))), 0)
+            new = np.clip(1 / (1 + np.exp(-np.clip(odds, -30, 30))), 1e-6, 1 - 1e-6)
             if np.abs(new - q).max() < 1e-4:
                 break
             q = new
         self.labels = q
 
-    def _correlate(self, fires: np.ndarray, q: np.ndarray) -> None:
+    @staticmethod
+    def _together(fires: list[np.ndarray], voters: int) -> np.ndarray:
+        """How many texts each two voters fire in together."""
+        out = np.zeros((voters, voters), np.float32)
+        for k in range(0, len(fires), 1000):
+            some = np.zeros((min(1000, len(fires) - k), voters), np.float32)
+            for row, x in zip(some, fires[k : k + 1000]):
+                row[x] = 1
+            out += some.T @ some
+        return out
+
+    def _correlate(self, together: np.ndarray, on1: np.ndarray, on0: np.ndarray, q: np.ndarray) -> None:
         """Correlation left between voters once the label is known; each voter's weight is one by its company."""
-        left = fires - (np.outer(q, self.rate1) + np.outer(1 - q, self.rate0))
-        left /= np.sqrt((left ** 2).sum(axis=0)) + 1e-12
-        self.correlation = left.T @ left
-        self.share = 1.0 / np.maximum(1.0, np.where(self.correlation > 0.3, self.correlation, 0).sum(axis=1))
-
-    def posterior(self, fires: np.ndarray) -> np.ndarray:
+        r1, r0 = self.rate1, self.rate0
+        a, b, c = (q ** 2).sum(), (q * (1 - q)).sum(), ((1 - q) ** 2).sum()
+
+        def left(rows, cols):
+            """Sums over texts of the product of what the rates don't explain, from the counts alone."""
+            fitted = r1[rows] * on1[cols] + r0[rows] * on0[cols] + on1[rows] * r1[cols] + on0[rows] * r0[cols]
+            return a * r1[rows] * r1[cols] + b * (r1[rows] * r0[cols] + r0[rows] * r1[cols]) + c * r0[rows] * r0[cols] - fitted
+
+        every = np.arange(len(r1))
+        scale = np.sqrt(np.maximum(np.diag(together) + left(every, every), 1e-12))
+        company = np.ones(len(r1))
+        for k in range(0, len(r1), 256):
+            rows = every[k : k + 256, None]
+            found = (together[k : k + 256] + left(rows, every[None])) / (scale[rows] * scale[None])
+            company[k : k + 256] = np.where(found > self.COMPANY, found, 0).sum(axis=1)
+        self.share = 1.0 / np.maximum(1.0, company)
+
+    def _odds(self, at: np.ndarray, col: np.ndarray, texts: int) -> np.ndarray:
+        """Log odds of toxic by the voters, those that abstain included."""
         on = np.log(self.rate1 / self.rate0) * self.share
         off = np.log((1 - self.rate1) / (1 - self.rate0)) * self.share
-        odds = np.log(self.prior / (1 - self.prior)) + fires @ on + (1 - fires) @ off
-        return np.clip(1 / (1 + np.exp(-np.clip(odds, -30, 30))), 1e-6, 1 - 1e-6)
+        return np.log(self.prior / (1 - self.prior)) + off.sum() + np.bincount(at, (on - off)[col], texts)
 
 
 class Logistic:
@@ -152,7 +197,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     return texts.join(F.broadcast(chosen), "id").select("text", "toxic")
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, voters: int = VOTERS, features: int = FEATURES) -> ToxicityModel:
+def fit(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> ToxicityModel:
     """A model learned from the labelled rows given; without any, every text scores 0.
 
     ``docs`` needs doc_id and text, ``labels`` doc_id and toxic (0/1).
@@ -182,9 +227,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, voters: int
     both, share = F.col("toxic") + F.col("clean"), toxic / (toxic + clean)
     power = 2 * sum((F.col(n) * F.log(F.greatest(F.col(n), F.lit(1)) / (both * F.lit(max(q, 1e-9)))) for n, q in (("toxic", share), ("clean", 1 - share))), F.lit(0.0))
     strong = (counts.filter(f"sign <> '' and toxic + clean >= {SUPPORT}").withColumn("lift", lift).withColumn("power", power)
-              .filter(F.col("power") >= EVIDENCE).orderBy(F.desc("power"), "sign").limit(features).collect())
+              .filter(F.col("power") >= EVIDENCE).orderBy(F.desc("power"), "sign").collect())
     names = [r["sign"] for r in strong]
-    voting = [k for k, r in enumerate(strong) if r["lift"] > 1][:voters]
+    voting = [k for k, r in enumerate(strong) if abs(r["lift"]) > LIFT]
     index = {n: k for k, n in enumerate(names)}
 
     def sparse():
@@ -202,11 +247,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, voters: int
     lists, known = list(taken["signs"]), taken["toxic"].to_numpy(dtype=float)
     place = np.full(len(names) + 1, -1)
     place[voting] = np.arange(len(voting))
-    fires = np.zeros((len(lists), len(voting)), dtype=np.float32)
-    for k, s in enumerate(lists):
-        votes = place[s]
-        fires[k, votes[votes >= 0]] = 1
-    model = LabelModel(fires, known)
+    fires = [votes[votes >= 0] for votes in (place[x] for x in lists)]
+    model = LabelModel(fires, known, side=np.sign([strong[k]["lift"] for k in voting]))
     linear = Logistic(lists, model.labels, len(names))
     return ToxicityModel({n: float(linear.weights[k]) for n, k in index.items() if abs(linear.weights[k]) > 1e-3}, linear.bias)
 

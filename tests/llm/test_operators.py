@@ -464,3 +464,28 @@ def test_pipeline(spark, tmp_path):
     assert set(out.doc_id) <= {d for d, c in kept.items() if d == c}
     assert out.groupby("sequence_id")["length"].sum().max() <= 2048
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "personal_data", "mix", "pack"]
+
+
+def test_label_model_beats_majority_without_any_label():
+    """Voters of either side, five of them copies of a poor one: accuracies are found with every label hidden."""
+    rng = np.random.default_rng(3)
+    y = rng.random(4000) < 0.3
+    votes = [rng.random(4000) < np.where(y, on, off) for on, off in ((0.8, 0.05), (0.7, 0.1), (0.6, 0.05), (0.2, 0.8), (0.1, 0.6))]
+    poor = rng.random(4000) < np.where(y, 0.5, 0.4)
+    fires = np.array([*votes, *[poor] * 5], dtype=float).T
+    side = np.array([1, 1, 1, -1, -1, 1, 1, 1, 1, 1])
+    model = toxicity.LabelModel(fires, np.full(4000, np.nan), side=side)
+    right, majority = ((model.labels > 0.5) == y).mean(), ((fires @ side > 0) == y).mean()
+    assert right > 0.93 and right > majority + 0.1
+    assert (model.share[5:] < 0.3).all() and (model.share[:5] > 0.9).all()
+    assert np.abs(model.rate1[:5] - [0.8, 0.7, 0.6, 0.2, 0.1]).max() < 0.1
+
+
+def test_given_labels_are_a_voter_with_estimated_rates():
+    rng = np.random.default_rng(4)
+    y = rng.random(4000) < 0.3
+    fires = (rng.random((4000, 8)) < np.where(y[:, None], 0.8, 0.05)).astype(float)
+    wrong = rng.random(4000) < 0.15
+    model = toxicity.LabelModel(fires, np.where(wrong, ~y, y).astype(float))
+    assert abs(model.given[0] - 0.85) < 0.04 and abs(model.given[1] - 0.15) < 0.04
+    assert ((model.labels > 0.5) == y).mean() > 0.99
