@@ -11,10 +11,9 @@ Scale notes
   by (basket, block_a, block_b), so each join task sees at most
   ``block`` x ``block`` pairs and AQE spreads the keys. Pairs are
   aggregated (partial, then final) straight after.
-* Customer similarity is an exact threshold join with prefix filtering:
-  only each set's rarest ``|s| - ceil(t|s|) + 1`` items generate
-  candidates, so hot (frequent) products rarely enter a candidate
-  join; candidates are then verified exactly.
+* Customer similarity is an exact threshold join over blocks of customers:
+  every two blocks meet in one task, which gives out only the pairs that
+  reach the threshold, so candidates are never written or shuffled.
 * Iterative jobs cut lineage with a reliable ``checkpoint()`` in the
   shared ``spark.checkpoint.dir`` each round.
 """
@@ -27,6 +26,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from retail_spark.operators import set_pairs as SP
+from retail_spark.operators import top_products as TP
 from retail_spark.session import ensure_shared_dir
 
 DEFAULT_BLOCK = 256
@@ -272,63 +273,28 @@ def jaccard_similarity(
     entity: str = "customer_id",
     item: str = "product_id",
     threshold: float = 0.5,
-    block: int = DEFAULT_BLOCK,
+    block: int = SP.BLOCK,
+    links_only: bool = False,
 ) -> DataFrame:
     """GRF-04 / JON-06: all entity pairs with Jaccard(items) >= ``threshold``.
 
-    Exact, via prefix filtering: items get a global order (rarest first);
-    two sets with Jaccard >= t must share one of their first
-    ``|s| - ceil(t|s|) + 1`` items, their sizes must be within a factor t,
-    and (positional filter) the items left after a shared one must still
-    allow the needed overlap. Candidates are verified exactly, by exploding one
-    side's items and semi-joining the other's, so no entity's items are ever
-    gathered into one row.
+    Exact. The sets are cut into hash blocks of about ``block`` entities; every
+    two blocks meet in one task, which counts what their sets share and gives out
+    only the pairs that reach the threshold (:mod:`set_pairs`). Candidates
+    are neither written nor shuffled: the shuffle holds each set once a block, so
+    it grows with entities x blocks. An entity's items are one row.
 
-    Output: entity_a < entity_b, sizes, intersection, jaccard.
+    Output: entity_a < entity_b, sizes, intersection, jaccard. With
+    ``links_only``, of each meeting's pairs only as many as connect what they
+    all connect: enough for components, and at most the entities of two blocks.
     """
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be in (0, 1]")
-    sets = interactions.where(F.col(entity).isNotNull() & F.col(item).isNotNull()).select(entity, item).distinct()
-    freq = sets.groupBy(item).agg(F.count(F.lit(1)).alias("__f"))
-    sizes = sets.groupBy(entity).agg(F.count(F.lit(1)).alias("__n"))
-    ranked = sets.join(freq, item).join(sizes, entity)
-    w = Window.partitionBy(entity).orderBy("__f", item)
-    # every branch below starts from the ranked sets, so they are made once
-    ranked = _checkpoint(ranked.withColumn("__pos", F.row_number().over(w)))
-    sets = ranked.select(entity, item)
-    prefix_len = F.col("__n") - F.ceil(F.col("__n") * F.lit(threshold) - F.lit(1e-9)) + 1
-    prefix = ranked.where(F.col("__pos") <= prefix_len).select(item, entity, "__n", "__pos")
-    # positional filter: sharing token w at positions i, j leaves at most
-    # 1 + min(|a| - i, |b| - j) common items from w on; a pair needs
-    # ceil(t / (1 + t) * (|a| + |b|)). Emissions failing it are dropped - a
-    # feasible pair always passes at its first shared prefix token.
-    need = F.ceil(F.lit(threshold / (1.0 + threshold)) * (F.col("__n_a") + F.col("__n_b")).cast("double") - F.lit(1e-9))
-    reach = F.lit(1) + F.least(F.col("__n_a") - F.col("__pos_a"), F.col("__n_b") - F.col("__pos_b"))
-    cand = (
-        block_pairs(prefix, item, entity, block=block, extra=("__n", "__pos"))
-        .where(
-            (F.least("__n_a", "__n_b").cast("double") >= F.lit(threshold) * F.greatest("__n_a", "__n_b").cast("double") - F.lit(1e-9))
-            & (reach >= need)
-        )
-        .select(f"{entity}_a", f"{entity}_b", "__n_a", "__n_b")
-        .distinct()
-    )
-    a, b = f"{entity}_a", f"{entity}_b"
-    # one way for sets of any size: a's items that b also has, counted
-    a_items = sets.select(F.col(entity).alias(a), item)
-    b_items = sets.select(F.col(entity).alias(b), item)
-    inter = (
-        cand.join(a_items, a)
-        .join(b_items, [b, item], "left_semi")
-        .groupBy(a, b, "__n_a", "__n_b")
-        .agg(F.count(F.lit(1)).alias("intersection"))
-    )
-    jac = F.col("intersection").cast("double") / (F.col("__n_a") + F.col("__n_b") - F.col("intersection")).cast("double")
-    return (
-        inter.withColumn("jaccard", jac)
-        .where(F.col("jaccard") >= F.lit(threshold) - F.lit(1e-12))
-        .select(a, b, F.col("__n_a").alias("size_a"), F.col("__n_b").alias("size_b"), "intersection", "jaccard")
-    )
+    sets = interactions.where(F.col(entity).isNotNull() & F.col(item).isNotNull()).select(F.lit(0).alias("group"), F.col(entity).alias("entity"), F.col(item).alias("item"))
+    sets = _checkpoint(sets.groupBy("group", "entity").agg(F.collect_set("item").alias("items")))
+    blocks = max(1, math.ceil(sets.count() / block))
+    found = SP.similar_pairs(SP.meetings(sets, blocks=F.lit(blocks)), threshold, links_only=links_only)
+    return found.withColumnsRenamed({"entity_a": f"{entity}_a", "entity_b": f"{entity}_b"})
 
 
 def _checkpoint(df: DataFrame) -> DataFrame:
@@ -508,16 +474,14 @@ def als_recommend(
     """GRF-07 used: (recommendations, fit) of the embeddings.
 
     recommendations: user, rank, item, score - the ``k`` largest products of
-    factors for each user, over blocks of users and items (Spark's blocked
-    product; a task holds two blocks and k a user). fit: one row with
+    factors for each user (:func:`best_products`). fit: one row with
     ``known_score``, the mean product over known pairs, and ``mean_score``, the
     mean over all pairs, which is the product of the mean factors, so no pair
     has to be made for it.
     """
     model, users, items, ratings = _als(interactions, user, item, rank, max_iter, reg, seed)
-    found = model.recommendForAllUsers(k).select("__u", F.posexplode("recommendations").alias("at", "r"))
-    found = found.join(users, "__u").join(items, F.col("r.__i") == F.col("__i")).select(
-        user, (F.col("at") + 1).alias("rank"), item, F.col("r.rating").cast("double").alias("score"))
+    found = best_products(model.userFactors, model.itemFactors, k).join(users, F.col("user") == F.col("__u")).join(items, F.col("item") == F.col("__i"))
+    found = found.select(users[user], "rank", items[item], "score")
     u, v = (f.select(F.col("id").alias(n), F.transform("features", lambda x: x.cast("double")).alias(f"{n}f"))
             for f, n in ((model.userFactors, "__u"), (model.itemFactors, "__i")))
     product = F.aggregate(F.zip_with("__uf", "__if", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
@@ -527,6 +491,32 @@ def als_recommend(
     return found, one.select("known_score", sum((F.col(f"__u{d}") * F.col(f"__i{d}") for d in range(rank)), F.lit(0.0)).alias("mean_score"))
 
 
+#: Most users and items of one block of ``best_products``, and fewest blocks of users wanted.
+USERS, ITEMS, USER_BLOCKS = 1 << 15, 1 << 18, 64
+
+
+def best_products(users: DataFrame, items: DataFrame, k: int) -> DataFrame:
+    """(user, item, score, rank): for each user the ``k`` items with the largest products of factors, ties to the smaller item.
+
+    Both sides are (id, features). Every block of users meets every block of
+    items in one task, which goes through the items by falling length of their
+    factors and leaves a user alone as soon as no further item can be among its
+    best (:mod:`top_products`); a user's best of each block are then ranked.
+    """
+    n, m = (max(1, f.count()) for f in (users, items))
+    users_of, items_of = math.ceil(n / max(1024, min(USERS, math.ceil(n / USER_BLOCKS)))), math.ceil(m / ITEMS)
+    own = lambda f, parts: f.select("id", "features", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("b"))
+    spread = lambda parts: F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+    left = own(users, users_of).select("id", "features", F.col("b").alias("ub"), spread(items_of).alias("ib"))
+    right = own(items, items_of).select("id", "features", spread(users_of).alias("ub"), F.col("b").alias("ib"))
+    each = left.groupBy("ub", "ib").cogroup(right.groupBy("ub", "ib")).applyInArrow(TP.best_of_blocks(k), "user int, best array<struct<score: float, item: int>>")
+    best = lambda one, two: F.when(one["score"] != two["score"], F.when(one["score"] > two["score"], -1).otherwise(1)).otherwise(
+        F.when(one["item"] < two["item"], -1).otherwise(1))
+    ranked = each.groupBy("user").agg(F.slice(F.array_sort(F.flatten(F.collect_list("best")), best), 1, k).alias("best"))
+    ranked = ranked.select("user", F.posexplode("best").alias("at", "b"))
+    return ranked.select("user", "b.item", F.col("b.score").cast("double").alias("score"), (F.col("at") + 1).alias("rank"))
+
+
 def dense_ids(df: DataFrame, column: str, name: str, *, buckets: int = 256) -> DataFrame:
     """The distinct values of ``column`` with a number from 0 in ``name``.
 

@@ -8,8 +8,9 @@ verified exactly, so a pair that is returned is right; ``recall`` is the share o
 pairs at the threshold that the bands find (more of those above it).
 
 Entities with the same items are one class and meet others once, through the
-smallest of them: copies make no pairs. Large buckets are split over tasks by
-``block_pairs``.
+smallest of them: copies make no pairs. The sets of a bucket, or of two blocks of
+a large one, are compared where they meet (:mod:`set_pairs`): a pair leaves its
+task only if it reaches the threshold, once for each bucket that both share.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from retail_spark.operators import set_pairs as SP
 from retail_spark.operators.graph import DEFAULT_BLOCK, block_pairs
 from retail_spark.session import ensure_shared_dir
 
@@ -80,7 +82,7 @@ def jaccard_lsh(
     threshold: float = 0.5,
     rows: int = 5,
     recall: float = 0.95,
-    block: int = DEFAULT_BLOCK,
+    block: int = SP.BLOCK,
 ) -> tuple[DataFrame, DataFrame]:
     """(pairs, members): pairs of class representatives with Jaccard >= ``threshold``, and each entity's class.
 
@@ -92,13 +94,10 @@ def jaccard_lsh(
     members = _kept(classes(sets, entity=entity, item=item))
     chosen = members.where(F.col(entity) == F.col("representative")).select(entity, "size")
     alone = _kept(sets.join(chosen.select(entity), entity, "left_semi"))
-    a, b = f"{entity}_a", f"{entity}_b"
-    found = lsh_candidates(alone, entity=entity, item=item, bands=bands_for(threshold, rows, recall), rows=rows, block=block)
-    size = lambda side: chosen.select(F.col(entity).alias(side), F.col("size").alias(f"size_{side[-1]}"))
-    found = found.join(size(a), a).join(size(b), b)
-    # sets whose sizes differ too much can't reach the threshold
-    found = found.where(F.least("size_a", "size_b") >= F.lit(threshold) * F.greatest("size_a", "size_b") - F.lit(1e-9))
-    both = found.join(alone.select(F.col(entity).alias(a), item), a).join(alone.select(F.col(entity).alias(b), item), [b, item], "left_semi")
-    pairs = both.groupBy(a, b, "size_a", "size_b").agg(F.count(F.lit(1)).alias("intersection"))
-    jaccard = F.col("intersection").cast("double") / (F.col("size_a") + F.col("size_b") - F.col("intersection")).cast("double")
-    return pairs.withColumn("jaccard", jaccard).where(F.col("jaccard") >= F.lit(threshold) - F.lit(1e-12)), members
+    buckets = _kept(band_members(alone, entity=entity, item=item, bands=bands_for(threshold, rows, recall), rows=rows))
+    # a bucket's sets meet in tasks and only pairs at the threshold leave them: no candidate is shuffled
+    shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    whole = alone.groupBy(entity).agg(F.collect_set(item).alias("items"))
+    placed = buckets.join(shared, "bucket").join(whole, entity).select(F.col("bucket").alias("group"), F.col(entity).alias("entity"), "items", "n")
+    pairs = SP.similar_pairs(SP.meetings(placed, blocks=F.ceil(F.col("n") / F.lit(block))), threshold).distinct()
+    return pairs.withColumnsRenamed({"entity_a": f"{entity}_a", "entity_b": f"{entity}_b"}), members

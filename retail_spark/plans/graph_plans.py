@@ -162,7 +162,7 @@ CUSTOMER_JACCARD_SQL = f"WITH {JACCARD_SQL}\nSELECT * FROM jac"
 
 def q_customer_components(spark: SparkSession, sf: str) -> DataFrame:
     """GRF-05: connected components of the Jaccard >= 0.4 customer graph."""
-    edges = GR.jaccard_similarity(_interactions(spark, sf), threshold=JACCARD_T)
+    edges = GR.jaccard_similarity(_interactions(spark, sf), threshold=JACCARD_T, links_only=True)
     customers = _interactions(spark, sf).select("customer_id").distinct()
     return GR.connected_components(edges, src="customer_id_a", dst="customer_id_b", vertices=customers)
 
