@@ -15,6 +15,9 @@ import uuid
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+#: Partitions that a batch shuffle starts with; adaptive execution merges small ones, but never cuts a large one.
+SHUFFLE_PARTITIONS = 600
 
 
 def build_session(
@@ -70,6 +73,13 @@ def ensure_shared_dir(spark: SparkSession) -> str:
     return current
 
 
+def ensure_fine_shuffles(spark: SparkSession) -> None:
+    """Let shuffles start with at least ``SHUFFLE_PARTITIONS`` partitions, so that a task's memory doesn't grow with the table."""
+    least = max(SHUFFLE_PARTITIONS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    if int(spark.conf.get(INITIAL_PARTITIONS, None) or 0) < least:
+        spark.conf.set(INITIAL_PARTITIONS, str(least))
+
+
 def shared_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     """A path under the shared folder; ``unique`` appends a fresh run id."""
     base = ensure_shared_dir(spark).rstrip("/")
