@@ -119,9 +119,9 @@ SELECT event_id, array_to_string(vs, ',') AS violation_codes, CAST(len(vs) AS IN
 def q_quarantine_counts(spark: SparkSession, sf: str) -> DataFrame:
     """DQ-02: quarantined rows per violation code (valid ∪ quarantined = input)."""
     checked = Q.contract_violations(purchase_records(spark, sf), PURCHASES_V1)
-    valid, bad = Q.split_quarantine(checked, key="event_id")
-    counts = Q.quarantine_counts(bad)
-    total_valid = valid.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("<valid>").alias("violation"), "rows")
+    valid, bad = Q.split_quarantine(Q.violation_kinds(checked), key="event_id")
+    counts = Q.quarantine_counts(bad, rows="n")
+    total_valid = valid.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows")).select(F.lit("<valid>").alias("violation"), "rows")
     return counts.unionByName(total_valid)
 
 
