@@ -61,8 +61,9 @@ def similar_pairs(met: DataFrame, threshold: float, *, links_only: bool = False)
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """The rows of each (group, i, j), which come in sorted order and may span batches."""
-    kept, last = [], None
+    """The rows of each (group, i, j), which come in sorted order and may span batches; small meetings of a block
+    with itself come several in one table."""
+    pool, pooled, kept, rows, last = [], 0, [], 0, None
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -70,16 +71,26 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         change = np.zeros(batch.num_rows - 1, dtype=bool)
         for k in keys:
             change |= k[1:] != k[:-1]
-        cuts = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
+        cuts = np.concatenate([[0], np.flatnonzero(change) + 1, [batch.num_rows]]).tolist()
         for start, end in zip(cuts, cuts[1:]):
-            key = tuple(k[start] for k in keys)
-            if kept and key != last:
-                yield pa.Table.from_batches(kept)
-                kept = []
+            key = (keys[0][start], keys[1][start], keys[2][start])
+            if key != last:
+                if rows > 1:
+                    if last[1] == last[2] and rows <= STRIP:
+                        pool += kept
+                        pooled += rows
+                    else:
+                        yield pa.Table.from_batches(kept)
+                if pooled >= STRIP:
+                    yield pa.Table.from_batches(pool)
+                    pool, pooled = [], 0
+                kept, rows, last = [], 0, key
             kept.append(batch.slice(start, end - start))
-            last = key
-    if kept:
+            rows += end - start
+    if rows > 1:
         yield pa.Table.from_batches(kept)
+    if pooled:
+        yield pa.Table.from_batches(pool)
 
 
 def _entries(items: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -93,10 +104,12 @@ def _compared(table: pa.Table, threshold: float, links_only: bool) -> Iterator[p
     if table.num_rows < 2:
         return
     i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+    group = table.column("group").to_numpy()
     ids = table.column("entity").combine_chunks()
     row, code, sizes = _entries(table.column("items").combine_chunks())
     own = table.column("own").to_numpy()
-    left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+    # the meetings of one table are of blocks with themselves: all its rows are on both sides
+    left, right = (np.arange(table.num_rows),) * 2 if i == j else (np.flatnonzero(own == i), np.flatnonzero(own == j))
     if not (len(left) and len(right)):
         return
     label = np.arange(table.num_rows)
@@ -105,7 +118,8 @@ def _compared(table: pa.Table, threshold: float, links_only: bool) -> Iterator[p
         # what can't reach the threshold goes by a cheap test, the rest by the exact one
         r, c = np.nonzero(counts * (1.0 + threshold) >= threshold * (na + nb) - 1e-6)
         if i == j:
-            r, c = r[a[r] < right[c]], c[a[r] < right[c]]
+            once = (a[r] < right[c]) & (group[a[r]] == group[right[c]]) & (own[a[r]] == own[right[c]])
+            r, c = r[once], c[once]
         both, x, y = counts[r, c].astype(np.int64), a[r], right[c]
         jaccard = both / (sizes[x] + sizes[y] - both)
         ok = (jaccard >= threshold - 1e-12) & (both > 0)
