@@ -302,6 +302,15 @@ def _checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Edges of a partition of ``label_propagation`` and ``pagerank``.
+EDGES = 1_000_000
+
+
+def _parts(edges: DataFrame) -> int:
+    """Partitions that edges need in both directions."""
+    return max(1, int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(2 * edges.count() / EDGES))
+
+
 def connected_components(edges: DataFrame, *, src: str = "src", dst: str = "dst", vertices: DataFrame | None = None) -> DataFrame:
     """GRF-05: component label (= smallest vertex id) per vertex.
 
@@ -360,21 +369,22 @@ def label_propagation(
     Every vertex of the undirected graph starts with its own id as label; in
     each round it takes the label with the largest summed weight among its
     neighbours, ties to the smallest label. Edges with a NULL end and loops
-    don't count; an edge given more than once weighs the sum. A round is a
-    join on the neighbour and two combinable aggregations, so a hub is
-    pre-aggregated; lineage is checkpointed every round.
+    don't count; an edge given more than once weighs the sum. The edges lie
+    by neighbour once and for all; a round joins the labels to them where they
+    are and sends each edge's vote to its vertex, one shuffle of the edges.
+    Lineage is checkpointed every round.
     """
     w = F.col(weight) if weight else F.lit(1)
     e = edges.select(F.col(src).alias("u"), F.col(dst).alias("v"), w.alias("w")).where(F.col("u") != F.col("v"))
-    e = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"), "w"))
-    e = _checkpoint(e.groupBy("u", "v").agg(F.sum("w").alias("w")))
-    labels = e.select(F.col("u").alias("vertex"), F.col("u").alias("label")).distinct()
+    e = _checkpoint(e.groupBy(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).agg(F.sum("w").alias("w")))
+    parts = _parts(e)
+    e = _checkpoint(e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"), "w")).repartition(parts, "v").sortWithinPartitions("v"))
+    labels = e.select(F.col("v").alias("vertex"), F.col("v").alias("label")).distinct()
     for _ in range(rounds):
         near = labels.select(F.col("vertex").alias("v"), "label")
-        votes = e.join(near, "v").groupBy("u", "label").agg(F.sum("w").alias("votes"))
-        most = votes.groupBy("u").agg(F.max("votes").alias("most"))
-        labels = votes.join(most, "u").where(F.col("votes") == F.col("most")).groupBy("u").agg(F.min("label").alias("label"))
-        labels = _checkpoint(labels.withColumnRenamed("u", "vertex"))
+        votes = e.join(near, "v").select("u", "label", "w").repartition(parts, "u").groupBy("u", "label").agg(F.sum("w").alias("votes"))
+        most = votes.groupBy("u").agg(F.min(F.struct(-F.col("votes"), "label")).alias("m"))
+        labels = _checkpoint(most.select(F.col("u").alias("vertex"), F.col("m.label").alias("label")))
     return labels
 
 
@@ -401,12 +411,20 @@ def pagerank(
     redistributed). Lineage is checkpointed every round.
     """
     e = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where(F.col("u") != F.col("v"))
+    if undirected:
+        e = e.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+    e = _checkpoint(e.distinct())
+    parts = _parts(e)
     if undirected:
         e = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    e = e.distinct()
+    # the edges lie by source for all rounds: only ranks and sums are shuffled
+    e = e.repartition(parts, "u")
     out_deg = e.groupBy("u").agg(F.count(F.lit(1)).alias("outdeg"))
-    e = _checkpoint(e.join(out_deg, "u"))
-    vertices = e.select(F.col("u").alias("vertex")).unionByName(e.select(F.col("v").alias("vertex"))).distinct()
+    e = _checkpoint(e.join(out_deg, "u").sortWithinPartitions("u"))
+    vertices = e.select(F.col("u").alias("vertex")).distinct()
+    if not undirected:
+        vertices = vertices.unionByName(e.select(F.col("v").alias("vertex"))).distinct()
+    vertices = _checkpoint(vertices)
     n = max(1, vertices.count())
     ranks = _checkpoint(vertices.withColumn("rank", F.lit(1.0 / n)))
     for _ in range(iterations):
@@ -450,6 +468,7 @@ def _als(interactions: DataFrame, user: str, item: str, rank: int, max_iter: int
     counts = interactions.where(F.col(user).isNotNull() & F.col(item).isNotNull()).groupBy(user, item).agg(
         F.count(F.lit(1)).cast("float").alias("rating")
     )
+    counts = _checkpoint(counts)  # both numberings and the ratings start from it
     users, items = _checkpoint(dense_ids(counts, user, "__u")), _checkpoint(dense_ids(counts, item, "__i"))
     ratings = counts.join(users, user).join(items, item).select("__u", "__i", "rating")
     model = ALS(
