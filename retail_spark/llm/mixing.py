@@ -14,12 +14,7 @@ takes block ``r mod blocks`` of its source, in pass ``r div blocks``.
 
 from __future__ import annotations
 
-import re
-from itertools import islice
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import StringType
 
 from retail_spark.llm.common import WORD, free_name, stash
 
@@ -31,6 +26,8 @@ SHARE, MOST_PASSES = 1.5, 2
 BLOCK, BUCKET = 256, 20_000
 #: Slots that one row of the schedule expands to at a time.
 STRIDE = 65_536
+#: Words in one of the sorted ranges of mixed rows, as long as there are no more ranges than shuffle partitions.
+RANGE = 2_000_000
 
 
 def word_count(text: Column) -> Column:
@@ -122,7 +119,7 @@ def schedule(targets: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def _laid_out(docs: DataFrame, seed: int) -> DataFrame:
-    """(source, doc_id, row, size, lo): where each document starts in its source's shuffled line.
+    """The columns of ``docs`` and lo: where each document starts in its source's shuffled line.
 
     A source is sorted in buckets of its random order, each placed after the
     words of the buckets before it, so no task holds a whole source.
@@ -137,11 +134,11 @@ def _laid_out(docs: DataFrame, seed: int) -> DataFrame:
     inside = Window.partitionBy("source", "part").orderBy("key", "doc_id", "row").rowsBetween(Window.unboundedPreceding, -1)
     placed = placed.withColumn("in_part", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     placed = placed.join(sums, F.col("source").eqNullSafe(F.col("s")) & (F.col("part") == F.col("p")))
-    return placed.select("source", "doc_id", "row", "size", (F.col("base") + F.col("in_part")).cast("bigint").alias("lo"))
+    return placed.select(*docs.columns, (F.col("base") + F.col("in_part")).cast("bigint").alias("lo"))
 
 
 def pieces(sized: DataFrame, targets: DataFrame, *, block: int = BLOCK, seed: int = 17) -> DataFrame:
-    """(source, doc_id, row, slot, pass, start, length): the stretches of words that the slots take.
+    """The columns of ``sized`` and slot, pass, start, length: the stretches of words that the slots take.
 
     ``sized`` has doc_id, source, size and row, a number that tells rows apart
     that share a doc_id (or the hash of their text).
@@ -154,7 +151,7 @@ def pieces(sized: DataFrame, targets: DataFrame, *, block: int = BLOCK, seed: in
     start = F.greatest(F.expr("0L"), F.col("block_no") * block - F.col("lo"))
     stop = F.least(F.col("size"), F.col("block_no") * block + F.col("words") - F.col("lo"))
     return (both.withColumn("start", start).withColumn("length", stop - F.col("start")).filter("length > 0")
-            .select("source", "doc_id", "row", "slot", "pass", "start", "length"))
+            .select(*sized.columns, "slot", "pass", "start", "length"))
 
 
 def sized_documents(docs: DataFrame) -> DataFrame:
@@ -189,20 +186,32 @@ def _same_row():
     return same[0] & same[1] & same[2]
 
 
-def _taken(docs: DataFrame, block: int, seed: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Sizes with rows told apart, targets, and the words taken of each row in each pass."""
+def _taken(docs: DataFrame, block: int, seed: int, *more: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sizes with rows told apart, targets, and the words taken of each row in each pass, with the columns ``more`` of the sizes."""
     sized = stash(sized_documents(docs), "sizes")
     targets = stash(source_targets(sized), "targets")
     sized = stash(_told_apart(sized), "sizes")
-    taken = (pieces(sized, targets, block=block, seed=seed).groupBy("doc_id", "source", "row", "pass")
+    taken = (pieces(sized, targets, block=block, seed=seed).groupBy("doc_id", "source", "row", "pass", *more)
              .agg(F.sum("length").alias("length"), F.min("slot").alias("slot")))
-    return sized, targets, taken.select(*(F.col(c).alias(f"t_{c}") for c in ("doc_id", "source", "row")), "pass", "length", "slot")
+    of = [F.col(c).alias(f"t_{c}") for c in ("doc_id", "source", "row", *more)]
+    return sized, targets, taken.select(*of, "pass", "length", "slot")
 
 
 def _told_apart(sized: DataFrame) -> DataFrame:
-    """``row`` hashed with a running number among rows alike."""
+    """``row`` hashed with a running number among rows alike, whose ``row`` stays as ``alike``."""
     alike = Window.partitionBy("doc_id", "source", "row").orderBy("size")
-    return sized.withColumn("row", F.xxhash64("row", F.row_number().over(alike)))
+    return sized.withColumns({"alike": F.col("row"), "row": F.xxhash64("row", F.row_number().over(alike))})
+
+
+def _in_ranges(slot: Column, ends: list[int]) -> Column:
+    """How many of the sorted ``ends`` are not above ``slot``, by halving."""
+    def place(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(slot < ends[middle], place(low, middle)).otherwise(place(middle + 1, high))
+
+    return place(0, len(ends))
 
 
 def mixed_documents(docs: DataFrame, *, block: int = BLOCK, seed: int = 17) -> DataFrame:
@@ -217,35 +226,42 @@ def mixed_documents(docs: DataFrame, *, block: int = BLOCK, seed: int = 17) -> D
     are kept as they are, whatever their names.
     """
     names = list(docs.columns)
-    _, _, taken = _taken(docs, block, seed)
-    # names that no column of ``docs`` has, so that what is joined can't clash with it
-    own = {c: free_name(docs, f"mix_{c}") for c in ("source", "row", "size")}
-    new = {c: free_name(docs, f"mix_{c}") for c in taken.columns}
-    rows = docs.withColumns({own["source"]: F.col("source").cast("string"), own["size"]: word_count(F.col("text")), own["row"]: F.xxhash64("text")})
-    alike = Window.partitionBy("doc_id", own["source"], own["row"]).orderBy(own["size"])
-    rows = rows.withColumn(own["row"], F.xxhash64(own["row"], F.row_number().over(alike)))
-    taken = taken.select(*(F.col(c).alias(n) for c, n in new.items()))
-    on = (F.col("doc_id").eqNullSafe(F.col(new["t_doc_id"])) & F.col(own["source"]).eqNullSafe(F.col(new["t_source"]))
-          & F.col(own["row"]).eqNullSafe(F.col(new["t_row"])))
-    both = stash(rows.join(taken, on), "taken")
-    # few rows are cut; the others' texts don't go through Python
-    whole = F.col(new["length"]) >= F.col(own["size"])
-    cut = both.filter(~whole).withColumn("text", _cut(F.col("text"), F.col(new["length"])))
+    _, _, taken = _taken(docs, block, seed, "alike", "size")
+    taken = stash(taken, "taken")
+    ends = _range_ends(taken)
+    # names that no column of ``docs`` has, so that what is added can't clash with it
+    source, alike, home, nth, takes = (free_name(docs, f"mix_{c}") for c in ("source", "alike", "home", "nth", "takes"))
+    takes_of = taken.groupBy("t_doc_id", "t_source", "t_alike", "t_row").agg(F.collect_list(F.struct("length", "slot", "t_size")).alias(takes))
+    takes_of = takes_of.select(F.col("t_doc_id").alias("doc_id"), F.col("t_source").alias(source), F.col("t_alike").alias(alike), takes)
+    rows = docs.withColumns({source: F.col("source").cast("string"), alike: F.xxhash64("text")})
+    # texts and takes go to one place by a hash, where the nth of the rows alike gets the nth takes: a join on the
+    # rows told apart would shuffle the texts once more
+    of = ["doc_id", source, alike]
+    both = rows.unionByName(takes_of, allowMissingColumns=True).withColumn(home, F.xxhash64(*of)).repartition(F.col(home))
+    is_takes = F.col(takes).isNotNull()
+    both = both.withColumn(nth, F.row_number().over(Window.partitionBy(home, *of, is_takes).orderBy(alike)))
+    both = both.withColumn(takes, F.lead(takes).over(Window.partitionBy(home, *of, nth).orderBy(is_takes)))
+    both = both.withColumn(takes, F.explode(takes))
+    length, slot = F.col(takes)["length"], F.col(takes)["slot"]
+    # few texts are cut
+    whole = length >= F.col(takes)["t_size"]
+    cut = {"text": F.when(whole, F.col("text")).otherwise(_first_words(F.col("text"), length))}
     if "n_chars" in names:
-        cut = cut.withColumn("n_chars", F.char_length("text").cast(both.schema["n_chars"].dataType))
-    slot = new["slot"]
-    return both.filter(whole).unionByName(cut).repartitionByRange(F.col(slot)).sortWithinPartitions(slot).select(*names)
-
+        cut["n_chars"] = F.when(whole, F.col("n_chars")).otherwise(F.char_length(cut["text"]).cast(docs.schema["n_chars"].dataType))
+    mixed = both.withColumns(cut).withColumn(takes, slot).select(*names, takes)
+    return mixed.repartitionById(len(ends) + 1, _in_ranges(F.col(takes), ends)).sortWithinPartitions(takes).select(*names)
 
-@F.pandas_udf(StringType())
-def _cut(texts: pd.Series, counts: pd.Series) -> pd.Series:
-    words = re.compile(r"[^\x20\x09-\x0D]+")
 
-    def cut(text: str | None, count: int) -> str | None:
-        if text is None or count is None:
-            return text
-        last = next(islice(words.finditer(text), int(count) - 1, None), None)
-        return text[: last.end()] if last else text
+def _range_ends(taken: DataFrame) -> list[int]:
+    """The slots that part ``taken`` into ranges of as many rows, found without the texts."""
+    most = int(taken.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = min(most, 1 + (taken.agg(F.sum("length")).first()[0] or 0) // RANGE)
+    if ranges == 1:
+        return []
+    return taken.agg(F.percentile_approx("slot", [k / ranges for k in range(1, ranges)], 10 * most)).first()[0]
 
-    return pd.Series([cut(t, n) for t, n in zip(texts, counts)], dtype=object)
 
+def _first_words(text: Column, count: Column) -> Column:
+    """``text`` up to the end of its word number ``count``."""
+    words = F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
+    return F.array_join(F.slice(words, F.lit(1), count.cast("int")), "")
