@@ -73,7 +73,9 @@ def contract_violations(df: DataFrame, contract: Contract, *, strict: bool = Fal
 
     def codes(rescued: bool) -> Column:
         found = checks(rescued)
-        return F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
+        none = F.array().cast("array<string>")
+        # rows without any, most of them, don't go through the array
+        return F.when(F.coalesce(*found).isNull(), none).otherwise(F.array_compact(F.array(*found))) if found else none
 
     violations = codes(False)
     if has_rescued:

@@ -130,18 +130,28 @@ def rescue(record: Column, schema: T.StructType) -> Column:
     """SRC-04: JSON of what ``schema`` loses of a record, or NULL.
 
     A key is rescued, with its whole value, when the schema lacks it or when
-    its value is non-null and does not fit the schema's type.
+    its value is non-null and does not fit the schema's type. Records whose keys
+    are all known and fit, most of them, are not looked at key by key.
     """
-    known = F.array(*[F.lit(f.name) for f in schema.fields])
+    known = F.array(*[F.lit(f.name) for f in schema.fields]) if schema.fields else F.array().cast("array<string>")
     checked = [f for f in schema.fields if not isinstance(f.dataType, (T.StringType, T.VariantType))]
-    misfits = F.array(*[F.when(~fits(_member(record, f.name), f.dataType), F.lit(f.name)) for f in checked]) if checked else F.array().cast("array<string>")
+    misfit = {f.name: ~fits(_member(record, f.name), f.dataType) for f in checked}
+    misfits = F.array(*[F.when(bad, F.lit(name)) for name, bad in misfit.items()]) if checked else F.array().cast("array<string>")
+    some = F.size(F.array_except(F.map_keys(_as_map(record)), known)) > 0
+    for bad in misfit.values():
+        some = bad | some
     left = F.map_filter(_as_map(record), lambda k, v: ~F.is_variant_null(v) & (~F.array_contains(known, k) | F.array_contains(F.array_compact(misfits), k)))
-    return F.when(F.size(left) > 0, F.to_json(left))
+    return F.when(some, F.when(F.size(left) > 0, F.to_json(left)))
 
 
 def typed_columns(record: Column, schema: T.StructType) -> list[Column]:
     """The schema's fields of a record, one column each."""
-    return [typed_value(_member(record, f.name), f.dataType).alias(f.name) for f in schema.fields]
+    def value(f: T.StructField) -> Column:
+        if isinstance(f.dataType, T.StringType):  # as typed_value, without a VARIANT of its own between
+            return F.try_variant_get(record, _path(f.name), "string")
+        return typed_value(_member(record, f.name), f.dataType)
+
+    return [value(f).alias(f.name) for f in schema.fields]
 
 
 def read_landing(
