@@ -12,6 +12,9 @@ from retail_spark.session import shared_path
 
 #: Rows that a step of ``map_arrow`` handles at once.
 SLICE = 1_000
+#: Bytes of the batches that Python workers get, unless the session has a limit of its own; else 10,000 texts come at once.
+BATCH_BYTES = "8m"
+MAX_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 #: Runs of ASCII white space end a word; ``bytes.split()`` cuts at the same six characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -103,6 +106,12 @@ def give_back() -> None:
         trim(0)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Let Arrow batches end at ``BATCH_BYTES``: the executor and its worker each hold one whole."""
+    if not spark.conf.get(MAX_BATCH_BYTES, None):
+        spark.conf.set(MAX_BATCH_BYTES, BATCH_BYTES)
+
+
 def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
     """``mapInArrow`` with a step ``batch -> dict of columns`` that ``fn()`` makes once a task.
 
@@ -111,6 +120,7 @@ def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
     from pyspark.sql.types import StructType
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    bound_batches(df.sparkSession)
     fields = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

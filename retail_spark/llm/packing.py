@@ -18,9 +18,11 @@ patterns' table of ranges: each task places its pieces on its own.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from bisect import bisect_left
+from functools import lru_cache
 from struct import pack as pack_ids
 from unicodedata import is_normalized
 
@@ -42,6 +44,24 @@ COLUMNS = 4000
 BUCKET = 20_000
 
 
+@lru_cache(maxsize=1)
+def _tokenizers(path: str) -> tuple:
+    """The tokenizer and the one for small letters alone, read once a worker.
+
+    A tokenizer that has encoded text leaves memory behind when it goes, so one
+    for each task would make a worker grow with the tasks it runs; encoding by
+    several threads keeps words for each of them, and a task has one core.
+    """
+    from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    lower = Tokenizer.from_file(path)
+    lower.normalizer = normalizers.Sequence([])
+    lower.pre_tokenizer = pre_tokenizers.Sequence(
+        [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    return Tokenizer.from_file(path), lower
+
+
 class Encoder(dict):
     """Token ids, as little-endian bytes, of words cut at ASCII white space.
 
@@ -52,18 +72,12 @@ class Encoder(dict):
     kinds of characters, for words of small letters in normal form alone.
     """
 
-    MOST = 450_000
+    MOST = 200_000
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
-
         super().__init__()
         self.older: dict[bytes, bytes] = {}
-        self.tokenizer = Tokenizer.from_file(path)
-        self.lower = Tokenizer.from_file(path)
-        self.lower.normalizer = normalizers.Sequence([])
-        self.lower.pre_tokenizer = pre_tokenizers.Sequence(
-            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.tokenizer, self.lower = _tokenizers(path)
         self.ends = {c: self._ids(chr(c)) for c in b".,"}
         size = self.tokenizer.get_vocab_size()
         self.word_end = np.array([(self.tokenizer.id_to_token(k) or "").endswith("</w>") for k in range(size)])

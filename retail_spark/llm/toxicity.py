@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from retail_spark.llm.common import fold, free_name, map_arrow
+from retail_spark.llm.common import bound_batches, fold, free_name, give_back, map_arrow
 
 #: Labelled rows that a model learns from, at most; taken by a hash of the id.
 SAMPLE = 16_000
@@ -270,7 +270,9 @@ def score(docs: DataFrame, model: ToxicityModel, name: str = "score") -> DataFra
             at = batch.schema.get_field_index("text")
             scores = pa.array([model.score(t) for t in batch.column(at).to_pylist()], pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=[*batch.schema.names, name])
+        give_back()
 
+    bound_batches(docs.sparkSession)
     return docs.mapInArrow(run, schema)
 
 
