@@ -32,13 +32,13 @@ def test_a_worker_gets_few_texts_at_once(spark):
     spark.conf.unset(MAX_BATCH_BYTES)
 
     def start():
-        return lambda batch: {"n": pa.array([batch.num_rows]), "bytes": pa.array([batch.nbytes])}
+        return lambda batch: {"n": pa.array([batch.num_rows])}
 
-    rows = spark.range(0, 3000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("ab cd ef "), 900).alias("text"))
-    got = map_arrow(rows, start, "n bigint, bytes bigint").collect()
+    rows = spark.range(0, 3000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("ab cd ef "), 2000).alias("text"))
+    got = map_arrow(rows, start, "n bigint").collect()
     assert sum(r["n"] for r in got) == 3000
-    # a slice reports the bytes of its rows: without the bound three slices of 8 MB come, here none has 1,000 rows
-    assert max(r["n"] for r in got) < 1000 or len(got) > 3
+    # without the bound three slices of 1,000 rows come, of one batch of 54 MB
+    assert max(r["n"] for r in got) < 1000
 
     spark.conf.unset(MAX_BATCH_BYTES)
     model = toxicity.ToxicityModel({"ab": 1.0}, -2.0)
