@@ -256,9 +256,16 @@ def transform_clicks_light(df: DataFrame) -> DataFrame:
     return out.drop("product_impression_count") if "product_impression_count" in out.columns else out
 
 
-def transform_purchases(df: DataFrame, *, dedup: str = "within_watermark") -> DataFrame:
-    """PRJ-05: purchases -> silver.purchases (derived amounts read the decimal casts)."""
+def transform_purchases(df: DataFrame, *, dedup: str = "within_watermark", only_duplicated_keys: bool = False) -> DataFrame:
+    """PRJ-05: purchases -> silver.purchases (derived amounts read the decimal casts).
+
+    A batch is deduplicated before columns are derived from others, which can't
+    break a tie; with ``only_duplicated_keys`` it is read twice (streaming.dedup).
+    """
     df = clean_columns(df, PURCHASES_CLEAN)
+    if not df.isStreaming:
+        df = deduplicate(df, timestamp_column="occurred_at", mode=dedup, only_duplicated_keys=only_duplicated_keys)
+        dedup = "none"
     zero = zero_money()
     df = df.withColumns(
         {

@@ -17,10 +17,13 @@ factor. Mappings:
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retail_spark.operators.dims import ACQUISITION_CHANNELS
+from retail_spark.session import discard, shared_path, stash
 from retail_spark.sources.tables import read_table
 from retail_spark.streaming.windows import sessionize
 
@@ -223,14 +226,42 @@ def line_lifecycle_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delivered.unionByName(returned)
 
 
-def purchases_input(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem rows as raw purchase records (strings, padded/cased)."""
-    lines = order_lines(spark, sf_dir)
+#: Lines that ``_purchase_lines`` joins with their parts at once.
+LINES = 50_000_000
+
+
+def _purchase_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with their order, its customer and their part, kept in files.
+
+    Customers come to orders, which are fewer, and orders to lines; these lie in
+    files by part, some parts to a slice, and slices get their parts one after
+    another: at most a slice's lines are in a wide shuffle at once.
+    """
+    li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                                                "l_discount", "l_tax", "l_returnflag"])
+    od = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"])
     cu = read_table(spark, sf_dir, "customer", ["c_custkey", "c_mktsegment", "c_nationkey"])
     na = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name"])
-    j = lines.join(cu, F.col("o_custkey") == F.col("c_custkey"), "left").join(
-        na, F.col("c_nationkey") == F.col("n_nationkey"), "left"
-    )
+    pt = read_table(spark, sf_dir, "part", ["p_partkey", "p_brand", "p_type", "p_retailprice"])
+    named = cu.join(na, F.col("c_nationkey") == F.col("n_nationkey"), "left").select("c_custkey", "c_mktsegment", "n_name")
+    orders = od.join(named, F.col("o_custkey") == F.col("c_custkey"), "left").drop("c_custkey")
+    lines = li.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
+    top, slices = shared_path(spark, "purchases", unique=True), max(1, math.ceil(li.count() / LINES))
+    slice_of = lambda key: F.pmod(F.xxhash64(F.col(key).cast("long")), F.lit(slices)).cast("int")
+    lines = stash(lines.withColumn("slice", slice_of("l_partkey")), f"{top}/lines", partition_by="slice")
+    pt, found = pt.withColumn("slice", slice_of("p_partkey")), []
+    for n in range(slices):
+        part = pt.where(F.col("slice") == n).drop("slice")
+        mine = lines.where(F.col("slice") == n).drop("slice").join(part, F.col("l_partkey") == F.col("p_partkey"), "left").drop("p_partkey")
+        stash(mine, f"{top}/joined/{n}")
+        found.append(f"{top}/joined/{n}")
+        discard(spark, f"{top}/lines/slice={n}")
+    return spark.read.schema(mine.schema).parquet(*found)
+
+
+def purchases_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem rows as raw purchase records (strings, padded/cased)."""
+    j = _line_money(_purchase_lines(spark, sf_dir))
     s = lambda c: F.col(c).cast("string")
     return j.select(
         F.concat_ws("-", s("l_orderkey"), s("l_linenumber"), s("l_partkey"), s("l_suppkey")).alias("event_id"),

@@ -166,7 +166,7 @@ SELECT * REPLACE ({money_out}), {', '.join(derived)} FROM d
 
 
 def q_silver_purchases(spark: SparkSession, sf: str) -> DataFrame:
-    return finalize(S.transform_purchases(A.purchases_input(spark, sf)))
+    return finalize(S.transform_purchases(A.purchases_input(spark, sf), only_duplicated_keys=True))
 
 
 TRANSACTIONS_INPUT_SQL = f"""

@@ -11,13 +11,17 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 #: Partitions that a batch shuffle starts with; adaptive execution merges small ones, but never cuts a large one.
 SHUFFLE_PARTITIONS = 600
+#: Whether a query that ends removes its shuffle files; else they stay until the driver collects garbage.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def build_session(
@@ -87,3 +91,29 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     if unique:
         tail = f"{tail}/{uuid.uuid4().hex}" if tail else uuid.uuid4().hex
     return f"{base}/{tail}" if tail else base
+
+
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Writes and checkpoints of DataFrames made inside remove their shuffle files as they end. Run none of them twice."""
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(FREE_SHUFFLES) if before is None else spark.conf.set(FREE_SHUFFLES, before)
+
+
+def stash(df: DataFrame, path: str, *, partition_by: str | None = None) -> DataFrame:
+    """Write ``df`` to ``path`` and read it back: columns in files take a fraction of the same rows in a shuffle or checkpoint."""
+    spark = df.sparkSession
+    with freed_shuffles(spark):
+        writer = df.select("*").write.option("compression", "zstd")
+        (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this run wrote under the shared folder."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)

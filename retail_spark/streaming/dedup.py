@@ -19,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from retail_spark.session import ensure_shared_dir, freed_shuffles
+
 DEFAULT_DELAY = "7 days"
 
 
@@ -52,21 +54,34 @@ def earliest_per_key(
     return picked.select(*keys, *[F.col("__pick").getField(c).alias(c) for c in payload]).select(*df.columns)
 
 
+#: Most hashes of duplicated keys that are sent to all executors (16 bytes each).
+DUPLICATED = 1_000_000
+
+
 def _earliest_for_duplicated_keys(
     df: DataFrame, keys: list[str], order_by: Sequence[str | Column], nulls_last: bool
 ) -> DataFrame:
-    """Same result, but whole rows are shuffled only for keys that occur more
-    than once: a keys-only count finds them, rows with unique keys pass
-    through (anti join), the rest go through the min(struct) aggregation.
-    NULL keys compare equal (they collapse, as in the streaming dedup)."""
-    dups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__c")).where(F.col("__c") > 1)
-    dups = dups.select(*[F.col(k).alias(f"__d_{k}") for k in keys])
-    cond = None
-    for k in keys:
-        c = df[k].eqNullSafe(F.col(f"__d_{k}"))
-        cond = c if cond is None else cond & c
-    unique_rows = df.join(dups, cond, "left_anti")
-    dup_rows = df.join(dups, cond, "left_semi")
+    """Same result, but whole rows are shuffled only for keys that may occur
+    more than once. A count of the keys' hashes finds these; the few hashes
+    seen again go to all executors, rows with others pass through, the rest
+    (with keys that only share a hash) go through the min(struct) aggregation.
+    With many duplicated keys all rows go through it, shuffled once. ``df``
+    is read twice. NULL keys compare equal (they collapse, as in the
+    streaming dedup)."""
+    ensure_shared_dir(df.sparkSession)
+    name = "__hash"
+    with freed_shuffles(df.sparkSession):
+        seen = df.groupBy(F.xxhash64(*keys).alias(name)).agg(F.count(F.lit(1)).alias("__c"))
+        again = seen.where(F.col("__c") > 1).select(name).checkpoint(eager=True)
+    n = again.count()
+    if not n:
+        return df
+    if n > DUPLICATED:
+        return earliest_per_key(df, keys, order_by, nulls_last=nulls_last)
+    again = F.broadcast(again)
+    hashed = df.withColumn(name, F.xxhash64(*keys))
+    unique_rows = hashed.join(again, name, "left_anti").drop(name)
+    dup_rows = hashed.join(again, name, "left_semi").drop(name)
     return unique_rows.unionByName(earliest_per_key(dup_rows, keys, order_by, nulls_last=nulls_last))
 
 
@@ -116,19 +131,21 @@ def deduplicate(
     key: str = "event_id",
     mode: str = "within_watermark",
     delay: str = DEFAULT_DELAY,
+    only_duplicated_keys: bool = False,
 ) -> DataFrame:
     """Dedup for either execution mode.
 
     Streaming: :func:`deduplicate_stream`. Batch: earliest row per key by
     (timestamp, source file, remaining columns) - the deterministic version
-    of what a single streaming run keeps.
+    of what a single streaming run keeps. ``only_duplicated_keys`` is for a
+    batch that is cheap to read twice (:func:`earliest_per_key`).
     """
     if mode == "none":
         return df
     if df.isStreaming:
         return deduplicate_stream(df, timestamp_column=timestamp_column, key=key, mode=mode, delay=delay)
     order = [timestamp_column] + (["source_file"] if "source_file" in df.columns else [])
-    return earliest_per_key(df, [key], order)
+    return earliest_per_key(df, [key], order, only_duplicated_keys=only_duplicated_keys)
 
 
 def duplicate_report(df: DataFrame, key: str | Sequence[str] = "event_id") -> DataFrame:
