@@ -14,21 +14,24 @@ Scale notes
 * Customer similarity is an exact threshold join over blocks of customers:
   every two blocks meet in one task, which gives out only the pairs that
   reach the threshold, so candidates are never written or shuffled.
-* Iterative jobs cut lineage with a reliable ``checkpoint()`` in the
-  shared ``spark.checkpoint.dir`` each round.
+* Iterative jobs cut lineage each round, with a reliable ``checkpoint()`` or
+  files in the shared ``spark.checkpoint.dir``; a step's shuffle files are
+  removed when it ends.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from retail_spark.operators import set_pairs as SP
 from retail_spark.operators import top_products as TP
-from retail_spark.session import ensure_shared_dir
+from retail_spark.session import discard, ensure_shared_dir, freed_shuffles, shared_path, stash
 
 DEFAULT_BLOCK = 256
 
@@ -145,10 +148,18 @@ def copurchase_pairs(
     min_count: int = 1,
     block: int = DEFAULT_BLOCK,
 ) -> DataFrame:
-    """JON-05: (item_a < item_b, ``pair_orders``) - baskets holding both."""
-    b = baskets(lines, basket=basket, item=item)
+    """JON-05: (item_a < item_b, ``pair_orders``) - baskets holding both.
+
+    Lines are shuffled once, to their baskets. A basket of at most ``block``
+    items is paired where it lies; larger ones are spread by ``block_pairs``.
+    """
+    held = lines.where(F.col(basket).isNotNull() & F.col(item).isNotNull()).groupBy(basket).agg(F.collect_set(item).alias("__items"))
+    small = held.where(F.size("__items") <= block).select(F.array_sort("__items").alias("__items"))
+    first = small.select("__items", F.posexplode("__items").alias("__at", f"{item}_a"))
+    near = first.select(f"{item}_a", F.explode(F.slice("__items", F.col("__at") + 2, F.size("__items"))).alias(f"{item}_b"))
+    large = held.where(F.size("__items") > block).select(basket, F.explode("__items").alias(item))
     return (
-        block_pairs(b, basket, item, block=block)
+        near.unionByName(block_pairs(large, basket, item, block=block).drop(basket))
         .groupBy(f"{item}_a", f"{item}_b")
         .agg(F.count(F.lit(1)).alias("pair_orders"))
         .where(F.col("pair_orders") >= min_count)
@@ -299,11 +310,12 @@ def jaccard_similarity(
 
 def _checkpoint(df: DataFrame) -> DataFrame:
     ensure_shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    with freed_shuffles(df.sparkSession):
+        return df.select("*").checkpoint(eager=True)
 
 
-#: Edges of a partition of ``label_propagation`` and ``pagerank``.
-EDGES = 1_000_000
+#: Edges of a partition and of a slice of ``label_propagation`` and ``pagerank``.
+EDGES, SLICE = 1_000_000, 250_000_000
 
 
 def _parts(edges: DataFrame) -> int:
@@ -311,6 +323,74 @@ def _parts(edges: DataFrame) -> int:
     return max(1, int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(2 * edges.count() / EDGES))
 
 
+class _Laid:
+    """Edges u -> v in tables by slices of v, each dealt by u into ``parts`` files, so that joins by u leave them where they are."""
+
+    def __init__(self, spark: SparkSession, slices: list[DataFrame], parts: int, top: str):
+        self.spark, self.slices, self.parts, self.top, self.steps = spark, slices, parts, top, 0
+
+    def slice_of(self, column: str) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(len(self.slices)))
+
+    def sources(self) -> DataFrame:
+        """(vertex, outdeg): every u with its edges of a slice, a row for each such slice."""
+        return _union([e.groupBy(F.col("u").alias("vertex")).agg(F.count(F.lit(1)).alias("outdeg")) for e in self.slices])
+
+    def stashed(self, found: list[DataFrame], *, replace: bool = False) -> DataFrame:
+        """Each of ``found`` in files, one after another, as one; with ``replace`` the last ones, which they were made from, go."""
+        self.steps += 1
+        at = f"{self.top}/{self.steps}"
+        for n, df in enumerate(found):
+            stash(df, f"{at}/{n}")
+        if replace:
+            discard(self.spark, f"{self.top}/{self.steps - 1}")
+        return self.spark.read.schema(found[0].schema).parquet(*[f"{at}/{n}" for n in range(len(found))])
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+@contextmanager
+def _laid(edges: DataFrame, *, both: bool) -> Iterator[_Laid]:
+    """``edges`` (u, v, and perhaps a weight w, summed for an edge given more than once) laid for the rounds inside.
+
+    ``both``: in both directions. A round shuffles what a slice's edges carry
+    and keeps its result in files before the next slice, so that disk holds
+    the edges once and the messages of ``SLICE`` of them. Tables with buckets
+    keep the edges: files hold how rows were dealt only there.
+    """
+    spark, weighted = edges.sparkSession, "w" in edges.columns
+    top, tables = shared_path(spark, "edges", unique=True), []
+    if both:
+        edges = edges.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"), *(["w"] if weighted else []))
+    edges = stash(edges, f"{top}/given")
+    n = edges.count() * (2 if both else 1)
+    slices = max(1, math.ceil(n / SLICE))
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n / slices / EDGES))
+    if both:
+        edges = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"), *(["w"] if weighted else [])))
+    laid = _Laid(spark, [edges] * slices, parts, f"{top}/steps")
+    try:
+        for k in range(slices):
+            mine = (edges.where(laid.slice_of("v") == k) if slices > 1 else edges).repartition(parts, "u")
+            mine = mine.groupBy("u", "v").agg(F.sum("w").alias("w")) if weighted else mine.distinct()
+            name = f"edges_{uuid.uuid4().hex}"
+            with freed_shuffles(spark):
+                mine.select("*").write.bucketBy(parts, "u").sortBy("u").option("path", f"{top}/{name}").option("compression", "zstd").saveAsTable(name)
+            tables.append(name)
+            laid.slices[k] = spark.table(name)
+        discard(spark, f"{top}/given")
+        yield laid
+    finally:
+        for name in tables:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+            discard(spark, f"{top}/{name}")
+
+
 def connected_components(edges: DataFrame, *, src: str = "src", dst: str = "dst", vertices: DataFrame | None = None) -> DataFrame:
     """GRF-05: component label (= smallest vertex id) per vertex.
 
@@ -408,34 +488,27 @@ def pagerank(
 
     rank'(v) = (1 - d) / N + d * Σ_{u -> v} rank(u) / outdeg(u). Vertices
     with no out-edges keep only the teleport term (their mass is not
-    redistributed). Lineage is checkpointed every round.
+    redistributed). The edges lie by source for all rounds (:func:`_laid`):
+    only ranks and sums are shuffled, those of a slice's edges at once.
     """
     e = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where(F.col("u") != F.col("v"))
-    if undirected:
-        e = e.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-    e = _checkpoint(e.distinct())
-    parts = _parts(e)
-    if undirected:
-        e = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    # the edges lie by source for all rounds: only ranks and sums are shuffled
-    e = e.repartition(parts, "u")
-    out_deg = e.groupBy("u").agg(F.count(F.lit(1)).alias("outdeg"))
-    e = _checkpoint(e.join(out_deg, "u").sortWithinPartitions("u"))
-    vertices = e.select(F.col("u").alias("vertex")).distinct()
-    if not undirected:
-        vertices = vertices.unionByName(e.select(F.col("v").alias("vertex"))).distinct()
-    vertices = _checkpoint(vertices)
-    n = max(1, vertices.count())
-    ranks = _checkpoint(vertices.withColumn("rank", F.lit(1.0 / n)))
-    for _ in range(iterations):
-        contrib = e.join(ranks.select(F.col("vertex").alias("u"), "rank"), "u").groupBy(F.col("v").alias("vertex")).agg(
-            F.sum(F.col("rank") / F.col("outdeg")).alias("s")
-        )
-        ranks = vertices.join(contrib, "vertex", "left").select(
-            "vertex", (F.lit((1.0 - damping) / n) + F.lit(damping) * F.coalesce(F.col("s"), F.lit(0.0))).alias("rank")
-        )
-        ranks = _checkpoint(ranks)
-    return ranks
+    with _laid(e, both=undirected) as laid:
+        ends = laid.sources()
+        if not undirected:
+            ends = ends.unionByName(_union(laid.slices).select(F.col("v").alias("vertex"), F.lit(0).cast("long").alias("outdeg")).distinct())
+        vertices = laid.stashed([ends.groupBy("vertex").agg(F.sum("outdeg").alias("outdeg"))])
+        n = max(1, vertices.count())
+        ranks = vertices.withColumn("rank", F.lit(1.0 / n))
+        for step in range(iterations):
+            given = ranks.where("outdeg > 0").select(F.col("vertex").alias("u"), (F.col("rank") / F.col("outdeg")).alias("share")).hint("shuffle_hash")
+            found = []
+            for k, e in enumerate(laid.slices):
+                contrib = e.join(given, "u").groupBy(F.col("v").alias("vertex")).agg(F.sum("share").alias("s"))
+                mine = vertices.where(laid.slice_of("vertex") == k).join(contrib, "vertex", "left")
+                rank = F.lit((1.0 - damping) / n) + F.lit(damping) * F.coalesce(F.col("s"), F.lit(0.0))
+                found.append(mine.select("vertex", "outdeg", rank.alias("rank")))
+            ranks = laid.stashed(found, replace=step > 0)
+    return ranks.select("vertex", "rank")
 
 
 def als_factors(
