@@ -318,11 +318,6 @@ def _checkpoint(df: DataFrame) -> DataFrame:
 EDGES, SLICE = 1_000_000, 250_000_000
 
 
-def _parts(edges: DataFrame) -> int:
-    """Partitions that edges need in both directions."""
-    return max(1, int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(2 * edges.count() / EDGES))
-
-
 class _Laid:
     """Edges u -> v in tables by slices of v, each dealt by u into ``parts`` files, so that joins by u leave them where they are."""
 
@@ -450,21 +445,22 @@ def label_propagation(
     each round it takes the label with the largest summed weight among its
     neighbours, ties to the smallest label. Edges with a NULL end and loops
     don't count; an edge given more than once weighs the sum. The edges lie
-    by neighbour once and for all; a round joins the labels to them where they
-    are and sends each edge's vote to its vertex, one shuffle of the edges.
-    Lineage is checkpointed every round.
+    by neighbour once and for all (:func:`_laid`); a round joins the labels to
+    them where they are and sends each edge's vote to its vertex, one shuffle
+    of a slice's edges.
     """
     w = F.col(weight) if weight else F.lit(1)
     e = edges.select(F.col(src).alias("u"), F.col(dst).alias("v"), w.alias("w")).where(F.col("u") != F.col("v"))
-    e = _checkpoint(e.groupBy(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).agg(F.sum("w").alias("w")))
-    parts = _parts(e)
-    e = _checkpoint(e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"), "w")).repartition(parts, "v").sortWithinPartitions("v"))
-    labels = e.select(F.col("v").alias("vertex"), F.col("v").alias("label")).distinct()
-    for _ in range(rounds):
-        near = labels.select(F.col("vertex").alias("v"), "label")
-        votes = e.join(near, "v").select("u", "label", "w").repartition(parts, "u").groupBy("u", "label").agg(F.sum("w").alias("votes"))
-        most = votes.groupBy("u").agg(F.min(F.struct(-F.col("votes"), "label")).alias("m"))
-        labels = _checkpoint(most.select(F.col("u").alias("vertex"), F.col("m.label").alias("label")))
+    with _laid(e, both=True) as laid:
+        labels = laid.stashed([laid.sources().select("vertex", F.col("vertex").alias("label")).distinct()])
+        for _ in range(rounds):
+            near = labels.select(F.col("vertex").alias("u"), "label").hint("shuffle_hash")
+            found = []
+            for e in laid.slices:
+                votes = e.join(near, "u").select("v", "label", "w").repartition(laid.parts, "v").groupBy("v", "label").agg(F.sum("w").alias("votes"))
+                most = votes.groupBy("v").agg(F.min(F.struct(-F.col("votes"), "label")).alias("m"))
+                found.append(most.select(F.col("v").alias("vertex"), F.col("m.label").alias("label")))
+            labels = laid.stashed(found, replace=True)
     return labels
 
 
