@@ -530,20 +530,34 @@ def als_factors(
     )
 
 
+#: Ratings of a block of ALS; a task holds about four copies of a block's while it is built.
+RATINGS = 4_000_000
+
+
+def _als_blocks(ratings: int) -> int:
+    """Blocks of users, and of items: Spark's 10, or as many as keep a block at ``RATINGS``."""
+    return max(10, math.ceil(ratings / RATINGS))
+
+
 def _als(interactions: DataFrame, user: str, item: str, rank: int, max_iter: int, reg: float, seed: int):
     """(model, users, items, ratings): users and items with their numbers, ratings by number."""
     from pyspark.ml.recommendation import ALS
 
+    spark = interactions.sparkSession
+    ensure_shared_dir(spark)
+    top = shared_path(spark, "als", unique=True)
     counts = interactions.where(F.col(user).isNotNull() & F.col(item).isNotNull()).groupBy(user, item).agg(
         F.count(F.lit(1)).cast("float").alias("rating")
     )
-    counts = _checkpoint(counts)  # both numberings and the ratings start from it
-    users, items = _checkpoint(dense_ids(counts, user, "__u")), _checkpoint(dense_ids(counts, item, "__i"))
-    ratings = counts.join(users, user).join(items, item).select("__u", "__i", "rating")
+    counts = stash(counts, f"{top}/counts")  # both numberings and the ratings start from it
+    users, items = (stash(dense_ids(counts, of, name), f"{top}/{name}") for of, name in ((user, "__u"), (item, "__i")))
+    ratings = stash(counts.join(users, user).join(items, item).select("__u", "__i", "rating"), f"{top}/ratings")
+    discard(spark, f"{top}/counts")
+    blocks = _als_blocks(ratings.count())
     model = ALS(
         rank=rank, maxIter=max_iter, regParam=reg, implicitPrefs=True, seed=seed,
         userCol="__u", itemCol="__i", ratingCol="rating", coldStartStrategy="drop",
-        checkpointInterval=2,
+        numUserBlocks=blocks, numItemBlocks=blocks, checkpointInterval=1,  # a checkpoint removes the shuffles before it
     ).fit(ratings)
     return model, users, items, ratings
 
@@ -570,17 +584,22 @@ def als_recommend(
     model, users, items, ratings = _als(interactions, user, item, rank, max_iter, reg, seed)
     found = best_products(model.userFactors, model.itemFactors, k).join(users, F.col("user") == F.col("__u")).join(items, F.col("item") == F.col("__i"))
     found = found.select(users[user], "rank", items[item], "score")
-    u, v = (f.select(F.col("id").alias(n), F.transform("features", lambda x: x.cast("double")).alias(f"{n}f"))
-            for f, n in ((model.userFactors, "__u"), (model.itemFactors, "__i")))
-    product = F.aggregate(F.zip_with("__uf", "__if", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
+    u, v = (f.select(F.col("id").alias(n), F.col("features").alias(f"{n}f")) for f, n in ((model.userFactors, "__u"), (model.itemFactors, "__i")))
+    product = F.aggregate(F.zip_with("__uf", "__if", lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0), lambda a, x: a + x)
     known = ratings.join(u, "__u").join(v, "__i").agg(F.avg(product).alias("known_score"))
-    mean = lambda f, n: f.agg(*[F.avg(F.col(f"{n}f")[d]).alias(f"{n}{d}") for d in range(rank)])
+    mean = lambda f, n: f.agg(*[F.avg(F.col(f"{n}f")[d].cast("double")).alias(f"{n}{d}") for d in range(rank)])
     one = known.join(mean(u, "__u")).join(mean(v, "__i"))  # one row each
     return found, one.select("known_score", sum((F.col(f"__u{d}") * F.col(f"__i{d}") for d in range(rank)), F.lit(0.0)).alias("mean_score"))
 
 
-#: Most users and items of one block of ``best_products``, and fewest blocks of users wanted.
-USERS, ITEMS, USER_BLOCKS = 1 << 15, 1 << 18, 64
+#: Most users and items of one block of ``best_products``, and fewest meetings of blocks wanted. A side is copied once for each block of the other.
+USERS, ITEMS, MEETINGS = 1 << 18, 1 << 20, 64
+
+
+def best_blocks(users: int, items: int) -> tuple[int, int]:
+    """Blocks of users and of items: no more than their sizes and ``MEETINGS`` ask for, and 1024 users a block at least."""
+    items_of = math.ceil(items / ITEMS)
+    return min(math.ceil(users / 1024), max(math.ceil(users / USERS), math.ceil(MEETINGS / items_of))), items_of
 
 
 def best_products(users: DataFrame, items: DataFrame, k: int) -> DataFrame:
@@ -592,7 +611,7 @@ def best_products(users: DataFrame, items: DataFrame, k: int) -> DataFrame:
     best (:mod:`top_products`); a user's best of each block are then ranked.
     """
     n, m = (max(1, f.count()) for f in (users, items))
-    users_of, items_of = math.ceil(n / max(1024, min(USERS, math.ceil(n / USER_BLOCKS)))), math.ceil(m / ITEMS)
+    users_of, items_of = best_blocks(n, m)
     own = lambda f, parts: f.select("id", "features", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("b"))
     spread = lambda parts: F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
     left = own(users, users_of).select("id", "features", F.col("b").alias("ub"), spread(items_of).alias("ib"))

@@ -33,7 +33,7 @@ def best_of_blocks(k: int):
 def _matrix(table: pa.Table) -> np.ndarray:
     if not table.num_rows:
         return np.zeros((0, 0), np.float32)
-    return table.column("features").combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1).astype(np.float32)
+    return table.column("features").combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1).astype(np.float32, copy=False)
 
 
 def top_products(u: np.ndarray, v: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -42,9 +42,10 @@ def top_products(u: np.ndarray, v: np.ndarray, ids: np.ndarray, k: int) -> tuple
     ``v`` is taken by falling length: |u| |v| bounds a product, so rows of ``u``
     whose k-th best lies above the bound of what is left are done.
     """
-    lengths = np.sqrt((v.astype(np.float64) ** 2).sum(1))
+    length = lambda x: np.sqrt(np.einsum("ij,ij->i", x, x, dtype=np.float64))
+    lengths = length(v)
     order = np.lexsort((ids, -lengths))
-    v, lengths, own = v[order], lengths[order], np.sqrt((u.astype(np.float64) ** 2).sum(1))
+    v, lengths, own = v[order], lengths[order], length(u)
     k = min(k, len(v))
     score, at = np.full((len(u), k), -np.inf, np.float32), np.zeros((len(u), k), np.int64)
     for s in range(0, len(u), ROWS):
